@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, hilbert_shards, media
 
 QUERIES = {
+    "op3_media_columns": media.op3_media_columns,
+    "op4_hilbert_shards": hilbert_shards.op4_hilbert_shards,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
 }
 
