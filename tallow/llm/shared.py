@@ -47,3 +47,22 @@ def text_of(column: str) -> Column:
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words ``[^\\x20\\x09-\\x0D]+``; bytes.lower and bytes.split know ASCII alone."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+class Kept(dict):
+    """Results of ``make`` by key, in two generations of at most ``most`` keys: what a full generation leaves unused goes."""
+
+    def __init__(self, make, most: int, longest: int):
+        super().__init__()
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
