@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards, media, packing, piece_encoding
+from . import exact_dedup, hilbert_shards, media, packing, piece_encoding, reply_trees
 
 QUERIES = {
     "op3_media_columns": media.op3_media_columns,
     "op4_hilbert_shards": hilbert_shards.op4_hilbert_shards,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_reply_trees": reply_trees.op6_reply_trees,
     "op7_vector_packing": packing.op7_vector_packing,
     "op10_piece_encoding": piece_encoding.op10_piece_encoding,
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": exact_dedup.SQL,
+    "op6_reply_trees": reply_trees.SQL,
 }
