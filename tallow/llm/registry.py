@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards, media, packing, piece_encoding, reply_trees
+from . import exact_dedup, hilbert_shards, hmm_scoring, media, packing, piece_encoding, reply_trees
 
 QUERIES = {
+    "op2_hmm_scoring": hmm_scoring.op2_hmm_scoring,
     "op3_media_columns": media.op3_media_columns,
     "op4_hilbert_shards": hilbert_shards.op4_hilbert_shards,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
