@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards, hmm_scoring, language_id, media, packing, piece_encoding, reply_trees
+from . import exact_dedup, hilbert_shards, hmm_scoring, language_id, media, minhash_join, packing, piece_encoding, reply_trees
 
 QUERIES = {
     "op2_hmm_scoring": hmm_scoring.op2_hmm_scoring,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_reply_trees": reply_trees.op6_reply_trees,
     "op7_vector_packing": packing.op7_vector_packing,
     "op8_language_id": language_id.op8_language_id,
+    "op9_minhash_join": minhash_join.op9_minhash_join,
     "op10_piece_encoding": piece_encoding.op10_piece_encoding,
 }
 
