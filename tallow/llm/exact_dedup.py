@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
@@ -20,14 +20,17 @@ from . import shared
 KEY = ("digest", "check", "n_bytes")
 
 
+def normalised(text_col: str) -> Column:
+    return F.regexp_replace(shared.text_of(text_col), shared.SPACE, " ")
+
+
 def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (run, row, id, digest, check, n_bytes), one sorted run for each partition of docs."""
-    norm = F.regexp_replace(shared.text_of(text_col), shared.SPACE, " ")
     rows = docs.select(
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
-        norm.alias("norm"),
+        normalised(text_col).alias("norm"),
     ).select(
         "run",
         "row",
@@ -59,7 +62,7 @@ def merge_runs(runs: DataFrame, fan_in: int = 16) -> tuple[DataFrame, DataFrame]
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 16) -> DataFrame:
-    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256, key (a short hash of the text).
 
     Texts are equal when they are identical after each run of ASCII white space became one space; a null text
     counts as empty. Of equal texts the row with the smallest identifier stays (a null identifier is larger
@@ -80,12 +83,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.coalesce("b.group_size", F.lit(1)).cast("long").alias("group_size"),
             F.coalesce(F.col("a.row") == F.col("b.winner.row"), F.lit(True)).alias("kept"),
             F.lower(F.hex("a.digest")).alias("text_sha256"),
+            F.col("a.check").alias("key"),
         )
     )
 
 
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of equal texts, all columns as they are."""
+    return shared.keep_decided(docs, exact_dedup(docs, id_col, text_col), F.xxhash64(normalised(text_col)), id_col)
+
+
 def op5_exact_dedup(spark, sf_dir):
-    return exact_dedup(shared.table(spark, sf_dir, "documents"))
+    return exact_dedup(shared.table(spark, sf_dir, "documents")).drop("key")
 
 
 SQL = r"""

@@ -153,6 +153,49 @@ def viterbi(scores: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> np.nd
     return label
 
 
+def label_texts(texts: list[str], model: tuple[list[str], np.ndarray, np.ndarray]) -> tuple[list[str], np.ndarray, pa.ListArray, pa.ListArray]:
+    """Language, score, and starts and languages of the spans of each text."""
+    langs, shares, candidate = model
+    block = Block(texts)
+    n, k = len(texts), max(1, len(langs))
+    if langs:
+        label = viterbi(word_scores(block, shares, candidate), block.codes, block.lengths)
+    else:
+        label = np.zeros(len(block.codes), np.int16)
+    votes = np.bincount(block.doc * k + label, weights=block.letters[block.codes], minlength=n * k).reshape(n, k)
+    total = votes.sum(axis=1)
+    known = (total > 0) & bool(langs)
+    pred = [langs[b] if ok else "und" for b, ok in zip(votes.argmax(axis=1), known, strict=True)]
+    score = np.where(known, votes.max(axis=1) / np.maximum(total, 1), 0.0)
+    first = np.cumsum(block.lengths) - block.lengths
+    new = np.ones(len(label), bool)
+    new[1:] = (label[1:] != label[:-1]) | (block.doc[1:] != block.doc[:-1])
+    new &= known[block.doc]
+    at = np.flatnonzero(new)
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(block.doc[at], minlength=n))]).astype(np.int32)
+    where = pa.ListArray.from_arrays(pa.array(offsets), pa.array((at - first[block.doc[at]]).astype(np.int32)))
+    span = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(langs or ["und"], object)[label[at]], pa.string()))
+    return pred, score, where, span
+
+
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose text has a language with at least the given share of its letters."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # lots of about as many characters as a block has elsewhere
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            lot = np.cumsum([len(t) for t in texts]) // (5 * BLOCK)
+            cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1), len(texts)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                pred, score, _, _ = label_texts(texts[lo:hi], sent.value)
+                yield batch.slice(lo, hi - lo).filter(pa.array([p != "und" and s >= least for p, s in zip(pred, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, span_starts array<int>, span_langs array<string>"
 
 
@@ -170,30 +213,8 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], h
     kinds = [pa.int64(), pa.bool_(), pa.string(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.string())]
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, shares, candidate = sent.value
         for ids, held_out, texts in _grouped(batches):
-            block = Block(texts)
-            n, k = len(texts), max(1, len(langs))
-            letters = block.letters[block.codes]
-            if langs:
-                label = viterbi(word_scores(block, shares, candidate), block.codes, block.lengths)
-            else:
-                label = np.zeros(len(block.codes), np.int16)
-            votes = np.bincount(block.doc * k + label, weights=letters, minlength=n * k).reshape(n, k)
-            total = votes.sum(axis=1)
-            best = votes.argmax(axis=1)
-            known = (total > 0) & bool(langs)
-            pred = [langs[b] if ok else "und" for b, ok in zip(best, known, strict=True)]
-            score = np.where(known, votes.max(axis=1) / np.maximum(total, 1), 0.0)
-            # spans
-            first = np.cumsum(block.lengths) - block.lengths
-            new = np.ones(len(label), bool)
-            new[1:] = (label[1:] != label[:-1]) | (block.doc[1:] != block.doc[:-1])
-            new &= known[block.doc]
-            at = np.flatnonzero(new)
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(block.doc[at], minlength=n))]).astype(np.int32)
-            where = pa.ListArray.from_arrays(pa.array(offsets), pa.array((at - first[block.doc[at]]).astype(np.int32)))
-            span = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(langs or ["und"], object)[label[at]], pa.string()))
+            pred, score, where, span = label_texts(texts, sent.value)
             yield pa.RecordBatch.from_arrays([*(pa.array(v, t) for v, t in zip((ids, held_out, pred, score), kinds, strict=False)), where, span], names)
 
     rows = docs.select(F.col(id_col).cast("long"), F.lit(False) if held is None else F.coalesce(held, F.lit(False)), shared.text_of(text_col))

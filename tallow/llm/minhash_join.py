@@ -3,16 +3,16 @@
 1. Every text gets its set of shingle hashes and a signature of COORDINATES minima. Texts with one set are one class;
    one of them represents it from here on.
 2. Representatives are posted under each coordinate-value pair. A pair that is alone in the corpus can't collide;
-   a representative with fewer than MATCHES shared ones is skipped for good.
-3. Prefix: sorted by how many post them, rare ones first, two signatures that agree in MATCHES coordinates must share
-   one of the first COORDINATES - MATCHES + 1. Only those stay posted.
-4. Short lists give their pairs, which are counted over all coordinates and kept from MATCHES collisions on; the
+   a representative with fewer than `matches` shared ones is skipped for good.
+3. Prefix: sorted by how many post them, rare ones first, two signatures that agree in `matches` coordinates must
+   share one of the first COORDINATES - matches + 1. Only those stay posted.
+4. Short lists give their pairs, which are counted over all coordinates and kept from `matches` collisions on; the
    kept ones are compared on their full sets.
 5. Long lists are never expanded: their members are dealt into blocks, and each two blocks of a list are compared on
    full sets inside one task, which returns a spanning forest of the confirmed links.
 6. Components follow by passing the smallest identifier along the links, with pointer jumping.
 
-MATCHES lies 4.3 standard deviations below what a pair right at the threshold shows, so a few such pairs in 100,000
+`matches` lies 4.3 standard deviations below what a pair right at the threshold shows, so a few such pairs in 100,000
 are missed; pairs above it are missed still less often. All that is reported has been confirmed exactly.
 """
 
@@ -25,17 +25,25 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
 
-COORDINATES, MATCHES = 64, 42
+COORDINATES, SPREAD = 64, 4.3
 #: Lists up to this length give their pairs; members of a block of a longer one.
 SHORT, BLOCK = 16, 256
 #: Shingle hashes that meet all coordinates at once, which bounds memory.
 CHUNK = 8192
 
+
+
+def least_matches(percent: int, coordinates: int = COORDINATES) -> int:
+    """Coordinates in which a pair right at the threshold agrees, less SPREAD standard deviations."""
+    p = percent / 100
+    return max(1, int(coordinates * p - SPREAD * (coordinates * p * (1 - p)) ** 0.5))
+
+
 _rng = np.random.default_rng(20)
 _MULTIPLY = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -71,9 +79,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return low.view(np.int32)
 
 
+def text_key(text_col: str) -> Column:
+    return F.xxhash64(shared.text_of(text_col))
+
+
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows (doc_id, row, n_shingles, digest, sig); digest is null where there are no words."""
-    names = ["doc_id", "row", "n_shingles", "digest", "sig"]
+    """Rows (doc_id, row, key, n_shingles, digest, sig); digest is null where there are no words."""
+    names = ["doc_id", "row", "key", "n_shingles", "digest", "sig"]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
@@ -81,19 +93,19 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 sizes, digests, sigs = [], [], []
-                for text in part.column(2):
+                for text in part.column(3):
                     s = shingler(text.as_py())
                     sizes.append(len(s))
                     digests.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
                     sigs.append(signature(s) if len(s) else None)
-                columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.list_(pa.int32()))]
+                columns = [*part.columns[:3], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col(id_col).cast("long"), F.monotonically_increasing_id(), shared.text_of(text_col))
-    return shared.written(rows.mapInArrow(signed, "doc_id long, row long, n_shingles long, digest binary, sig array<int>"), "signatures")
+    rows = docs.select(F.col(id_col).cast("long"), F.monotonically_increasing_id(), text_key(text_col), shared.text_of(text_col))
+    return shared.written(rows.mapInArrow(signed, "doc_id long, row long, key long, n_shingles long, digest binary, sig array<int>"), "signatures")
 
 
-def postings(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
+def postings(reps: DataFrame, matches: int) -> DataFrame:
     """Rows (token, doc, length) of prefix coordinates that are shared, with the length of their lists."""
     token = F.transform("sig", lambda v, k: F.shiftleft(k.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
     posted = reps.select("doc", F.explode(token).alias("token"))
@@ -245,10 +257,9 @@ def near_duplicates(
     width: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
-    coordinates: int = COORDINATES,
-    matches: int = MATCHES,
+    matches: int | None = None,
 ) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id, kept.
+    """One row for each row of docs: doc_id, n_shingles, component_id, kept, key (a short hash of the text).
 
     A text's set holds its distinct shingles of ``width`` words (lower-cased A-Z); with fewer words, all of them as
     one; without words, or null, it is empty and linked with nothing. Texts are linked where 100 * intersection >=
@@ -262,7 +273,8 @@ def near_duplicates(
     classes = shared.written(sigs.filter("digest IS NOT NULL").groupBy("digest").agg(best, F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "set-classes")
     # a class goes by the row of its best member from here on
     reps = classes.select(F.col("best.row").alias("doc"), F.col("best.doc_id").alias("id"), "digest", "sig")
-    posted = postings(reps, coordinates, matches)
+    matches = least_matches(percent) if matches is None else matches
+    posted = postings(reps, matches)
     pairs = shared.written(short_pairs(posted, reps, matches), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).unionByName(posted.filter(F.col("length") > SHORT).select("doc")).distinct()
     wanted = shared.written(wanted.join(reps.select("doc", "id", "digest"), "doc"), "wanted")
@@ -277,8 +289,14 @@ def near_duplicates(
         "n_shingles",
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
         F.coalesce(F.col("row") == F.col("head.row"), F.lit(True)).alias("kept"),
+        "key",
     )
 
 
+def drop_near_copies(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component of near copies, all columns as they are."""
+    return shared.keep_decided(docs, near_duplicates(docs, percent, width, id_col, text_col), text_key(text_col), id_col)
+
+
 def op9_minhash_join(spark, sf_dir):
-    return near_duplicates(shared.table(spark, sf_dir, "documents"))
+    return near_duplicates(shared.table(spark, sf_dir, "documents")).drop("key")

@@ -44,6 +44,21 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def keep_decided(docs: DataFrame, decisions: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs that decisions (doc_id, key, kept) keep; key is the same expression over a row of docs.
+
+    Rows of one identifier and key are repeated rows, of which one stays if any is kept. Only keys that lose a row
+    are joined, which Spark broadcasts where their table is small.
+    """
+    lost = decisions.groupBy(F.col("doc_id").alias("lost_id"), F.col("key").alias("lost_key")).agg(
+        F.bool_or("kept").alias("lost_stays"), F.count(F.lit(1)).alias("lost_rows")
+    )
+    lost = written(lost.filter("NOT lost_stays OR lost_rows > 1"), "lost-keys")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("lost_id")) & (key == F.col("lost_key"))
+    repeated = docs.join(lost.filter("lost_stays").drop("lost_stays", "lost_rows"), same, "inner")
+    return docs.join(lost, same, "left_anti").unionByName(repeated.dropDuplicates(["lost_id", "lost_key"]).select(docs.columns))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words ``[^\\x20\\x09-\\x0D]+``; bytes.lower and bytes.split know ASCII alone."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
