@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards, hmm_scoring, language_id, media, minhash_join, packing, piece_encoding, reply_trees
+from . import exact_dedup, hilbert_shards, hmm_scoring, html_extraction, language_id, media, minhash_join, packing, piece_encoding, reply_trees
 
 QUERIES = {
+    "op1_html_extraction": html_extraction.op1_html_extraction,
     "op2_hmm_scoring": hmm_scoring.op2_hmm_scoring,
     "op3_media_columns": media.op3_media_columns,
     "op4_hilbert_shards": hilbert_shards.op4_hilbert_shards,
