@@ -77,6 +77,7 @@ def hilbert_shards(
     law of rows. With fewer rows than shards some shards stay empty; an empty table gives an empty result.
     Columns of docs that aren't named play no part.
     """
+    shared.ship(docs.sparkSession)
     body = shared.text_of(text_col)
     slim = docs.select(
         F.col(id_col).alias("doc_id"),

@@ -324,7 +324,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), shared.text_of(html_col))
-    return rows.mapInArrow(extracted, "page_id long, url string, text string, n_chars long, n_blocks long")
+    return shared.map_arrow(rows, extracted, "page_id long, url string, text string, n_chars long, n_blocks long")
 
 
 def op1_html_extraction(spark, sf_dir):

@@ -103,7 +103,7 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
     The driver gets a row for each language and counter, whatever the number of documents.
     """
     rows = docs.filter(learn & F.col(lang_col).isNotNull()).select(F.lit(0), F.col(lang_col).cast("string"), shared.text_of(text_col))
-    counts = rows.mapInArrow(_count, "lang string, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
+    counts = shared.map_arrow(rows, _count, "lang string, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counts["lang"].unique()) if len(counts) else []
     table = np.zeros(((1 << GRAM_BITS) + SCRIPTS, len(langs)))
     if langs:
@@ -193,7 +193,7 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndar
                 pred, score, _, _ = label_texts(texts[lo:hi], sent.value)
                 yield batch.slice(lo, hi - lo).filter(pa.array([p != "und" and s >= least for p, s in zip(pred, score, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return shared.map_arrow(docs, kept, docs.schema)
 
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, span_starts array<int>, span_langs array<string>"
@@ -218,7 +218,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], h
             yield pa.RecordBatch.from_arrays([*(pa.array(v, t) for v, t in zip((ids, held_out, pred, score), kinds, strict=False)), where, span], names)
 
     rows = docs.select(F.col(id_col).cast("long"), F.lit(False) if held is None else F.coalesce(held, F.lit(False)), shared.text_of(text_col))
-    return rows.mapInArrow(labelled, SCHEMA)
+    return shared.map_arrow(rows, labelled, SCHEMA)
 
 
 def op8_language_id(spark, sf_dir):

@@ -128,7 +128,7 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     identifiers are kept. An empty table gives an empty result; other columns of docs are ignored.
     Memory: one block of frames at a time, whatever the text's length.
     """
-    return docs.select(F.col(id_col).cast("long"), shared.text_of(text_col).cast("binary")).mapInArrow(_media, SCHEMA)
+    return shared.map_arrow(docs.select(F.col(id_col).cast("long"), shared.text_of(text_col).cast("binary")), _media, SCHEMA)
 
 
 def op3_media_columns(spark, sf_dir):

@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(id_col).cast("long"), F.monotonically_increasing_id(), text_key(text_col), shared.text_of(text_col))
-    return shared.written(rows.mapInArrow(signed, "doc_id long, row long, key long, n_shingles long, digest binary, sig array<int>"), "signatures")
+    return shared.written(shared.map_arrow(rows, signed, "doc_id long, row long, key long, n_shingles long, digest binary, sig array<int>"), "signatures")
 
 
 def postings(reps: DataFrame, matches: int) -> DataFrame:
@@ -147,7 +147,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, te
     texts = docs.select(F.col(id_col).cast("long").alias("text_id"), shared.text_of(text_col).alias("text"))
     rows = texts.join(wanted, F.col("text_id").eqNullSafe(F.col("id"))).select("doc", "digest", "text")
     # repeated rows give a set again
-    return shared.written(rows.mapInArrow(made, "doc long, shingles binary").dropDuplicates(["doc"]), "shingle-sets")
+    return shared.written(shared.map_arrow(rows, made, "doc long, shingles binary").dropDuplicates(["doc"]), "shingle-sets")
 
 
 def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -163,7 +163,8 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], ["a", "b"])
 
     left = pairs.join(sets.withColumnsRenamed({"doc": "a", "shingles": "sa"}), "a")
-    return left.join(sets.withColumnsRenamed({"doc": "b", "shingles": "sb"}), "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    both = left.join(sets.withColumnsRenamed({"doc": "b", "shingles": "sb"}), "b").select("a", "b", "sa", "sb")
+    return shared.map_arrow(both, compare, "a long, b long")
 
 
 def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
@@ -228,6 +229,7 @@ def long_links(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         found = _forest(np.concatenate([e[0] for e in edges]), np.concatenate([e[1] for e in edges]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
+    shared.ship(sets.sparkSession)
     return meets.join(sets, "doc").groupBy("token", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 

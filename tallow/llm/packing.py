@@ -171,7 +171,7 @@ def pack_documents(
             yield rows_of(made)
 
     schema = ", ".join(f"{n} long" for n in names[:7]) + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col).cast("long"), shared.text_of(text_col)).mapInArrow(packed, schema)
+    return shared.map_arrow(docs.select(F.col(id_col).cast("long"), shared.text_of(text_col)), packed, schema)
 
 
 _tokenizer: dict[int, ByteTokenizer] = {}

@@ -186,7 +186,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds, strict=True)], names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
-    return docs.select(F.col(id_col).cast("long"), shared.text_of(text_col)).mapInArrow(encoded, schema)
+    return shared.map_arrow(docs.select(F.col(id_col).cast("long"), shared.text_of(text_col)), encoded, schema)
 
 
 def op10_piece_encoding(spark, sf_dir):

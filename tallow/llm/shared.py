@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallow.shipping import ship
+
 #: Runs of ASCII white space, as in the operators' contracts.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -39,6 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """mapInArrow with this package importable in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def text_of(column: str) -> Column:
     """The text, a null one as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
