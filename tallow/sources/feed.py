@@ -21,6 +21,7 @@ from datetime import UTC, datetime
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -217,7 +218,8 @@ class CandleFeed(DataSource):
         return "candle_feed"
 
     def schema(self):
-        return CANDLES
+        # units are dropped: Spark's streaming runner compares schemas with their metadata, which Arrow doesn't carry
+        return T.StructType([T.StructField(f.name, f.dataType) for f in CANDLES])
 
     def reader(self, schema) -> CandleReader:
         return CandleReader(_Options(dict(self.options)))

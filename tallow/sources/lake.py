@@ -57,7 +57,7 @@ def read_nanosecond_leaf(spark: SparkSession, path: str) -> DataFrame:
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     raw = spark.read.parquet(path)
     times = [f.name for f in CANDLES if isinstance(f.dataType, T.TimestampType)]
-    return raw.withColumns({c: F.expr(f"timestamp_micros({c} div 1000)") for c in times if raw.schema[c].dataType == T.LongType()})
+    return raw.withColumns({c: F.expr(f"timestamp_micros({c} div 1000)") for c in times if c in raw.columns and raw.schema[c].dataType == T.LongType()})
 
 
 def upsert_candles(candles: DataFrame, root: str) -> DataFrame:
