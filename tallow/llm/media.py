@@ -27,7 +27,7 @@ FRAME, HOP, BLOCK = 256, 128, 2048
 #: Peaks kept in a frame (the strongest), frames ahead that a pair may span, partners of each peak.
 PEAKS, SPAN, FAN = 3, 8, 4
 
-_WINDOW = np.hanning(FRAME).astype(np.float32)
+_WINDOW = np.hanning(FRAME)
 
 
 def to_wav(payload: bytes) -> bytes:
@@ -63,8 +63,8 @@ def peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     at, bins = [], []
     for first in range(0, n, BLOCK):
         lo, hi = max(0, first - 1), min(n, first + BLOCK + 1)
-        # rounded, so that equal spectra compare as equal whatever the block
-        power = np.round(np.abs(np.fft.rfft((frames[lo:hi].astype(np.float32) - 128) * _WINDOW, axis=1)), 2)
+        # double precision, rounded, so that equal spectra compare as equal wherever they stand
+        power = np.round(np.abs(np.fft.rfft((frames[lo:hi] - 128.0) * _WINDOW, axis=1)), 2)
         mid = power[:, 1:-1]
         top = (mid > power[:, :-2]) & (mid > power[:, 2:])
         top[1:] &= mid[1:] >= mid[:-1]

@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tallow.llm import packing, piece_encoding
+from tests.llm.common import ROWS, docs
+
+MODEL, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
+with open(MODEL, "rb") as f:
+    PIECES = piece_encoding.PieceModel(f.read())
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+with open(BYTES, "rb") as f:
+    TOKENS = packing.ByteTokenizer(f.read())
+TOKENIZER = Tokenizer.from_file(BYTES)
+TOKENIZER.encode_special_tokens = True
+TEXTS = st.text(st.one_of(st.sampled_from("  ▁\n\tabcdethinor.,'"), st.characters(exclude_categories=["Cs"])), max_size=60)
+
+
+@settings(max_examples=500, deadline=None)
+@given(TEXTS)
+def test_pieces_are_the_librarys(text):
+    ids = np.frombuffer(PIECES.encode(text), "<u4")
+    assert ids.tolist() == LIBRARY.encode(text, add_bos=True, add_eos=True)
+    assert PIECES.decode(ids).decode() == LIBRARY.decode(ids.tolist())
+
+
+def test_pieces_of_joined_pieces():
+    rng = random.Random(1)
+    known = list(PIECES.pieces)
+    for _ in range(2000):
+        text = "".join(rng.choices(known, k=rng.randrange(1, 12)))
+        assert np.frombuffer(PIECES.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_bos=True, add_eos=True)
+
+
+def test_pieces_with_small_cache(monkeypatch):
+    monkeypatch.setattr(PIECES, "known", type(PIECES.known)(PIECES.chunk, 3, 5))
+    text = "some words come again and some words are longer than others " * 3
+    assert np.frombuffer(PIECES.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_bos=True, add_eos=True)
+
+
+def test_piece_operator(spark):
+    got = piece_encoding.encode_pieces(docs(spark), MODEL).collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        text = next((t or "") for i, t in ROWS if i == r.doc_id)
+        ids = LIBRARY.encode(text, add_bos=True, add_eos=True)
+        assert r.ids == ids and r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded == LIBRARY.decode(ids) and r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
+    assert piece_encoding.encode_pieces(docs(spark, []), MODEL).count() == 0
+
+
+@settings(max_examples=500, deadline=None)
+@given(TEXTS)
+def test_tokens_are_the_librarys(text):
+    assert np.frombuffer(TOKENS.encode(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_tokens_of_special_strings():
+    for text in ("<|endoftext|>", "a\x1cb\x1d c", "x \x85\xa0 y", "a\t  b"):
+        assert np.frombuffer(TOKENS.encode(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def check_packing(pieces, limits, ids_of):
+    tokens, segments, loss = limits
+    by_sequence, by_doc = {}, {}
+    for doc, start, ids, n, sequence, offset in pieces:
+        by_sequence.setdefault(sequence, []).append((offset, len(ids)))
+        by_doc.setdefault(doc, []).append((start, ids, n))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at and size > 0
+            at += size
+        assert at <= tokens and len(parts) <= segments and sum(s - 1 for _, s in parts) <= loss
+    for doc, parts in by_doc.items():
+        joined = np.concatenate([p[1] for p in sorted(parts, key=lambda p: p[0])])
+        assert joined.tolist() == ids_of[doc].tolist() and all(p[2] == len(joined) for p in parts)
+    assert set(by_doc) == set(ids_of)
+    return sum(len(p[2]) for p in pieces) / (len(by_sequence) * tokens)
+
+
+def test_packer():
+    rng = np.random.default_rng(5)
+    for limits in ((2048, 64, 2047), (100, 4, 60), (64, 2, 63)):
+        for size in (1, 50, 3000):
+            ids_of = {k: rng.integers(0, 50000, rng.integers(1, 400)).astype("<u4") for k in range(size)}
+            packer, made = packing.Packer(limits, 0), []
+            for k, ids in ids_of.items():
+                made.extend(packer.add(k, ids))
+                if len(packer.items) >= 1000:
+                    made.extend(packer.pack(100))
+            made.extend(packer.pack(0))
+            full = check_packing(made, limits, ids_of)
+            if size == 3000 and limits[0] == 2048:
+                assert full > 0.99
+
+
+def test_pack_operator(spark):
+    got = packing.pack_documents(docs(spark), BYTES).collect()
+    for i, t in ROWS:
+        ids = [*TOKENIZER.encode(t or "", add_special_tokens=False).ids, 1]
+        parts = sorted((r for r in got if r.doc_id == i), key=lambda r: r.start)
+        times = sum(1 for j, _ in ROWS if j == i)
+        assert sum(r.length for r in parts) == times * len(ids)
+        if times == 1:
+            assert [x for r in parts for x in r.ids] == ids and {r.doc_tokens for r in parts} == {len(ids)}
+    for r in got:
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and r.length == len(r.ids) <= 2048
+    assert packing.pack_documents(docs(spark, []), BYTES).count() == 0
