@@ -40,3 +40,9 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(catalog.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_the_optional_part(monkeypatch):
+    monkeypatch.setattr(__spark_entry__, "find_spec", lambda name: None)
+    assert set(__spark_entry__.queries()) == set(catalog.QUERIES)
+    assert set(__spark_entry__.oracle_sql()) == set(catalog.ORACLE_SQL)
