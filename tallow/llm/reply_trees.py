@@ -50,34 +50,31 @@ def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     )
     base = nodes.groupBy(tree, F.col("node_id").alias("node")).agg(F.min(body).alias("b")).select("tree", "node", "b.*")
     base = shared.written(base, "tree-nodes")
+    names = ["tree", "node", "anc", "total", "depth"]
+    start = base.select("tree", "node", F.col("parent_id").alias("anc"), F.col("score").alias("total"), F.lit(1).alias("depth"))
     known = base.select("tree", F.col("node").alias("anc"))
-    start = base.select("tree", "node", F.col("parent_id").alias("anc"), F.col("score").alias("total"))
-    has_parent = start.join(known, ["tree", "anc"], "left_semi")
-    roots = start.join(known, ["tree", "anc"], "left_anti").withColumn("anc", F.lit(None).cast(start.schema["anc"].dataType))
-    names = ["tree", "node", "anc", "total"]
-    level = shared.written(has_parent.select(names).unionByName(roots.select(names)).withColumn("depth", F.lit(1)), "tree-steps")
+    # climbing: nodes whose path goes on above anc; placed: nodes whose path to the root is known in full
+    climbing = shared.written(start.join(known, ["tree", "anc"], "left_semi").select(names), "tree-climbing")
+    roots = start.join(known, ["tree", "anc"], "left_anti").select("tree", "node", "total", "depth")
+    placed = shared.written(roots, "tree-placed")
     levels = []
     # a path visits no node twice, so more rounds than the nodes' number has bits only follow cycles
     for _ in range(base.count().bit_length() + 1):
-        if level.filter("anc IS NOT NULL").isEmpty():
+        if climbing.isEmpty():
             break
-        levels.append(level)
-        up = level.select("tree", F.col("node").alias("anc"), F.col("anc").alias("up"), F.col("total").alias("t"), F.col("depth").alias("d"))
-        level = level.join(up, ["tree", "anc"], "left").select(
-            "tree",
-            "node",
-            F.col("up").alias("anc"),
-            (F.col("total") + F.coalesce("t", F.lit(0))).alias("total"),
-            (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
-        )
-        level = shared.written(level, "tree-steps")
-    placed = level.filter("anc IS NULL").select("tree", "node", "total", "depth")
+        levels.append(climbing)
+        above = climbing.unionByName(placed, allowMissingColumns=True)
+        above = above.select("tree", F.col("node").alias("anc"), F.col("anc").alias("up"), F.col("total").alias("t"), F.col("depth").alias("d"))
+        sums = [(F.col(a) + F.col(b)).alias(a) for a, b in (("total", "t"), ("depth", "d"))]
+        higher = shared.written(climbing.join(above, ["tree", "anc"]).select("tree", "node", F.col("up").alias("anc"), *sums), "tree-higher")
+        climbing = higher.filter("anc IS NOT NULL")
+        placed = placed.unionByName(higher.filter("anc IS NULL").drop("anc"))
     leaves = placed.join(base.select("tree", F.col("parent_id").alias("node")), ["tree", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
     chosen = leaves.withColumn("branch", rank).filter(F.col("branch") <= branches)
     path = chosen.select("tree", F.col("node").alias("leaf"), "branch", "node")
     for step in reversed(levels):
-        above = path.join(step.filter("anc IS NOT NULL").select("tree", "node", "anc"), ["tree", "node"])
+        above = path.join(step.select("tree", "node", "anc"), ["tree", "node"])
         path = shared.written(path.unionByName(above.select("tree", "leaf", "branch", F.col("anc").alias("node"))), "tree-path")
     return path.join(placed.select("tree", "node", "depth"), ["tree", "node"]).join(base.select("tree", "node", "tree_id", "role", "text"), ["tree", "node"])
 
