@@ -31,8 +31,12 @@ from pyspark.sql import functions as F
 from . import shared
 
 COORDINATES, SPREAD = 64, 4.3
-#: Lists up to this length give their pairs; members of a block of a longer one.
-SHORT, BLOCK = 16, 256
+#: Lists up to this length give their pairs.
+SHORT = 16
+#: Texts, and shingles, of a block of a longer list; texts compared at once inside a task.
+BLOCK, BLOCK_SHINGLES, TILE = 1024, 1_000_000, 256
+#: Bits of the filter that keeps texts nobody asks for out of a shuffle; 4 MB when it is full.
+FILTER_BITS = 1 << 25
 #: Shingle hashes that meet all coordinates at once, which bounds memory.
 CHUNK = 8192
 
@@ -106,15 +110,15 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
 
 
 def postings(reps: DataFrame, matches: int) -> DataFrame:
-    """Rows (token, doc, length) of prefix coordinates that are shared, with the length of their lists."""
+    """Rows (token, doc, length, weight) of prefix coordinates that are shared, with their lists' texts and shingles."""
     token = F.transform("sig", lambda v, k: F.shiftleft(k.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
-    posted = reps.select("doc", F.explode(token).alias("token"))
-    lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    shared_tokens = posted.join(lists, "token").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("length", "token"))).alias("tokens"))
+    posted = reps.select("doc", "n_shingles", F.explode(token).alias("token"))
+    lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.sum("n_shingles").alias("weight")).filter("length > 1")
+    shared_tokens = posted.drop("n_shingles").join(lists, "token").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("length", "token", "weight"))).alias("tokens"))
     kept = shared_tokens.filter(F.size("tokens") >= matches)
     # coordinates that nobody shares come first in the prefix and need no posting
     prefix = kept.select("doc", F.explode(F.slice("tokens", 1, F.size("tokens") - (matches - 1))).alias("t"))
-    return shared.written(prefix.select(F.col("t.token").alias("token"), "doc", F.col("t.length").alias("length")), "postings")
+    return shared.written(prefix.select(F.col("t.token").alias("token"), "doc", F.col("t.length").alias("length"), F.col("t.weight").alias("weight")), "postings")
 
 
 def short_pairs(posted: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
@@ -145,11 +149,22 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, te
                 yield found.filter(pa.array(same, pa.bool_()))
 
     texts = docs.select(F.col(id_col).cast("long").alias("text_id"), shared.text_of(text_col).alias("text"))
+    texts = _likely(texts, wanted)
     rows = texts.join(wanted, F.col("text_id").eqNullSafe(F.col("id"))).select("doc", "digest", "text")
     # repeated rows give a set again
     return shared.written(shared.map_arrow(rows, made, "doc long, shingles binary").dropDuplicates(["doc"]), "shingle-sets")
 
 
+def _likely(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose identifier may be wanted, by one bit of its hash: what is broadcast has a fixed largest size."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    bitmaps = wanted.groupBy(F.bitmap_bucket_number(bit("id")).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit("id"))).alias("bits"))
+    place = F.bitmap_bit_position(bit("text_id"))
+    byte = F.conv(F.hex(F.substr("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    near = texts.join(F.broadcast(bitmaps), F.bitmap_bucket_number(bit("text_id")) == F.col("bucket"))
+    return near.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(texts.columns)
+
+
 def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have the similarity asked for."""
 
@@ -207,7 +222,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 def long_links(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of lists longer than SHORT: a spanning forest of what is confirmed between each two blocks of a list."""
     posted = posted.filter(F.col("length") > SHORT)
-    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
+    blocks = F.ceil(F.greatest(F.col("length") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     meets = posted.select("token", "doc", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
         "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc"
@@ -221,12 +236,12 @@ def long_links(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
         edges = []
-        for lo in range(0, len(left), BLOCK):
-            for hi in range(0, len(right), BLOCK):
-                x, y = left[lo : lo + BLOCK], right[hi : hi + BLOCK]
+        for lo in range(0, len(left), TILE):
+            for hi in range(lo if first == second else 0, len(right), TILE):
+                x, y = left[lo : lo + TILE], right[hi : hi + TILE]
                 p, q = np.nonzero(linked([sets[k] for k in x], [sets[k] for k in y], percent))
-                edges.append((docs[x[p]], docs[y[q]]))
-        found = _forest(np.concatenate([e[0] for e in edges]), np.concatenate([e[1] for e in edges]))
+                edges += _forest(docs[x[p]], docs[y[q]])
+        found = _forest(*np.array(edges, np.int64).reshape(-1, 2).T)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     shared.ship(sets.sparkSession)
@@ -272,9 +287,9 @@ def near_duplicates(
     sigs = signatures(docs, width, id_col, text_col)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
     # a signature follows from the set, so any of a class will do
-    classes = shared.written(sigs.filter("digest IS NOT NULL").groupBy("digest").agg(best, F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "set-classes")
+    classes = shared.written(sigs.filter("digest IS NOT NULL").groupBy("digest").agg(best, F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("copies")), "set-classes")
     # a class goes by the row of its best member from here on
-    reps = classes.select(F.col("best.row").alias("doc"), F.col("best.doc_id").alias("id"), "digest", "sig")
+    reps = classes.select(F.col("best.row").alias("doc"), F.col("best.doc_id").alias("id"), "digest", "n_shingles", "sig")
     matches = least_matches(percent) if matches is None else matches
     posted = postings(reps, matches)
     pairs = shared.written(short_pairs(posted, reps, matches), "pairs")
