@@ -32,6 +32,7 @@ STATES, CLASSES, ROUNDS = 8, 4096, 6
 SEGMENT = 256
 #: Tokens after which a block is full; a longer text is a block of its own.
 BLOCK = 1_000_000
+#: Expected counts are made in single precision and summed in double; scoring is in double throughout.
 #: Added to each expected emission and transition count.
 PRIOR = 0.1
 
@@ -79,7 +80,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def text_blocks(docs: DataFrame, held, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long"), F.coalesce(held, F.lit(False)), shared.text_of(text_col).cast("binary"))
-    return shared.written(rows.mapInArrow(_blocks, BLOCK_SCHEMA), "lm-blocks")
+    return shared.written(shared.map_arrow(rows, _blocks, BLOCK_SCHEMA), "lm-blocks")
 
 
 def corpus_counts(blocks: DataFrame) -> DataFrame:
@@ -113,56 +114,75 @@ def _sequences(codes: bytes, classes: bytes, lengths: np.ndarray) -> tuple[np.nd
     return words, seq, starts
 
 
-def forward(seq: np.ndarray, starts: np.ndarray, n: np.ndarray, model: tuple, keep: bool = False) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
-    """Scaled forward recursion over sequences sorted by falling length.
+def by_time(starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order that puts the first tokens of all sequences before the second ones, and so on.
 
-    Returns the natural log-likelihood of each, the scaled forward values if they are to be kept, and the scale of each token.
+    starts and n belong to sequences sorted by falling length, so those still running are always the first ones.
+    Returns the tokens' places, their sequences, and how many sequences run at each step.
     """
-    first, step, emit = model
-    alpha, scale = np.empty((len(seq), len(first))) if keep else None, np.empty(len(seq))
     active = np.searchsorted(-n, -np.arange(int(n[0]) if len(n) else 0), side="left")
-    now = None
-    for t, k in enumerate(active):
-        at = starts[:k] + t
-        now = (first if now is None else now[:k] @ step) * emit[seq[at]]
-        s = now.sum(axis=1)
-        now = now / s[:, None]
-        scale[at] = s
+    which = np.arange(int(n.sum())) - np.repeat(np.cumsum(active) - active, active)
+    return starts[which] + np.repeat(np.arange(len(active)), active), which, active
+
+
+def forward(seq: np.ndarray, active: np.ndarray, model: tuple, keep: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Scaled forward recursion over tokens in order of time: the scale of each token, and the scaled values if they are to be kept.
+
+    The sum of a sequence's log scales is its log-likelihood. Arrays have a row for each state, so that every
+    operation runs along the sequences.
+    """
+    first, step, emit = model
+    scale = np.empty(len(seq), emit.dtype)
+    alpha = np.empty((len(first), len(seq)), emit.dtype) if keep else None
+    move, now, at = np.ascontiguousarray(step.T), None, 0
+    for k in active:
+        here = emit.take(seq[at : at + k], axis=1)
+        here *= first[:, None] if now is None else move @ now[:, :k]
+        s = here.sum(axis=0)
+        here /= s
+        scale[at : at + k] = s
         if keep:
-            alpha[at] = now
-    return np.add.reduceat(np.log(scale), starts) if len(n) else np.zeros(0), alpha, scale
+            alpha[:, at : at + k] = here
+        now, at = here, at + k
+    return scale, alpha
 
 
-def expected_counts(seq: np.ndarray, starts: np.ndarray, n: np.ndarray, model: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, transitions and emissions (state by class) of sequences sorted by falling length."""
+def expected_counts(seq: np.ndarray, active: np.ndarray, model: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, transitions and emissions (state by class) of sequences whose tokens are in order of time."""
     first, step, emit = model
-    _, alpha, scale = forward(seq, starts, n, model, keep=True)
-    states = len(first)
-    gamma, moves = np.empty_like(alpha), np.zeros((states, states))
-    beta = np.ones((len(n), states))
-    active = np.searchsorted(-n, -np.arange(int(n[0]) if len(n) else 0), side="left")
+    scale, alpha = forward(seq, active, model, keep=True)
+    states, moves = len(first), np.zeros((len(first), len(first)))
+    ends = np.cumsum(active)
+    beta = np.ones((states, active[-1] if len(active) else 0), emit.dtype)
     for t in range(len(active) - 1, -1, -1):
-        k = active[t]
-        at = starts[:k] + t
-        more = active[t + 1] if t + 1 < len(active) else 0
-        if more:
-            following = at[:more] + 1
-            ahead = emit[seq[following]] * beta[:more] / scale[following][:, None]
-            moves += alpha[at[:more]].T @ ahead
-            beta[:more] = ahead @ step.T
-        gamma[at] = alpha[at] * beta[:k]
-    emissions = np.stack([np.bincount(seq, weights=gamma[:, s], minlength=emit.shape[0]) for s in range(states)])
-    return gamma[starts].sum(axis=0), moves * step, emissions
+        lo, hi = ends[t] - active[t], ends[t]
+        now = alpha[:, lo:hi]
+        if t:
+            # what the step before needs of this one
+            ahead = emit.take(seq[lo:hi], axis=1)
+            ahead *= beta
+            ahead /= scale[lo:hi]
+            k = active[t - 1]
+            before = alpha[:, lo - k : lo]
+            moves += before[:, : hi - lo] @ ahead.T
+            now *= beta  # alpha holds gamma from here on
+            beta = np.ones((states, k), emit.dtype)
+            beta[:, : hi - lo] = step @ ahead
+        else:
+            now *= beta
+    emissions = np.stack([np.bincount(seq, weights=alpha[s], minlength=emit.shape[1]) for s in range(states)])
+    starts = alpha[:, : active[0]].sum(axis=1) if len(active) else np.zeros(states)
+    return starts, moves * step, emissions
 
 
 def start_model(class_tokens: np.ndarray) -> tuple:
     """States that differ by a fixed random tilt of the corpus's class shares and like to stay as they are."""
     rng = np.random.default_rng(7)
     share = (class_tokens + 1) / (class_tokens + 1).sum()
-    emit = share[:, None] * rng.gamma(4.0, 0.25, (len(share), STATES))
+    emit = share * rng.gamma(4.0, 0.25, (STATES, len(share)))
     step = np.full((STATES, STATES), 0.1 / max(1, STATES - 1))
     np.fill_diagonal(step, 0.9)
-    return np.full(STATES, 1 / STATES), step, emit / emit.sum(axis=0)
+    return np.full(STATES, 1 / STATES), step, emit / emit.sum(axis=1, keepdims=True)
 
 
 def baum_welch(blocks: DataFrame, model: tuple, rounds: int = ROUNDS) -> tuple:
@@ -173,7 +193,7 @@ def baum_welch(blocks: DataFrame, model: tuple, rounds: int = ROUNDS) -> tuple:
         current = spark.sparkContext.broadcast(model)
 
         def expect(batches: Iterator[pa.RecordBatch], current=current) -> Iterator[pa.RecordBatch]:
-            total = None
+            total, fast = None, tuple(x.astype(np.float32) for x in current.value)
             for batch in batches:
                 for row in batch.to_pylist():
                     lengths = np.array(row["lengths"], np.int32)
@@ -185,10 +205,8 @@ def baum_welch(blocks: DataFrame, model: tuple, rounds: int = ROUNDS) -> tuple:
                     begin = np.repeat(starts[used], parts) + k * SEGMENT
                     size = np.minimum(np.repeat(n, parts) - k * SEGMENT, SEGMENT)
                     order = np.argsort(-size, kind="stable")
-                    begin, size = begin[order], size[order]
-                    # a copy without the texts held out, so that no array has unused places
-                    flat = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-                    got = expected_counts(seq[flat], np.cumsum(size) - size, size, current.value)
+                    place, _, active = by_time(begin[order], size[order])
+                    got = expected_counts(seq[place], active, fast)
                     total = got if total is None else tuple(a + b for a, b in zip(total, got, strict=True))
             if total is not None:
                 first, moves, emissions = total
@@ -196,12 +214,12 @@ def baum_welch(blocks: DataFrame, model: tuple, rounds: int = ROUNDS) -> tuple:
                 state, key = np.tile(np.arange(STATES), len(table)), np.repeat(np.arange(len(table)), STATES)
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(state, pa.int32()), pa.array(table.ravel())], ["key", "state", "value"])
 
-        sums = body.mapInArrow(expect, "key int, state int, value double").groupBy("key", "state").agg(F.sum("value").alias("value")).toPandas()
+        sums = shared.map_arrow(body, expect, "key int, state int, value double").groupBy("key", "state").agg(F.sum("value").alias("value")).toPandas()
         if len(sums):
             table = np.zeros((CLASSES + 1 + STATES + 1, STATES))
             table[sums["key"], sums["state"]] = sums["value"]
             emit, moves, first = table[: CLASSES + 1] + PRIOR, table[CLASSES + 1 : -1] + PRIOR, table[-1] + PRIOR
-            model = first / first.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
+            model = first / first.sum(), moves / moves.sum(axis=1, keepdims=True), np.ascontiguousarray((emit / emit.sum(axis=0)).T)
         current.unpersist()
     return model
 
@@ -248,16 +266,16 @@ def score_texts(docs: DataFrame, held, id_col: str = "doc_id", text_col: str = "
                 base = np.bincount(doc, weights=gain[codes], minlength=len(n)) + np.log10(ends + 1) - n * np.log10(train + distinct + 1)
                 inside = np.bincount(doc, weights=gain[codes], minlength=len(n)) - np.add.reduceat(in_class[seq], starts)
                 order = np.argsort(-n, kind="stable")
+                place, which, active = by_time(starts[order], n[order])
+                scale, _ = forward(seq[place], active, model)
                 likelihood = np.empty(len(n))
-                size = n[order]
-                flat = np.repeat(starts[order] - (np.cumsum(size) - size), size) + np.arange(len(seq))
-                likelihood[order] = forward(seq[flat], np.cumsum(size) - size, size, model)[0] / np.log(10)
+                likelihood[order] = np.bincount(which, weights=np.log10(scale), minlength=len(n))
                 columns = [row["ids"].values, row["held"].values, n, known.astype(np.int64), np.full(len(n), train), base, likelihood + inside]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
     counts = counted.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "count"))).alias("c")).select("block", F.col("c.count").alias("counts"))
     body = blocks.select("block", "ids", "held", "lengths", "codes", "classes").join(counts, "block", "left")
-    return body.drop("block").mapInArrow(scored, SCORE_SCHEMA)
+    return shared.map_arrow(body.drop("block"), scored, SCORE_SCHEMA)
 
 
 def op2_hmm_scoring(spark, sf_dir):
