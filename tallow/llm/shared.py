@@ -30,9 +30,12 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: later steps read it instead of computing it again."""
+    """df as a Parquet table in the shared folder: later steps read it instead of computing it again.
+
+    Tables lie in one folder for each application, to be deleted when it has ended.
+    """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -62,9 +65,12 @@ def keep_decided(docs: DataFrame, decisions: DataFrame, key: Column, id_col: str
         F.bool_or("kept").alias("lost_stays"), F.count(F.lit(1)).alias("lost_rows")
     )
     lost = written(lost.filter("NOT lost_stays OR lost_rows > 1"), "lost-keys")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("lost_id")) & (key == F.col("lost_key"))
-    repeated = docs.join(lost.filter("lost_stays").drop("lost_stays", "lost_rows"), same, "inner")
-    return docs.join(lost, same, "left_anti").unionByName(repeated.dropDuplicates(["lost_id", "lost_key"]).select(docs.columns))
+    # the row as one value, so that no name of its columns clashes
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    rows = docs.select(whole, F.col(id_col).cast("long").alias("doc_id"), key.alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("key") == F.col("lost_key"))
+    repeated = rows.join(lost.filter("lost_stays"), same, "left_semi").dropDuplicates(["doc_id", "key"])
+    return rows.join(lost, same, "left_anti").unionByName(repeated).select("doc.*")
 
 
 def words_of(text: str | None) -> list[bytes]:
