@@ -27,7 +27,7 @@ WEIGHT, SWITCH, PRIOR = 3.0, 6.0, 0.5
 #: A language is a candidate for a script that at least this share of its training words is written in.
 SCRIPT_SHARE = 0.001
 #: Tokens that are labelled together.
-BLOCK = 1_000_000
+BLOCK = 500_000
 
 # First code points of script ranges, and the script of each range (0: none of those listed).
 SCRIPT_STARTS = [0x0, 0x41, 0x5B, 0x61, 0x7B, 0xAA, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0xE00, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x3100, 0x3400, 0xAC00, 0xD7B0]
@@ -183,15 +183,26 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndar
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    def decided(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pred, score, _, _ = label_texts([t or "" for b in batches for t in b.column(at).to_pylist()], sent.value)
+        keep = pa.array([p != "und" and s >= least for p, s in zip(pred, score, strict=True)], pa.bool_())
+        done = 0
+        for b in batches:
+            yield b.filter(keep.slice(done, b.num_rows))
+            done += b.num_rows
+
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            # lots of about as many characters as a block has elsewhere
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            lot = np.cumsum([len(t) for t in texts]) // (5 * BLOCK)
-            cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1), len(texts)]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                pred, score, _, _ = label_texts(texts[lo:hi], sent.value)
-                yield batch.slice(lo, hi - lo).filter(pa.array([p != "und" and s >= least for p, s in zip(pred, score, strict=True)], pa.bool_()))
+            waiting.append(batch)
+            size += batch.column(at).nbytes
+            # about as much text as a block has elsewhere
+            if size >= 5 * BLOCK:
+                yield from decided(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield from decided(waiting)
 
     return shared.map_arrow(docs, kept, docs.schema)
 

@@ -54,18 +54,17 @@ _ADD = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
 class Shingler:
-    """Sets of shingle hashes of texts; hashes of words are kept, up to a bound."""
+    """Sets of shingle hashes of texts."""
 
     def __init__(self, width: int):
         self.width = width
-        self.hash = shared.Kept(xxhash.xxh3_64_intdigest, 300_000, 64)
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the runs of ``width`` words; of a shorter text, the one of all its words; none of no words."""
         words = shared.words_of(text)
         if not words:
             return np.zeros(0, np.uint64)
-        h = np.fromiter(map(self.hash.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         width = min(self.width, len(words))
         # a shorter text differs from any shingle by its width
         out = np.full(len(h) - width + 1, width, np.uint64)

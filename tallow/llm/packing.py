@@ -35,7 +35,7 @@ END_ID = 1
 CHUNKS = re.compile(r"\s*\S+|\s+")
 #: Separators that Python counts as white space and the tokenizer's pattern doesn't.
 ODD = re.compile("[\x1c-\x1f]")
-KEPT, LONGEST = 400_000, 64
+KEPT, LONGEST = 100_000, 64
 
 
 class ByteTokenizer:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallow.shipping import ship
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Runs of ASCII white space, as in the operators' contracts.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -45,8 +46,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """mapInArrow with this package importable in the workers."""
+    """mapInArrow with this package importable in the workers, and batches of fewer rows than Spark's default, as texts may be long."""
     ship(df.sparkSession)
+    conf = df.sparkSession.conf
+    if conf.get(BATCH) == "10000":
+        conf.set(BATCH, "1000")
     return df.mapInArrow(function, schema)
 
 
