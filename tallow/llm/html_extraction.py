@@ -47,6 +47,10 @@ AWAY_WORDS = frozenset(
     "related recommended recommendations widget toolbar pagination pager copyright legal search skip complementary contentinfo hidden".split()
 )
 MAIN_WORDS = frozenset("article articlebody content main post entry story body text prose".split())
+#: Of the words above, those of what readers wrote.
+READER_WORDS = frozenset("comment comments reply replies respond disqus discussion".split())
+#: First words of a name that tells what an element has, not what it is.
+HAVING = frozenset("has with without".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -56,23 +60,31 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 NEXT, SIBLING = 1.0, 1.5
 #: Cost that no smoothness outweighs.
 SURE = 1000.0
-#: An element with more than this share of a page's text isn't boilerplate for its class words alone.
+#: An element with more than this share of a page's text may be a wrapper of the main text, if it holds that.
 WRAPPER = 0.6
+#: Code points from which unlinked text is prose.
+PROSE = 80
 
 
 class Element:
-    __slots__ = ("away", "chars", "depth", "main", "name", "parent", "words")
+    __slots__ = ("away", "chars", "depth", "main", "marked", "name", "parent", "plain", "words")
 
     def __init__(self, name: str, parent: Element | None, attributes: str):
         self.name, self.parent, self.chars = name, parent, 0
         self.depth = parent.depth + 1 if parent else 0
         self.words: set[str] = set()
         self.away = name in AWAY
+        # whether a word marks it as boilerplate, and whether a name of it is nothing but main words
+        self.marked, self.plain = False, name in ("article", "main")
         if attributes and not attributes.isspace():
             for key, a, b, c in ATTRIBUTE.findall(attributes):
                 key = key.lower()
                 if key in ("class", "id", "role"):
-                    self.words.update(w.lower() for w in WORD.findall(a or b or c))
+                    for word in (a or b or c).split():
+                        parts = [w.lower() for w in WORD.findall(word)]
+                        self.words.update(parts)
+                        self.marked = self.marked or (bool(AWAY_WORDS.intersection(parts)) and parts[0] not in HAVING)
+                        self.plain = self.plain or (bool(parts) and MAIN_WORDS.issuperset(parts))
                 elif key == "hidden" or (key == "aria-hidden" and (a or b or c) == "true") or (key == "style" and "display:none" in (a or b or c).replace(" ", "")):
                     self.away = True
         self.main = name in ("article", "main") or bool(self.words & MAIN_WORDS)
@@ -163,29 +175,85 @@ def _closed(at: Element, names: set[str]) -> Element:
     return at
 
 
+def wrappers(blocks: list[Block]) -> set[Element]:
+    """Elements that their name or words call boilerplate although they hold the main text.
+
+    A share of the text isn't enough, as comments or a sidebar may be longer than the article. A marked element must
+    hold the headline, or, where no main element stands outside of marked ones, most of its text in a main element.
+    It must also be large or have a main word itself. A form must be large and hold a main element, a headline or prose.
+    """
+    total = sum(len(b.text) for b in blocks)
+    chains: dict[Element, list[Element]] = {}
+    for b in blocks:
+        if b.element not in chains:
+            chains[b.element] = list(_chain(b.element))
+    elements = {e for chain in chains.values() for e in chain}
+    if not any(e.marked or e.name == "form" for e in elements):
+        return set()
+    large = {e for e in elements if e.chars > WRAPPER * total}
+    found: set[Element] = set()
+    forms: set[Element] = set()
+    for b in blocks:
+        chain = chains[b.element]
+        for k, e in enumerate(chain):
+            if e.marked or (e.away and e.name != "form"):
+                break
+            if e.name == "form" and e in large and (any(x.main or x.name == "h1" for x in chain[:k]) or _prose(b)):
+                forms.add(e)
+    clean = clean_main = 0
+    headline: list[Element] = []
+    nested: set[Element] = set()
+    for b in blocks:
+        chain = chains[b.element]
+        if any(e.away and e not in forms for e in chain):
+            continue
+        marked = [e for e in chain if e.marked]
+        if not marked:
+            clean += len(b.text)
+            clean_main += len(b.text) * any(e.main for e in chain)
+        elif not any(e.words & READER_WORDS for e in marked):
+            nested.update(e for e in chain if e.main and (e.plain or not e.marked))
+        if not headline and any(e.name == "h1" for e in chain) and 2 * b.linked < len(b.text):
+            site = any(e.name == "header" and not _inside(e.parent, lambda x: x.name in ("article", "main")) for e in chain)
+            if not site and all(e in large or e.main for e in marked):
+                headline = chain
+    for e in elements:
+        if not e.marked or not (e in large or e.main):
+            continue
+        readers = bool(e.words & READER_WORDS)
+        if e in headline and not (readers and clean_main >= PROSE):
+            found.add(e)
+    if clean_main < PROSE:
+        for e in nested:
+            # a main element by its words alone may be part of a sidebar beside text that nothing marks
+            if clean < PROSE or e.name in ("article", "main"):
+                found.update(x for x in _chain(e) if x.marked and (x in large or x.main) and 2 * e.chars > x.chars)
+    return found | forms
+
+
 def costs(blocks: list[Block]) -> list[float]:
     """For each block the cost of calling it boilerplate less that of calling it content; SURE settles it."""
-    total = sum(len(b.text) for b in blocks) or 1
-    has_main = any(_inside(b.element, lambda e: e.main) for b in blocks)
+    wrapping = wrappers(blocks)
+    known: dict[Element, tuple[bool, bool]] = {}
+    for b in blocks:
+        if b.element in known:
+            continue
+        away = main = heading = headed = False
+        for e in _chain(b.element):
+            heading = heading or (len(e.name) == 2 and e.name[0] == "h" and e.name[1].isdigit())
+            if e.name == "header":
+                # a heading at the head of an article belongs to it
+                headed = True
+                away = away or not (heading and _inside(e.parent, lambda x: x.name in ("article", "main")))
+            elif e not in wrapping:
+                away = away or e.away or (e.marked and not (heading and headed))
+            main = main or e.main
+        known[b.element] = (away, main)
+    # a main element within boilerplate, as the text of a comment, says nothing of the rest
+    has_main = any(main and not away for away, main in known.values())
     out = []
-    known: dict[int, tuple[bool, bool]] = {}
     for b in blocks:
-        found = known.get(id(b.element))
-        if found is None:
-            away = main = heading = headed = False
-            e: Element | None = b.element
-            while e is not None:
-                heading = heading or (len(e.name) == 2 and e.name[0] == "h" and e.name[1].isdigit())
-                if e.name == "header":
-                    # a heading at the head of an article belongs to it
-                    headed = True
-                    away = away or not (heading and _inside(e.parent, lambda x: x.name in ("article", "main")))
-                else:
-                    away = away or e.away or (bool(e.words & AWAY_WORDS) and e.chars <= WRAPPER * total and not (heading and headed))
-                main = main or e.main
-                e = e.parent
-            found = known[id(b.element)] = (away, main)
-        away, main = found
+        away, main = known[b.element]
         if away:
             out.append(-SURE)
             continue
@@ -198,6 +266,17 @@ def costs(blocks: list[Block]) -> list[float]:
     return out
 
 
+def _prose(b: Block) -> bool:
+    return len(b.text) - b.linked >= PROSE
+
+
+def _chain(e: Element | None) -> Iterator[Element]:
+    """The element and those that it stands in, from the inside."""
+    while e is not None:
+        yield e
+        e = e.parent
+
+
 def _inside(e: Element | None, holds) -> bool:
     while e is not None:
         if holds(e):

@@ -31,6 +31,37 @@ def test_main_text():
     assert html_extraction.main_blocks('<p title="a>b">q</p>') == ["q"]
 
 
+BODY = "The river rose for three days before anyone in the village thought of moving the animals up the hill. "
+TALK = "I do not agree with this at all, and I have said so many times before under other texts of this paper. " * 5
+
+
+def test_much_boilerplate_is_no_main_text():
+    text = f"<p>{BODY}</p>"
+    for away in ("section class=comments", "div class=sidebar", "div id=cookie-notice"):
+        for inner in ("p", "article", "div class=comment-body"):
+            much = f"<{away}>" + f"<{inner}>{TALK}</{inner.split()[0]}>" * 5 + f"</{away.split()[0]}>"
+            pages = [f"<article>{text}</article>{much}", f"<main><h1>T.</h1>{text}</main>{much}", f"<div class=post>{text}</div>{much}"]
+            # several articles beside unmarked text may be the main text, but not those in comments
+            pages += [f"<div>{text}</div>{much}", f"<article>{text}{much}</article>"]
+            for page in pages:
+                got = html_extraction.main_blocks(page)
+                assert BODY.strip() in got and TALK.strip() not in got, page[:80]
+
+
+def test_wrappers_of_main_text():
+    text = f"<p>{BODY}</p>"
+    rest = f"<footer>{TALK}</footer>"
+    for start in ("div class='content has-sidebar'", "div class='content sidebar-right'", "article class='post category-social'", "div class='post comments-open'"):
+        page = f"<{start}><h1>A title</h1>{text}<div class=sidebar>{TALK}</div></{start.split()[0]}>{rest}"
+        assert html_extraction.main_blocks(page) == ["A title", BODY.strip()], start
+    for page in (f"<div class='content sidebar-right'>{text}</div>{rest}", f"<div class='page sidebar-right'><article>{text}</article></div>", f"<div class='page with-sidebar'>{text}</div>"):
+        assert html_extraction.main_blocks(page) == [BODY.strip()], page[:80]
+    small = "<form><label>Name</label><input></form>"
+    for inside in (text, f"<article>{text}</article>", f"<div class=content>{text}</div>"):
+        assert html_extraction.main_blocks(f"<form id=aspnetForm><nav>Home</nav>{inside}</form>") == [BODY.strip()]
+        assert html_extraction.main_blocks(f"{inside}{small}") == [BODY.strip()]
+
+
 def test_cut_is_minimal():
     rng = random.Random(6)
     for _ in range(200):
