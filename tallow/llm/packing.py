@@ -39,7 +39,7 @@ KEPT, LONGEST = 100_000, 64
 
 
 class ByteTokenizer:
-    """ids of a byte-level BPE file in the format of the tokenizers library; special strings count as ordinary text."""
+    """ids of a byte-level BPE file in the format of the tokenizers library."""
 
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -47,7 +47,13 @@ class ByteTokenizer:
         import tiktoken
 
         spec = json.loads(file)
-        special = {x["content"] for x in spec.get("added_tokens", ())}
+        added = spec.get("added_tokens", ())
+        if any(x.get(k) for x in added for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that depend on what stands beside them")
+        special = {x["content"]: x["id"] for x in added}
+        self.added = {c: i.to_bytes(4, "little") for c, i in special.items()}
+        # the longest of those that start at one place
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         # the file shows a byte as its Latin-1 sign where that is printable, else as a sign from U+0100 on, in order
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         sign = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
@@ -58,8 +64,14 @@ class ByteTokenizer:
     def whole(self, text: str) -> bytes:
         return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
 
+    def encode_added(self, text: str) -> bytes:
+        """As encode, but the file's added tokens have their own ids, and text on either side is encoded for itself: the library's default."""
+        if self.cut is None:
+            return self.encode(text)
+        return b"".join(self.added[part] if k % 2 else self.encode(part) for k, part in enumerate(self.cut.split(text)))
+
     def encode(self, text: str) -> bytes:
-        """ids as little-endian unsigned 32-bit integers."""
+        """ids as little-endian unsigned 32-bit integers; added tokens count as ordinary text."""
         if ODD.search(text):
             return self.whole(text)
         return b"".join(map(self.known.__getitem__, CHUNKS.findall(text)))
@@ -135,8 +147,8 @@ def pack_documents(
 ) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if with_ids, ids.
 
-    A document's ids are those of its whole text (a null one counts as empty) and one end id, so every row of docs
-    has a piece; each id lies in exactly one piece, and a sequence keeps all three limits. Repeated rows are
+    A document's ids are those of its whole text (a null one counts as empty), with the file's added tokens as such,
+    and one end id, so every row of docs has a piece; each id lies in exactly one piece, and a sequence keeps all three limits. Repeated rows are
     documents of their own; null identifiers are kept; an empty table gives an empty result; other columns of
     docs are ignored. Sequence numbers are unique, not gapless. The tokenizer file is read once by the driver and
     sent to the workers (its size doesn't depend on the data).
@@ -159,7 +171,7 @@ def pack_documents(
         made: list[tuple] = []
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(tokenizer.encode(text.as_py()) + END_ID.to_bytes(4, "little"), "<u4")
+                ids = np.frombuffer(tokenizer.encode_added(text.as_py()) + END_ID.to_bytes(4, "little"), "<u4")
                 made.extend(packer.add(doc, ids))
                 if len(packer.items) >= POOL:
                     made.extend(packer.pack(LEFT))

@@ -117,3 +117,13 @@ def test_pack_operator(spark):
     for r in got:
         assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and r.length == len(r.ids) <= 2048
     assert packing.pack_documents(docs(spark, []), BYTES).count() == 0
+
+
+def test_added_tokens_are_the_librarys(spark):
+    plain = Tokenizer.from_file(BYTES)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", " <|endoftext|>\n\n x", "don<|endoftext|>'t", "a\x1c <|endoftext|>\x1d", "<|endoftext|", "none"]
+    got = {r.doc_id: r for r in packing.pack_documents(docs(spark, list(enumerate(texts))), BYTES).collect()}
+    for k, text in enumerate(texts):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(TOKENS.encode_added(text), "<u4").tolist() == ids
+        assert got[k].ids == [*ids, 1] and got[k].doc_tokens == len(ids) + 1
