@@ -53,6 +53,8 @@ READER_WORDS = frozenset("comment comments reply replies respond disqus discussi
 HAVING = frozenset("has with without".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
+#: Where a raw element ends, found in the page itself: lower case may have another length.
+ENDS = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -116,7 +118,7 @@ def parse(html: str) -> list[Block]:
         parts.clear()
         linked = 0
 
-    position, low = 0, None
+    position = 0
     while True:
         m = TAG.search(html, position)
         piece = html[position : m.start() if m else len(html)]
@@ -136,9 +138,8 @@ def parse(html: str) -> list[Block]:
             continue
         if not m[1]:
             if name in RAW:
-                low = low or html.lower()
-                end = low.find(f"</{name}", position)
-                position = len(html) if end < 0 else end
+                end = ENDS[name].search(html, position)
+                position = end.start() if end else len(html)
                 continue
             if name == "a":
                 links = 1

@@ -62,6 +62,11 @@ def test_wrappers_of_main_text():
         assert html_extraction.main_blocks(f"{inside}{small}") == [BODY.strip()]
 
 
+def test_raw_elements_after_letters_that_grow_in_lower_case():
+    assert html_extraction.main_blocks(f"<p>{'İ' * 20}.</p><SCRIPT>var a='<p>';</Script><p>Short.</p><style>x</STYLE><p>Last.</p>") == ["İ" * 20 + ".", "Short.", "Last."]
+    assert html_extraction.main_blocks("<p>a.</p><style>x</ſtyle><p>b.</p></style><p>c.</p>") == ["a.", "c."]
+
+
 def test_cut_is_minimal():
     rng = random.Random(6)
     for _ in range(200):
