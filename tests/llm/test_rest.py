@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallow.llm import hilbert_shards, html_extraction, media, registry, reply_trees
+from tallow.llm import hilbert_shards, html_extraction, language_id, media, registry, reply_trees
 from tests.conftest import SF
 from tests.llm.common import ROWS, docs
 from tests.test_queries import same_rows
@@ -202,6 +202,18 @@ def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
 
 
+def test_pipeline_keeps_mixed_texts(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.lang: r.text for r in d.filter("n_chars BETWEEN 400 AND 900").collect()}
+    parts = [" ".join(texts[lang].split()).encode()[:n].decode("utf-8", "ignore") for lang, n in (("en", 360), ("de", 300), ("fr", 300))]
+    mixed = spark.createDataFrame([(10**9, " ".join(parts), "en", "s", 0), (10**9 + 1, "12 -- 34", "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    both = d.unionByName(mixed.select([F.col(f.name).cast(f.dataType) for f in d.schema]))
+    score = language_id.identify(both, language_id.train(both, F.lit(True))).filter(f"doc_id = {10**9}").first().score
+    assert 0 < score < 0.5
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, both, SF).select("doc_id").collect()}
+    assert 10**9 in kept and 10**9 + 1 not in kept
+
+
 def test_pipeline(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     kept = d
