@@ -1,8 +1,10 @@
 r"""Chat formatting of reply trees, with DataFrame functions alone.
 
-Nodes name their parents. Self-joins by pointer doubling give each node its ancestor 1, 2, 4, ... steps up, its depth
-and the score of its path from the root; a tree of depth d takes log2(d) rounds. Leaves are ranked by that score, and
-the stored ancestors of the chosen leaves, taken from the longest step down, list every node of each chosen path once.
+Nodes name their parents. Nodes that follow one another, each the parent of the next, first become runs. Self-joins
+by pointer doubling then give each run the run 1, 2, 4, ... steps above it, and the nodes and the score of its path
+from the root; a path through d runs takes log2(d) rounds, none where whole conversations are one run. Leaves are
+ranked by the score, and the stored jumps of the chosen leaves, taken from the longest down, list every run of each
+chosen path once, and with it its nodes.
 
 Template of a turn: ``<turn ROLE>TEXT</turn>`` and a line feed. Inside roles and texts ``\`` is written ``\b``, ``<``
 ``\l`` and ``>`` ``\g``, so no text holds a control string, and reading ``\l`` and ``\g`` back before ``\b`` restores it.
@@ -10,11 +12,14 @@ Template of a turn: ``<turn ROLE>TEXT</turn>`` and a line feed. Inside roles and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import shared
 
+#: Numbers of nodes, or turns, that are looked at together.
+STRETCH = 4096
 HEAD, CLOSE, TAIL = "<turn ", ">", "</turn>\n"
 ESCAPES = (("\\", "\\b"), ("<", "\\l"), (">", "\\g"))
 
@@ -31,52 +36,124 @@ def unescaped(text: Column) -> Column:
     return text
 
 
-def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
-    """Nodes of the best root-to-leaf paths: tree, leaf, branch (1 is best), depth (1 is the root), role, text.
+def stretches(ids: Column, numeric: bool) -> Column:
+    """Groups of neighbouring identifiers, so that one tree's rows lie in many; other than whole numbers have no neighbours."""
+    return F.floor(ids / F.lit(STRETCH)).cast("long") if numeric else F.xxhash64(ids)
 
-    nodes has tree_id, node_id, parent_id, role, text and score (a number; null counts as 0). A null parent_id or
-    one that isn't a node of the tree makes a root. Paths rank by the sum of their scores; of equal ones the
-    smaller leaf goes first. Repeated rows of one node count once (the smallest by parent, role, text). Nodes
-    that reach no root, because parents form a cycle, are on no path. A null tree_id is a tree of its own.
+
+def runs_of(nodes: DataFrame) -> DataFrame:
+    """Nodes as runs: rows (tree, tree_id, node, parent, role, text, head, k, cum, tail).
+
+    A node whose parent is the one before it in its stretch goes on with that one's run. ``head`` is the run's first
+    node, k the place in the run from 0, cum the sum of scores up to the node, tail whether the run ends with it.
+    All windows share one shuffle, by stretch, so no tree is a hot group.
     """
-    # an id that joins also where it is null
-    tree = F.coalesce(F.col("tree_id").cast("string"), F.lit("null")).alias("tree")
-    body = F.struct(
-        "parent_id",
+    numeric = isinstance(nodes.schema["node_id"].dataType, T.IntegralType)
+    rows = nodes.select(
+        # an id that joins also where it is null
+        F.coalesce(F.col("tree_id").cast("string"), F.lit("null")).alias("tree"),
+        "tree_id",
+        F.col("node_id").alias("node"),
+        F.col("parent_id").alias("parent"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce("score", F.lit(0)).alias("score"),
+        stretches(F.col("node_id"), numeric).alias("stretch"),
+    )
+    place = Window.partitionBy("tree", "stretch")
+    every = place.orderBy("node", "parent", "role", "text", "score")
+    again = F.lag(F.lit(True)).over(every).isNotNull() & F.col("node").eqNullSafe(F.lag("node").over(every))
+    once = rows.withColumn("again", again).filter("NOT again")
+    by_node = place.orderBy("node")
+    goes_on = F.coalesce(F.lag("node").over(by_node) == F.col("parent"), F.lit(False))
+    numbered = once.withColumn("starts", (~goes_on).cast("int")).withColumn("run", F.sum("starts").over(by_node))
+    run = Window.partitionBy("tree", "stretch", "run").orderBy("node")
+    return numbered.select(
+        "tree",
         "tree_id",
+        "node",
+        "parent",
+        "role",
+        "text",
+        F.first("node").over(run).alias("head"),
+        (F.row_number().over(run) - 1).cast("long").alias("k"),
+        F.sum("score").over(run).alias("cum"),
+        F.lead(F.lit(False), 1, True).over(run).alias("tail"),
     )
-    base = nodes.groupBy(tree, F.col("node_id").alias("node")).agg(F.min(body).alias("b")).select("tree", "node", "b.*")
-    base = shared.written(base, "tree-nodes")
-    names = ["tree", "node", "anc", "total", "depth"]
-    start = base.select("tree", "node", F.col("parent_id").alias("anc"), F.col("score").alias("total"), F.lit(1).alias("depth"))
-    known = base.select("tree", F.col("node").alias("anc"))
-    # climbing: nodes whose path goes on above anc; placed: nodes whose path to the root is known in full
-    climbing = shared.written(start.join(known, ["tree", "anc"], "left_semi").select(names), "tree-climbing")
-    roots = start.join(known, ["tree", "anc"], "left_anti").select("tree", "node", "total", "depth")
-    placed = shared.written(roots, "tree-placed")
-    levels = []
-    # a path visits no node twice, so more rounds than the nodes' number has bits only follow cycles
-    for _ in range(base.count().bit_length() + 1):
-        if climbing.isEmpty():
+
+
+def climb(base: DataFrame) -> tuple[DataFrame | None, list[DataFrame]]:
+    """From each run to the root of its tree, by pointer doubling; None where every run starts at a root.
+
+    Rows (tree, head, anc, at, total, depth, hops): the run ``anc`` is ``hops`` runs above, the path leaves it at its
+    place ``at``, and ``total`` and ``depth`` are the score and the nodes of the path above ``head`` as far as that.
+    Each round joins the table with itself, which doubles the hops of all that haven't reached a root. Runs on a
+    cycle, or below one, never do and are left out. The second result holds every round's table.
+    """
+    above = base.select("tree", F.col("node").alias("parent"), F.col("head").alias("anc"), F.col("k").alias("at"), F.col("cum").alias("total"))
+    firsts = base.filter("k = 0 AND parent IS NOT NULL").select("tree", "head", "parent")
+    steps = firsts.join(above, ["tree", "parent"]).select("tree", "head", "anc", "at", "total", (F.col("at") + 1).alias("depth"), F.lit(1).cast("long").alias("hops"))
+    rows, levels = Observation(), []
+    now = shared.written(steps.observe(rows, F.count(F.lit(1)).alias("n")), "tree-climb")
+    count = rows.get["n"]
+    if not count:
+        return None, []
+    # a path visits no run twice, so more rounds than the runs' number has bits only follow cycles
+    for _ in range(count.bit_length() + 1):
+        levels.append(now)
+        up = now.select("tree", F.col("head").alias("anc"), F.col("anc").alias("up"), F.col("at").alias("up_at"), F.col("total").alias("t"), F.col("depth").alias("d"), F.col("hops").alias("h"))
+        moved = now.join(up, ["tree", "anc"], "left").select(
+            "tree",
+            "head",
+            F.coalesce("up", "anc").alias("anc"),
+            F.coalesce("up_at", "at").alias("at"),
+            # a sum around a cycle may leave the range of its type; such runs are left out in the end
+            F.coalesce(F.try_add("total", F.coalesce("t", F.lit(0))), "total").alias("total"),
+            (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
+            (F.col("hops") + F.coalesce("h", F.lit(0))).alias("hops"),
+            F.col("up").isNotNull().alias("moved"),
+        )
+        rows = Observation()
+        now = shared.written(moved.observe(rows, F.count_if("moved").alias("n")), "tree-climb")
+        if not rows.get["n"]:
             break
-        levels.append(climbing)
-        above = climbing.unionByName(placed, allowMissingColumns=True)
-        above = above.select("tree", F.col("node").alias("anc"), F.col("anc").alias("up"), F.col("total").alias("t"), F.col("depth").alias("d"))
-        sums = [(F.col(a) + F.col(b)).alias(a) for a, b in (("total", "t"), ("depth", "d"))]
-        higher = shared.written(climbing.join(above, ["tree", "anc"]).select("tree", "node", F.col("up").alias("anc"), *sums), "tree-higher")
-        climbing = higher.filter("anc IS NOT NULL")
-        placed = placed.unionByName(higher.filter("anc IS NULL").drop("anc"))
-    leaves = placed.join(base.select("tree", F.col("parent_id").alias("node")), ["tree", "node"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
+    return now.filter("NOT moved"), levels
+
+
+def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
+    """Nodes of the best root-to-leaf paths: tree, leaf, branch (1 is best), depth (1 is the root), tree_id, role, text.
+
+    nodes has tree_id, node_id, parent_id, role, text and score (a number; null counts as 0). A null parent_id or
+    one that isn't a node of the tree makes a root. Paths rank by the sum of their scores; of equal ones the
+    smaller leaf goes first. Repeated rows of one node count once (the smallest by parent, role, text). Nodes
+    that reach no root, because parents form a cycle, are on no path, nor is a null node_id. A null tree_id is a tree of its own.
+    """
+    base = shared.written(runs_of(nodes), "tree-nodes")
+    top, levels = climb(base)
+    leaves = base.filter("tail").select("tree", "node", "head", "k", "cum")
+    if top is not None:
+        firsts = base.filter("k = 0").select("tree", "head", F.col("parent").alias("node"))
+        # runs below a root: those that start at one, and those that climbed to one
+        below = base.filter("k = 0").select("tree", "head").join(levels[0].select("tree", "head"), ["tree", "head"], "left_anti")
+        below = below.withColumns({"total": F.lit(0).cast(top.schema["total"].dataType), "above": F.lit(0).cast("long")})
+        offsets = shared.written(below.unionByName(top.select("tree", "head", "total", F.col("depth").alias("above"))), "tree-offsets")
+        parents = firsts.filter("node IS NOT NULL").select("tree", "node")
+        leaves = leaves.join(parents, ["tree", "node"], "left_anti").join(offsets, ["tree", "head"]).withColumn("cum", F.col("cum") + F.col("total"))
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("cum"), "node"))
     chosen = leaves.withColumn("branch", rank).filter(F.col("branch") <= branches)
-    path = chosen.select("tree", F.col("node").alias("leaf"), "branch", "node")
-    for step in reversed(levels):
-        above = path.join(step.select("tree", "node", "anc"), ["tree", "node"])
-        path = shared.written(path.unionByName(above.select("tree", "leaf", "branch", F.col("anc").alias("node"))), "tree-path")
-    return path.join(placed.select("tree", "node", "depth"), ["tree", "node"]).join(base.select("tree", "node", "tree_id", "role", "text"), ["tree", "node"])
+    # the runs of each chosen path, with the place at which the path leaves them
+    path = chosen.select("tree", F.col("node").alias("leaf"), "branch", "head", F.col("k").alias("upto"))
+    if top is None:
+        path = path.withColumn("above", F.lit(0).cast("long"))
+    else:
+        path = shared.written(path, "tree-path")
+        for step, table in reversed(list(enumerate(levels))):
+            jump = table.filter(F.col("hops") == 2**step).select("tree", "head", "anc", "at")
+            more = path.join(jump, ["tree", "head"]).select("tree", "leaf", "branch", F.col("anc").alias("head"), F.col("at").alias("upto"))
+            path = shared.written(path.unionByName(more), "tree-path")
+        path = path.join(offsets.select("tree", "head", "above"), ["tree", "head"])
+    turns = base.select("tree", "head", "k", "tree_id", "role", "text").join(path, ["tree", "head"]).filter("k <= upto")
+    return turns.select("tree", "leaf", "branch", (F.col("above") + F.col("k") + 1).alias("depth"), "tree_id", "role", "text")
 
 
 def format_reply_trees(nodes: DataFrame, branches: int = 1, trained: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -125,10 +202,23 @@ def read_turns(formatted: Column) -> Column:
 
 
 def as_nodes(conversations: DataFrame) -> DataFrame:
-    """Linear conversations as trees: each row answers the one before it in order of turn, role and text; longer texts score higher."""
+    """Linear conversations as trees: each row answers the one before it in order of turn, role and text; longer texts score higher.
+
+    Rows are numbered within stretches of turns, which a small table of the stretches' sizes puts one behind the
+    other, so a long conversation is no hot group unless all its rows have one turn.
+    """
     turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), shared.text_of("text").alias("text"))
-    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
-    return turns.select(
+    # null turns go first
+    turns = turns.withColumn("stretch", F.coalesce(stretches(F.col("turn"), True), F.lit(-(2**62))))
+    key = ["conv_id", "stretch"]
+    before = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = turns.groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(*key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # most conversations have one stretch, with nothing before it
+    later = sizes.filter("before > 0").select(F.col("conv_id").alias("c"), F.col("stretch").alias("s"), "before")
+    number = F.row_number().over(Window.partitionBy(key).orderBy("turn", "role", "text"))
+    numbered = turns.withColumn("number", number.cast("long")).join(later, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("stretch") == F.col("s")), "left")
+    number = F.col("number") + F.coalesce("before", F.lit(0))
+    return numbered.select(
         F.col("conv_id").alias("tree_id"),
         number.alias("node_id"),
         F.nullif(number - 1, F.lit(0)).alias("parent_id"),
