@@ -1,12 +1,14 @@
 """Vector bin packing of token sequences.
 
-Every document is tokenised, gets an end id, and is cut into full sequences and a rest. The rests are placed under
-three limits at once: tokens, segments and loss-bearing tokens of a sequence. An open sequence takes the item whose
-demand has the largest dot product with what the sequence has left (both as shares of the limits), so that items
-which need what is plentiful go first. Where no item fits, the largest one that the limits allow is cut to the gap.
-
-Packing happens inside the task that tokenised the rows: no shuffle, a bounded pool of waiting items, and at most
-one sequence of a task that isn't full for lack of items.
+Every document is an example: a prompt (its leading characters, as many as the caller says) that bears no loss, and a
+response that does. It is tokenised, gets an end id, and is cut where a piece would break a limit of its own. Pieces
+are placed under three limits at once: tokens, segments and loss-bearing tokens of a sequence. An open sequence takes
+the piece whose demand has the largest dot product with what the sequence has left (both as shares of the limits), so
+that pieces which need what is plentiful go first: where little loss is left, a shorter piece full of loss loses to
+one that is mostly prompt. Where no piece fits, the one that can fill most of the room is cut to it.
+
+Packing happens inside the task that tokenised the rows: no shuffle, a bounded pool of waiting pieces, and at most
+one sequence of a task that isn't full for lack of pieces.
 """
 
 from __future__ import annotations
@@ -15,27 +17,23 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
 
 #: Limits of a sequence: tokens, segments, loss-bearing tokens. A segment's first id has no context, so bears no loss.
-LIMITS = (2048, 64, 2047)
-#: Items that wait before they are packed, and those left for the next round so that late choices stay good.
+LIMITS = (2048, 64, 2000)
+#: Pieces that wait before they are packed, and those left for the next round so that late choices stay good.
 POOL, LEFT = 4096, 256
 #: A gap of fewer tokens is padded, not filled with a cut piece.
 GAP = 8
 END_ID = 1
-#: A space and what follows it up to the next space never share a token with what comes before.
-CHUNKS = re.compile(r"\s*\S+|\s+")
-#: Separators that Python counts as white space and the tokenizer's pattern doesn't.
-ODD = re.compile("[\x1c-\x1f]")
-KEPT, LONGEST = 100_000, 64
 
 
 class ByteTokenizer:
@@ -47,11 +45,14 @@ class ByteTokenizer:
         import tiktoken
 
         spec = json.loads(file)
+        before = spec.get("pre_tokenizer") or {}
+        if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True) or spec.get("normalizer"):
+            raise ValueError("a file whose texts are not split by the byte-level pattern alone")
         added = spec.get("added_tokens", ())
         if any(x.get(k) for x in added for k in ("single_word", "lstrip", "rstrip")):
             raise ValueError("added tokens that depend on what stands beside them")
         special = {x["content"]: x["id"] for x in added}
-        self.added = {c: i.to_bytes(4, "little") for c, i in special.items()}
+        self.added = special
         # the longest of those that start at one place
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         # the file shows a byte as its Latin-1 sign where that is printable, else as a sign from U+0100 on, in order
@@ -59,82 +60,102 @@ class ByteTokenizer:
         sign = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
         ranks = {bytes(sign[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
         self.bpe = tiktoken.Encoding("byte-bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.known = shared.Kept(self.whole, KEPT, LONGEST)
+        self.bytes = np.zeros(1 + max([*ranks.values(), *special.values()]), np.int64)
+        for piece, i in ranks.items():
+            self.bytes[i] = len(piece)
+        for piece, i in special.items():
+            self.bytes[i] = len(piece.encode())
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
+    def encode(self, text: str) -> list[int]:
+        """ids of a text in which added tokens count as ordinary text."""
+        return self.bpe.encode_ordinary(text)
 
-    def encode_added(self, text: str) -> bytes:
+    def encode_added(self, text: str) -> list[int]:
         """As encode, but the file's added tokens have their own ids, and text on either side is encoded for itself: the library's default."""
-        if self.cut is None:
+        if self.cut is None or not self.cut.search(text):
             return self.encode(text)
-        return b"".join(self.added[part] if k % 2 else self.encode(part) for k, part in enumerate(self.cut.split(text)))
+        out: list[int] = []
+        for k, part in enumerate(self.cut.split(text)):
+            if k % 2:
+                out.append(self.added[part])
+            else:
+                out += self.encode(part)
+        return out
+
+    def prompt_ids(self, ids: np.ndarray, n_bytes: int) -> int:
+        """How many of the first ids lie wholly in the text's first bytes."""
+        return int(np.searchsorted(np.cumsum(self.bytes[ids[:n_bytes]]), n_bytes, side="right"))
+
+
+class Item(NamedTuple):
+    """A piece that waits: ids [start, start + len(ids)) of a document of n ids, the first ``prompt`` of them without loss."""
+
+    doc: int | None
+    start: int
+    ids: np.ndarray
+    n: int
+    prompt: int
+
+    def cut(self, size: int) -> tuple[Item, Item]:
+        return self._replace(ids=self.ids[:size]), Item(self.doc, self.start + size, self.ids[size:], self.n, max(self.prompt - size, 0))
 
-    def encode(self, text: str) -> bytes:
-        """ids as little-endian unsigned 32-bit integers; added tokens count as ordinary text."""
-        if ODD.search(text):
-            return self.whole(text)
-        return b"".join(map(self.known.__getitem__, CHUNKS.findall(text)))
+
+def loss_of(size, prompt):
+    """Loss-bearing ids of a segment of that many: without the prompt's, and without the first one."""
+    return np.maximum(size - np.maximum(prompt, 1), 0)
 
 
 class Packer:
-    """Waiting items and the sequences made of them; an item is (document, its start, its ids, tokens of the document)."""
+    """Waiting items and the sequences made of them: rows (item, sequence, offset)."""
 
     def __init__(self, limits: tuple[int, int, int], first_sequence: int):
         self.limits, self.next = limits, first_sequence
-        self.items: list[tuple] = []
-
-    def add(self, doc, ids: np.ndarray) -> Iterator[tuple]:
-        """Cuts a document's full sequences off at once and lets the rest wait."""
-        full, n = min(self.limits[0], self.limits[2] + 1), len(ids)
-        start = 0
-        while n - start >= full:
-            yield (doc, start, ids[start : start + full], n, self.next, 0)
-            self.next += 1
-            start += full
-        if n > start:
-            self.items.append((doc, start, ids[start:], n))
+        self.items: list[Item] = []
+
+    def add(self, doc, ids: np.ndarray, prompt: int = 0) -> None:
+        """Cuts a document where its pieces would break a limit on their own."""
+        tokens, _, loss = self.limits
+        item = Item(doc, 0, ids, len(ids), prompt)
+        while len(item.ids) > (most := min(tokens, loss + max(item.prompt, 1))):
+            piece, item = item.cut(most)
+            self.items.append(piece)
+        self.items.append(item)
 
     def pack(self, leave: int) -> Iterator[tuple]:
         """Sequences of waiting items until no more than ``leave`` wait."""
         tokens, segments, loss = self.limits
-        by_length: dict[int, list[tuple]] = {}
-        for item in self.items:
-            by_length.setdefault(len(item[2]), []).append(item)
-        count = np.zeros(tokens + 1, np.int64)
-        for length, found in by_length.items():
-            count[length] = len(found)
-        length = np.arange(tokens + 1)
-        # demand of an item of each length, as shares of the limits
-        demand = np.stack([length / tokens, np.full(tokens + 1, 1 / segments), np.maximum(length - 1, 0) / loss])
-
-        def take(n: int) -> tuple:
-            count[n] -= 1
-            return by_length[n].pop()
-
-        waiting = len(self.items)
+        items = self.items
+        size = np.array([len(x.ids) for x in items], np.float32)
+        prompt = np.maximum(np.array([x.prompt for x in items], np.float32), 1)
+        bears = loss_of(size, prompt)
+        waiting = len(items)
         while waiting > leave:
-            room, used = [tokens, segments, loss], 0
+            room = [tokens, segments, loss]
             while waiting and room[0] and room[1]:
-                most = min(room[0], room[2] + 1)
-                fits = np.flatnonzero(count[: most + 1])
-                if len(fits):
-                    have = np.array([room[0] / tokens, room[1] / segments, room[2] / loss])
-                    item = take(int(fits[np.argmax(have @ demand[:, fits])]))
+                fits = (size <= room[0]) & (bears <= room[2])
+                # the segment's share is the same for all; a demand of 0 is still better than none
+                value = np.where(fits, size * (room[0] / tokens**2) + bears * (room[2] / loss**2) + 1.0, 0.0)
+                k = int(value.argmax())
+                if value[k]:
+                    item = items[k]
                     waiting -= 1
-                elif most >= GAP:
-                    doc, start, ids, n = take(int(np.flatnonzero(count)[-1]))
-                    item, rest = (doc, start, ids[:most], n), (doc, start + most, ids[most:], n)
-                    by_length.setdefault(len(rest[2]), []).append(rest)
-                    count[len(rest[2])] += 1
+                    size[k] = np.inf
+                    take, borne = len(item.ids), int(bears[k])
                 else:
-                    break
-                size = len(item[2])
-                yield (*item, self.next, used)
-                room = [room[0] - size, room[1] - 1, room[2] - size + 1]
-                used += size
+                    # what each one could put here; of equal ones the longest is cut
+                    most = np.where(np.isinf(size), 0, np.minimum(np.minimum(room[0], room[2] + prompt), size))
+                    k = int((most * 4096 + np.where(np.isinf(size), 0, np.minimum(size, 4095))).argmax())
+                    take = int(most[k])
+                    if take < GAP:
+                        break
+                    item, items[k] = items[k].cut(take)
+                    borne = int(loss_of(take, item.prompt))
+                    size[k], prompt[k] = len(items[k].ids), max(items[k].prompt, 1)
+                    bears[k] = loss_of(size[k], prompt[k])
+                yield (item, self.next, tokens - room[0])
+                room = [room[0] - take, room[1] - 1, room[2] - borne]
             self.next += 1
-        self.items = [item for found in by_length.values() for item in found]
+        self.items = [x for x, s in zip(items, size, strict=True) if not np.isinf(s)]
 
 
 def pack_documents(
@@ -144,24 +165,27 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
+    prompt: Column | None = None,
 ) -> DataFrame:
-    """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if with_ids, ids.
+    """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, n_loss and, if with_ids, ids.
 
     A document's ids are those of its whole text (a null one counts as empty), with the file's added tokens as such,
-    and one end id, so every row of docs has a piece; each id lies in exactly one piece, and a sequence keeps all three limits. Repeated rows are
-    documents of their own; null identifiers are kept; an empty table gives an empty result; other columns of
-    docs are ignored. Sequence numbers are unique, not gapless. The tokenizer file is read once by the driver and
-    sent to the workers (its size doesn't depend on the data).
+    and one end id, so every row of docs has a piece; each id lies in exactly one piece, and a sequence keeps all
+    three limits. ``prompt`` gives the number of leading characters that bear no loss (null or below 1: none); ids that
+    reach beyond them bear loss, and n_loss counts those of the piece that do. Repeated rows are documents of their
+    own; null identifiers are kept; an empty table gives an empty result; other columns of docs are ignored. Sequence
+    numbers are unique, not gapless. The tokenizer file is read once by the driver and sent to the workers (its size
+    doesn't depend on the data).
     """
     with open(tokenizer_path, "rb") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
-    kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_loss"] + ["ids"] * with_ids
+    kinds = [pa.int64()] * 8 + [pa.list_(pa.int32())] * with_ids
 
     def rows_of(pieces: list[tuple]) -> pa.RecordBatch:
         out = [
-            (doc, start, len(ids), zlib.crc32(ids.tobytes()), n, sequence, offset, *([ids.astype(np.int32)] if with_ids else []))
-            for doc, start, ids, n, sequence, offset in pieces
+            (item.doc, item.start, len(item.ids), zlib.crc32(item.ids), item.n, sequence, offset, int(loss_of(len(item.ids), item.prompt)), *([item.ids.astype(np.int32)] if with_ids else []))
+            for item, sequence, offset in pieces
         ]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds, strict=True)], names)
 
@@ -170,20 +194,27 @@ def pack_documents(
         packer = Packer(limits, TaskContext.get().partitionId() << 33)
         made: list[tuple] = []
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(tokenizer.encode_added(text.as_py()) + END_ID.to_bytes(4, "little"), "<u4")
-                made.extend(packer.add(doc, ids))
+            for doc, text, lead in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                text = text.as_py()
+                ids = np.array([*tokenizer.encode_added(text), END_ID], "<u4")
+                packer.add(doc, ids, tokenizer.prompt_ids(ids[:-1], len(text[:lead].encode())) if lead and lead > 0 else 0)
                 if len(packer.items) >= POOL:
                     made.extend(packer.pack(LEFT))
-                if len(made) >= POOL:
-                    yield rows_of(made)
-                    made = []
+                while len(made) >= POOL:
+                    yield rows_of(made[:POOL])
+                    made = made[POOL:]
         made.extend(packer.pack(0))
-        if made:
-            yield rows_of(made)
+        for k in range(0, len(made), POOL):
+            yield rows_of(made[k : k + POOL])
+
+    schema = ", ".join(f"{n} long" for n in names[:8]) + ", ids array<int>" * with_ids
+    lead = F.lit(None) if prompt is None else prompt
+    return shared.map_arrow(docs.select(F.col(id_col).cast("long"), shared.text_of(text_col), lead.cast("long")), packed, schema)
+
 
-    schema = ", ".join(f"{n} long" for n in names[:7]) + ", ids array<int>" * with_ids
-    return shared.map_arrow(docs.select(F.col(id_col).cast("long"), shared.text_of(text_col)), packed, schema)
+def first_line(text_col: str = "text") -> Column:
+    """Characters of a text's first line with its line feed, where another one follows: the prompt of plain documents."""
+    return F.coalesce(F.locate("\n", F.col(text_col)), F.lit(0))
 
 
 _tokenizer: dict[int, ByteTokenizer] = {}
@@ -201,4 +232,5 @@ def _loaded(file: bytes) -> ByteTokenizer:
 def op7_vector_packing(spark, sf_dir):
     import public_tokenizers
 
-    return pack_documents(shared.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack_documents(shared.table(spark, sf_dir, "documents"), path, with_ids=False, prompt=first_line())

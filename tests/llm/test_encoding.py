@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -21,7 +22,6 @@ LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 with open(BYTES, "rb") as f:
     TOKENS = packing.ByteTokenizer(f.read())
 TOKENIZER = Tokenizer.from_file(BYTES)
-TOKENIZER.encode_special_tokens = True
 TEXTS = st.text(st.one_of(st.sampled_from("  ▁\n\tabcdethinor.,'"), st.characters(exclude_categories=["Cs"])), max_size=60)
 
 
@@ -62,47 +62,109 @@ def test_piece_operator(spark):
 @settings(max_examples=500, deadline=None)
 @given(TEXTS)
 def test_tokens_are_the_librarys(text):
-    assert np.frombuffer(TOKENS.encode(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert TOKENS.encode_added(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 def test_tokens_of_special_strings():
     for text in ("<|endoftext|>", "a\x1cb\x1d c", "x \x85\xa0 y", "a\t  b"):
-        assert np.frombuffer(TOKENS.encode(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+        assert TOKENS.encode_added(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
-def check_packing(pieces, limits, ids_of):
+def check_packing(pieces, limits, ids_of, prompt_of):
+    """The share of the sequences' tokens in use, and how many sequences reach each limit."""
     tokens, segments, loss = limits
     by_sequence, by_doc = {}, {}
-    for doc, start, ids, n, sequence, offset in pieces:
-        by_sequence.setdefault(sequence, []).append((offset, len(ids)))
-        by_doc.setdefault(doc, []).append((start, ids, n))
+    for item, sequence, offset in pieces:
+        by_sequence.setdefault(sequence, []).append((offset, item))
+        by_doc.setdefault(item.doc, []).append(item)
+    reached = [0, 0, 0]
     for parts in by_sequence.values():
-        at = 0
-        for offset, size in sorted(parts):
-            assert offset == at and size > 0
-            at += size
-        assert at <= tokens and len(parts) <= segments and sum(s - 1 for _, s in parts) <= loss
-    for doc, parts in by_doc.items():
-        joined = np.concatenate([p[1] for p in sorted(parts, key=lambda p: p[0])])
-        assert joined.tolist() == ids_of[doc].tolist() and all(p[2] == len(joined) for p in parts)
+        at = borne = 0
+        for offset, item in sorted(parts, key=lambda p: p[0]):
+            assert offset == at and len(item.ids) > 0
+            at += len(item.ids)
+            # an id bears loss if it isn't its segment's first and lies behind the document's prompt
+            borne += sum(1 for k in range(1, len(item.ids)) if item.start + k >= prompt_of[item.doc])
+        assert at <= tokens and len(parts) <= segments and borne <= loss
+        reached = [r + (v == limit) for r, v, limit in zip(reached, (at, len(parts), borne), limits, strict=True)]
+    for doc, items in by_doc.items():
+        joined = np.concatenate([i.ids for i in sorted(items, key=lambda i: i.start)])
+        assert joined.tolist() == ids_of[doc].tolist() and all(i.n == len(joined) for i in items)
     assert set(by_doc) == set(ids_of)
-    return sum(len(p[2]) for p in pieces) / (len(by_sequence) * tokens)
+    return sum(len(i.ids) for i, _, _ in pieces) / (len(by_sequence) * tokens), reached
+
+
+def packed(ids_of, prompt_of, limits, pool=1000, leave=100):
+    packer, made = packing.Packer(limits, 0), []
+    for k, ids in ids_of.items():
+        packer.add(k, ids, prompt_of[k])
+        if len(packer.items) >= pool:
+            made.extend(packer.pack(leave))
+    made.extend(packer.pack(0))
+    return made
 
 
 def test_packer():
     rng = np.random.default_rng(5)
-    for limits in ((2048, 64, 2047), (100, 4, 60), (64, 2, 63)):
+    reached = np.zeros(3, int)
+    for limits in ((2048, 64, 2000), (100, 4, 60), (64, 2, 63)):
         for size in (1, 50, 3000):
             ids_of = {k: rng.integers(0, 50000, rng.integers(1, 400)).astype("<u4") for k in range(size)}
-            packer, made = packing.Packer(limits, 0), []
-            for k, ids in ids_of.items():
-                made.extend(packer.add(k, ids))
-                if len(packer.items) >= 1000:
-                    made.extend(packer.pack(100))
-            made.extend(packer.pack(0))
-            full = check_packing(made, limits, ids_of)
+            prompt_of = {k: int(rng.integers(0, 50)) for k in ids_of}
+            full, hit = check_packing(packed(ids_of, prompt_of, limits), limits, ids_of, prompt_of)
+            reached += hit
             if size == 3000 and limits[0] == 2048:
                 assert full > 0.99
+    assert (reached > 0).all()  # each limit binds somewhere
+
+
+def brute_force(items, limits):
+    """The rule in plain words: (document, start, size, sequence) of every piece."""
+    tokens, segments, loss = limits
+    wait, out, sequence = [list(x) for x in items], [], 0  # document, start, size, prompt
+    bears = lambda size, prompt: max(size - max(prompt, 1), 0)
+    while wait:
+        room = [tokens, segments, loss]
+        while wait and room[0] and room[1]:
+            fits = [x for x in wait if x[2] <= room[0] and bears(x[2], x[3]) <= room[2]]
+            if fits:
+                dots = [Fraction(x[2] * room[0], tokens**2) + Fraction(bears(x[2], x[3]) * room[2], loss**2) for x in fits]
+                best = fits[dots.index(max(dots))]
+                put = best[:3]
+                used = bears(best[2], best[3])
+                wait.remove(best)
+            else:
+                most = [min(room[0], room[2] + max(x[3], 1), x[2]) for x in wait]
+                k = max(range(len(wait)), key=lambda i: (most[i], wait[i][2], -i))
+                if most[k] < packing.GAP:
+                    break
+                put, used = [*wait[k][:2], most[k]], bears(most[k], wait[k][3])
+                wait[k] = [wait[k][0], wait[k][1] + most[k], wait[k][2] - most[k], max(wait[k][3] - most[k], 0)]
+            out.append((*put, sequence))
+            room = [room[0] - put[2], room[1] - 1, room[2] - used]
+        sequence += 1
+    return out
+
+
+def test_packer_against_brute_force():
+    rng = np.random.default_rng(6)
+    for limits in ((64, 6, 50), (128, 3, 100)):
+        for _ in range(20):
+            sizes = rng.integers(1, 40, 30)
+            prompts = [int(rng.integers(0, n + 1)) for n in sizes]
+            ids_of = {k: np.arange(n).astype("<u4") for k, n in enumerate(sizes)}
+            got = [(i.doc, i.start, len(i.ids), s) for i, s, _ in packed(ids_of, dict(enumerate(prompts)), limits)]
+            assert got == brute_force([(k, 0, int(n), p) for k, (n, p) in enumerate(zip(sizes, prompts, strict=True))], limits)
+
+
+def test_dot_product_is_not_largest_fit():
+    # 60 tokens of loss leave much room for tokens and none for loss: the longer piece of prompt goes on, not the loss-bearing one
+    limits = (100, 10, 64)
+    ids_of = {k: np.arange(n).astype("<u4") for k, n in enumerate((60, 41, 40))}
+    made = packed(ids_of, {0: 0, 1: 41, 2: 35}, limits)
+    assert [i.doc for i, s, _ in made if s == 0][:2] == [0, 2]  # 41 bear no loss and don't fit; of those that fit, by the product
+    made = packed({0: np.arange(50).astype("<u4"), 1: np.arange(45).astype("<u4"), 2: np.arange(44).astype("<u4")}, {0: 50, 1: 40, 2: 0}, limits)
+    assert [i.doc for i, s, _ in made if s == 0][0] == 2  # the longest is 0
 
 
 def test_pack_operator(spark):
@@ -120,10 +182,9 @@ def test_pack_operator(spark):
 
 
 def test_added_tokens_are_the_librarys(spark):
-    plain = Tokenizer.from_file(BYTES)
     texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", " <|endoftext|>\n\n x", "don<|endoftext|>'t", "a\x1c <|endoftext|>\x1d", "<|endoftext|", "none"]
     got = {r.doc_id: r for r in packing.pack_documents(docs(spark, list(enumerate(texts))), BYTES).collect()}
     for k, text in enumerate(texts):
-        ids = plain.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(TOKENS.encode_added(text), "<u4").tolist() == ids
+        ids = TOKENIZER.encode(text, add_special_tokens=False).ids
+        assert TOKENS.encode_added(text) == ids
         assert got[k].ids == [*ids, 1] and got[k].doc_tokens == len(ids) + 1
