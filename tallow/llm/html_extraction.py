@@ -1,10 +1,12 @@
 """Main text of web pages by minimum-cut labelling.
 
-A page becomes a row of text blocks, each with its chain of open elements. A classifier turns a block's cues (element
-names, class words, links, length) into two costs: of calling it boilerplate, and of calling it content. These are the
-capacities from the source and to the sink. Smoothness edges tie a block to the next one, and to the last one with the
-same parent; they weigh more the nearer the two stand in the element tree. The maximum flow saturates the cheapest
-cut, and blocks on the source's side of it are the content: an unclear block goes with its surroundings.
+A page becomes a row of text blocks, each with its chain of open elements. A classifier adds up what a block's own
+statistics (length beside the page's other blocks, share of links, last sign) and its elements (names, class words)
+say, as finite weights that one another can outweigh: the cost of calling it boilerplate less that of calling it
+content. These are the capacities from the source and to the sink. Smoothness edges of the same order tie a block to
+the next one, and to the last one with the same parent; they weigh more the nearer the two stand in the element tree.
+The maximum flow saturates the cheapest cut, and blocks on the source's side of it are the content: a short line, or
+one that is all link, goes with its surroundings. Time is linear in the page's length and in its depth.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from html import unescape
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +40,8 @@ AWAY = frozenset("nav footer aside form menu dialog button select datalist head
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Start tags that close an open paragraph.
 ENDS_P = BREAKS - {"body", "html", "head", "button", "option", "optgroup", "select", "caption", "legend", "td", "th", "tr", "tbody", "thead", "tfoot", "title"}
-#: Where the search for an element to close stops.
+#: Elements that another one's start may close, and where the search for one stops.
+IMPLIED = frozenset("p li dt dd tr td th option".split())
 SCOPES = frozenset("table ul ol dl td th div section article main body html".split())
 # Words in class, id and role attributes.
 AWAY_WORDS = frozenset(
@@ -60,8 +64,14 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 #: Smoothness of neighbours, and of blocks with one parent; both fall with the steps between them in the tree.
 NEXT, SIBLING = 1.0, 1.5
-#: Cost that no smoothness outweighs.
-SURE = 1000.0
+#: Weights of the classifier. Length counts by its logarithm beside half the typical length of the page's blocks.
+LENGTH, LEAST, MOST, TYPICAL = 0.75, -2.0, 2.0, 80
+#: A last sign that ends a sentence, being a heading, links (inside a main element or a page without one, and elsewhere).
+ENDED, HEADING, LINKED, LINKED_OUTSIDE = 0.5, 1.0, -2.0, -5.0
+#: Inside a main element; outside of the page's main elements; in a page without one.
+MAIN, OUTSIDE, NO_MAIN = 2.0, -3.0, 2.1
+#: An element that holds no main text; a header; an element that its words call boilerplate. The strongest one counts.
+AWAY_COST, HEADER_COST, MARKED_COST = -9.0, -8.0, -8.0
 #: An element with more than this share of a page's text may be a wrapper of the main text, if it holds that.
 WRAPPER = 0.6
 #: Code points from which unlinked text is prose.
@@ -69,12 +79,12 @@ PROSE = 80
 
 
 class Element:
-    __slots__ = ("away", "chars", "depth", "main", "marked", "name", "parent", "plain", "words")
+    __slots__ = ("away", "best", "chars", "depth", "h1", "heading", "main", "marked", "name", "near", "nests", "offers", "parent", "path", "plain", "readers", "solid")
 
     def __init__(self, name: str, parent: Element | None, attributes: str):
         self.name, self.parent, self.chars = name, parent, 0
         self.depth = parent.depth + 1 if parent else 0
-        self.words: set[str] = set()
+        words: set[str] = set()
         self.away = name in AWAY
         # whether a word marks it as boilerplate, and whether a name of it is nothing but main words
         self.marked, self.plain = False, name in ("article", "main")
@@ -84,12 +94,17 @@ class Element:
                 if key in ("class", "id", "role"):
                     for word in (a or b or c).split():
                         parts = [w.lower() for w in WORD.findall(word)]
-                        self.words.update(parts)
+                        words.update(parts)
                         self.marked = self.marked or (bool(AWAY_WORDS.intersection(parts)) and parts[0] not in HAVING)
                         self.plain = self.plain or (bool(parts) and MAIN_WORDS.issuperset(parts))
                 elif key == "hidden" or (key == "aria-hidden" and (a or b or c) == "true") or (key == "style" and "display:none" in (a or b or c).replace(" ", "")):
                     self.away = True
-        self.main = name in ("article", "main") or bool(self.words & MAIN_WORDS)
+        self.main = name in ("article", "main") or bool(words & MAIN_WORDS)
+        self.readers = bool(words & READER_WORDS)
+        self.heading, self.h1 = len(name) == 2 and name[0] == "h" and name[1].isdigit(), name == "h1"
+        # the nearest open elements that an implied end tag may close, up to the nearest scope
+        open_near = parent.near if parent and name not in SCOPES else {}
+        self.near = {**open_near, name: self} if name in IMPLIED else open_near
 
 
 class Block:
@@ -99,10 +114,12 @@ class Block:
         self.element, self.text, self.linked = element, text, linked
 
 
-def parse(html: str) -> list[Block]:
-    """The page's blocks in order: white space as one space, character references decoded, no markup."""
+def parse(html: str) -> tuple[list[Block], list[Element]]:
+    """The page's blocks in order (white space as one space, character references decoded, no markup) and its elements, parents first."""
     blocks: list[Block] = []
     at = Element("html", None, "")
+    elements = [at]
+    is_open = {"html": 1}
     parts: list[str] = []
     links, linked = 0, 0
 
@@ -111,13 +128,17 @@ def parse(html: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text:
             blocks.append(Block(at, text, min(linked, len(text))))
-            e: Element | None = at
-            while e is not None:
-                e.chars += len(text)
-                e = e.parent
+            at.chars += len(text)
         parts.clear()
         linked = 0
 
+    def close(to: Element) -> None:
+        """Goes up to an element that stays open."""
+        nonlocal at
+        while at is not to:
+            is_open[at.name] -= 1
+            at = at.parent
+
     position = 0
     while True:
         m = TAG.search(html, position)
@@ -145,147 +166,146 @@ def parse(html: str) -> list[Block]:
                 links = 1
             if name in BREAKS or name in AWAY:
                 flush()
-                if name in ENDS_P:
-                    at = _closed(at, {"p"})
-                if name in CLOSES:
-                    at = _closed(at, CLOSES[name])
+                for closed in (("p",) if name in ENDS_P else (), CLOSES.get(name, ())):
+                    found = [at.near[x] for x in closed if x in at.near]
+                    if found:
+                        close(max(found, key=lambda e: e.depth).parent)
                 if name not in VOID and name not in ("html", "body"):
                     at = Element(name, at, m[3])
+                    elements.append(at)
+                    is_open[name] = is_open.get(name, 0) + 1
         elif name == "a":
             links = 0
         elif name in BREAKS or name in AWAY:
             flush()
-            e: Element | None = at
-            while e is not None and e.name != name:
-                e = e.parent
-            if e is not None and e.parent is not None:
-                at = e.parent
+            if is_open.get(name) and name != "html":
+                while at.name != name:
+                    close(at.parent)
+                close(at.parent)
     flush()
-    return blocks
+    for e in reversed(elements):
+        if e.parent:
+            e.parent.chars += e.chars
+    return blocks, elements
 
 
-def _closed(at: Element, names: set[str]) -> Element:
-    """The open element after closing the nearest of the given names, if one is open inside the nearest scope."""
-    e = at
-    while e.name not in SCOPES or e.name in names:
-        if e.name in names:
-            return e.parent or e
-        if e.parent is None:
-            break
-        e = e.parent
-    return at
+class Path:
+    """What holds for an element by those that it stands in: each value follows from the parent's and the element's own."""
+
+    __slots__ = ("away", "heading", "h1", "main", "marked", "marked_heading", "of_article", "readers", "site", "small")
 
 
-def wrappers(blocks: list[Block]) -> set[Element]:
+def wrappers(blocks: list[Block], elements: list[Element]) -> set[Element]:
     """Elements that their name or words call boilerplate although they hold the main text.
 
     A share of the text isn't enough, as comments or a sidebar may be longer than the article. A marked element must
     hold the headline, or, where no main element stands outside of marked ones, most of its text in a main element.
     It must also be large or have a main word itself. A form must be large and hold a main element, a headline or prose.
     """
-    total = sum(len(b.text) for b in blocks)
-    chains: dict[Element, list[Element]] = {}
-    for b in blocks:
-        if b.element not in chains:
-            chains[b.element] = list(_chain(b.element))
-    elements = {e for chain in chains.values() for e in chain}
     if not any(e.marked or e.name == "form" for e in elements):
         return set()
-    large = {e for e in elements if e.chars > WRAPPER * total}
-    found: set[Element] = set()
-    forms: set[Element] = set()
+    least = WRAPPER * elements[0].chars
+    for e in elements:
+        e.offers = e.nests = e.solid = False
+        e.best = 0
     for b in blocks:
-        chain = chains[b.element]
-        for k, e in enumerate(chain):
-            if e.marked or (e.away and e.name != "form"):
-                break
-            if e.name == "form" and e in large and (any(x.main or x.name == "h1" for x in chain[:k]) or _prose(b)):
-                forms.add(e)
+        b.element.solid = True
+        b.element.offers = b.element.offers or len(b.text) - b.linked >= PROSE
+    # upwards: solid elements hold a block that no boilerplate stands around, offers is what a form needs below it
+    forms: set[Element] = set()
+    for e in reversed(elements):
+        if e.marked or (e.away and e.name != "form"):
+            continue
+        if e.name == "form" and e.offers and e.chars > least:
+            forms.add(e)
+        if e.parent:
+            e.parent.solid = e.parent.solid or e.solid
+            e.parent.offers = e.parent.offers or e.offers or (e.solid and (e.main or e.h1))
+    # downwards
+    for e in elements:
+        p, up = Path(), e.parent.path if e.parent else None
+        p.away = (e.away and e not in forms) or bool(up and up.away)
+        p.marked = e.marked or bool(up and up.marked)
+        p.readers = (e.marked and e.readers) or bool(up and up.readers)
+        p.small = (e.marked and not (e.chars > least or e.main)) or bool(up and up.small)
+        p.main = e.main or bool(up and up.main)
+        p.h1 = e.h1 or bool(up and up.h1)
+        p.of_article = e.name in ("article", "main") or bool(up and up.of_article)
+        p.site = (e.name == "header" and not (up and up.of_article)) or bool(up and up.site)
+        e.path = p
     clean = clean_main = 0
-    headline: list[Element] = []
-    nested: set[Element] = set()
+    headline: Element | None = None
     for b in blocks:
-        chain = chains[b.element]
-        if any(e.away and e not in forms for e in chain):
+        p = b.element.path
+        if p.away:
             continue
-        marked = [e for e in chain if e.marked]
-        if not marked:
+        if not p.marked:
             clean += len(b.text)
-            clean_main += len(b.text) * any(e.main for e in chain)
-        elif not any(e.words & READER_WORDS for e in marked):
-            nested.update(e for e in chain if e.main and (e.plain or not e.marked))
-        if not headline and any(e.name == "h1" for e in chain) and 2 * b.linked < len(b.text):
-            site = any(e.name == "header" and not _inside(e.parent, lambda x: x.name in ("article", "main")) for e in chain)
-            if not site and all(e in large or e.main for e in marked):
-                headline = chain
-    for e in elements:
-        if not e.marked or not (e in large or e.main):
-            continue
-        readers = bool(e.words & READER_WORDS)
-        if e in headline and not (readers and clean_main >= PROSE):
-            found.add(e)
+            clean_main += len(b.text) * p.main
+        elif not p.readers:
+            b.element.nests = True
+        if headline is None and p.h1 and 2 * b.linked < len(b.text) and not p.site and not p.small:
+            headline = b.element
+    found: set[Element] = set()
+    while headline is not None:
+        if headline.marked and not (headline.readers and clean_main >= PROSE):
+            found.add(headline)
+        headline = headline.parent
     if clean_main < PROSE:
-        for e in nested:
+        for e in reversed(elements):
             # a main element by its words alone may be part of a sidebar beside text that nothing marks
-            if clean < PROSE or e.name in ("article", "main"):
-                found.update(x for x in _chain(e) if x.marked and (x in large or x.main) and 2 * e.chars > x.chars)
+            if e.nests and e.main and (e.plain or not e.marked) and (clean < PROSE or e.name in ("article", "main")):
+                e.best = max(e.best, e.chars)
+            if e.marked and (e.chars > least or e.main) and 2 * e.best > e.chars:
+                found.add(e)
+            if e.parent:
+                e.parent.nests = e.parent.nests or e.nests
+                e.parent.best = max(e.parent.best, e.best)
     return found | forms
 
 
-def costs(blocks: list[Block]) -> list[float]:
-    """For each block the cost of calling it boilerplate less that of calling it content; SURE settles it."""
-    wrapping = wrappers(blocks)
-    known: dict[Element, tuple[bool, bool]] = {}
+def costs(blocks: list[Block], elements: list[Element]) -> list[float]:
+    """For each block the cost of calling it boilerplate less that of calling it content."""
+    wrapping = wrappers(blocks, elements)
+    for e in elements:
+        p, up = Path(), e.parent.path if e.parent else None
+        p.main = e.main or bool(up and up.main)
+        p.heading = e.heading or bool(up and up.heading)
+        p.of_article = e.name in ("article", "main") or bool(up and up.of_article)
+        # what the elements say of blocks of text, and of headings among them
+        p.marked, p.marked_heading = (up.marked, up.marked_heading) if up else (0.0, 0.0)
+        if e.name == "header":
+            p.marked = min(p.marked, HEADER_COST)
+            # a heading at the head of an article belongs to it
+            p.marked_heading = up.away if up and up.of_article else HEADER_COST
+        elif e.marked and e not in wrapping:
+            p.marked, p.marked_heading = min(p.marked, MARKED_COST), min(p.marked_heading, MARKED_COST)
+        p.away = up.away if up else 0.0
+        if e.away and e.name != "header" and e not in wrapping:
+            p.away = min(p.away, AWAY_COST)
+        e.path = p
+    said = []
     for b in blocks:
-        if b.element in known:
-            continue
-        away = main = heading = headed = False
-        for e in _chain(b.element):
-            heading = heading or (len(e.name) == 2 and e.name[0] == "h" and e.name[1].isdigit())
-            if e.name == "header":
-                # a heading at the head of an article belongs to it
-                headed = True
-                away = away or not (heading and _inside(e.parent, lambda x: x.name in ("article", "main")))
-            elif e not in wrapping:
-                away = away or e.away or (e.marked and not (heading and headed))
-            main = main or e.main
-        known[b.element] = (away, main)
+        p = b.element.path
+        said.append(min(p.away, p.marked_heading if p.heading else p.marked))
     # a main element within boilerplate, as the text of a comment, says nothing of the rest
-    has_main = any(main and not away for away, main in known.values())
+    has_main = any(b.element.path.main and not path for b, path in zip(blocks, said, strict=True))
+    lengths = [len(b.text) for b, path in zip(blocks, said, strict=True) if not path]
+    # the length of the block in which a code point of the page stands, on average
+    typical = min(TYPICAL, sum(n * n for n in lengths) / sum(lengths)) if lengths else TYPICAL
     out = []
-    for b in blocks:
-        away, main = known[b.element]
-        if away:
-            out.append(-SURE)
-            continue
-        n = len(b.text)
-        cost = min(n, 400) / 100 - 6.0 * b.linked / n
-        if b.text[-1] in ".!?…:\"'”»":
-            cost += 0.5
-        cost += 6.0 if main else (-4.0 if has_main else 0.3)
-        out.append(cost)
+    for b, path in zip(blocks, said, strict=True):
+        p, n = b.element.path, len(b.text)
+        cost = path + min(MOST, max(LEAST, LENGTH * log2(2 * n / typical)))
+        cost += ENDED * (b.text[-1] in ".!?…:\"'”»")
+        if p.heading:
+            cost += HEADING
+        else:
+            cost += (LINKED if p.main else LINKED_OUTSIDE) * b.linked / n
+        out.append(cost + (MAIN if p.main else OUTSIDE if has_main else NO_MAIN))
     return out
 
 
-def _prose(b: Block) -> bool:
-    return len(b.text) - b.linked >= PROSE
-
-
-def _chain(e: Element | None) -> Iterator[Element]:
-    """The element and those that it stands in, from the inside."""
-    while e is not None:
-        yield e
-        e = e.parent
-
-
-def _inside(e: Element | None, holds) -> bool:
-    while e is not None:
-        if holds(e):
-            return True
-        e = e.parent
-    return False
-
-
 def steps(a: Element, b: Element) -> int:
     """Steps from one element to the other through the tree."""
     n = 0
@@ -370,7 +390,7 @@ def minimum_cut(cost: list[float], edges: list[tuple[int, int, float]]) -> list[
 
 def main_blocks(html: str) -> list[str]:
     """Texts of the blocks that the cut leaves with the content."""
-    blocks = parse(html)
+    blocks, elements = parse(html)
     if not blocks:
         return []
     edges, last = [], {}
@@ -382,7 +402,7 @@ def main_blocks(html: str) -> list[str]:
         if before is not None:
             edges.append((before, k, SIBLING / (1 + steps(blocks[before].element, b.element))))
         last[parent] = k
-    return [b.text for b, keep in zip(blocks, minimum_cut(costs(blocks), edges), strict=True) if keep]
+    return [b.text for b, keep in zip(blocks, minimum_cut(costs(blocks, elements), edges), strict=True) if keep]
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
