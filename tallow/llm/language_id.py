@@ -8,9 +8,10 @@ penalty for each change of language, is largest. The text's language has the mos
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
+from unicodedata import category
 
 import numpy as np
 import pandas as pd
@@ -29,12 +30,31 @@ SCRIPT_SHARE = 0.001
 #: Tokens that are labelled together.
 BLOCK = 500_000
 
-# First code points of script ranges, and the script of each range (0: none of those listed).
-SCRIPT_STARTS = [0x0, 0x41, 0x5B, 0x61, 0x7B, 0xAA, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0xE00, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x3100, 0x3400, 0xAC00, 0xD7B0]
-SCRIPT_OF = [0, 1, 0, 1, 0, 1, 0, 2, 3, 4, 5, 6, 7, 8, 9, 10, 0, 1, 2, 0, 11, 0, 12, 10, 0]
-SCRIPTS = 13
-
-NO_LETTERS = re.compile(r"[^\w\n]+|[\d_]+")
+# First code point of a range and the script of its letters ("" where none of those listed).
+SCRIPT_RANGES = [
+    (0x0, ""), (0x41, "latin"), (0x5B, ""), (0x61, "latin"), (0x7B, ""), (0xAA, "latin"), (0x2B0, ""), (0x370, "greek"), (0x400, "cyrillic"),
+    (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x700, "syriac"), (0x750, "arabic"), (0x780, "thaana"), (0x7C0, "nko"), (0x800, ""),
+    (0x8A0, "arabic"), (0x900, "devanagari"), (0x980, "bengali"), (0xA00, "gurmukhi"), (0xA80, "gujarati"), (0xB00, "oriya"), (0xB80, "tamil"),
+    (0xC00, "telugu"), (0xC80, "kannada"), (0xD00, "malayalam"), (0xD80, "sinhala"), (0xE00, "thai"), (0xE80, "lao"), (0xF00, "tibetan"),
+    (0x1000, "myanmar"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "ethiopic"), (0x13A0, "cherokee"), (0x1400, "canadian"), (0x1680, ""),
+    (0x1780, "khmer"), (0x1800, "mongolian"), (0x18B0, ""), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, ""), (0x2C60, "latin"), (0x2C80, "coptic"),
+    (0x2D00, "georgian"), (0x2D30, "tifinagh"), (0x2D80, "ethiopic"), (0x2DE0, "cyrillic"), (0x2E00, ""), (0x3040, "kana"), (0x3100, "bopomofo"),
+    (0x3130, "hangul"), (0x3190, ""), (0x31F0, "kana"), (0x3200, ""), (0x3400, "han"), (0x4DC0, ""), (0x4E00, "han"), (0xA000, "yi"), (0xA4D0, ""),
+    (0xA640, "cyrillic"), (0xA6A0, ""), (0xA720, "latin"), (0xA800, ""), (0xA8E0, "devanagari"), (0xA900, ""), (0xA960, "hangul"), (0xA980, ""),
+    (0xAA60, "myanmar"), (0xAA80, ""), (0xAC00, "hangul"), (0xD800, ""), (0xF900, "han"), (0xFB00, "latin"), (0xFB13, "armenian"), (0xFB1D, "hebrew"),
+    (0xFB50, "arabic"), (0xFE00, ""), (0xFE70, "arabic"), (0xFF00, ""), (0xFF21, "latin"), (0xFF3B, ""), (0xFF41, "latin"), (0xFF5B, ""),
+    (0xFF66, "kana"), (0xFFA0, "hangul"), (0xFFE0, ""), (0x20000, "han"), (0x32000, ""),
+]
+SCRIPT_STARTS = [first for first, _ in SCRIPT_RANGES]
+SCRIPT_NAMES = sorted({name for _, name in SCRIPT_RANGES})
+SCRIPT_OF = [SCRIPT_NAMES.index(name) for _, name in SCRIPT_RANGES]
+SCRIPTS = len(SCRIPT_NAMES)
+
+
+@cache
+def letters() -> np.ndarray:
+    """Whether a code point is a letter: its general category is one of L."""
+    return np.fromiter((category(chr(c))[0] == "L" for c in range(0x110000)), bool, 0x110000)
 
 
 class Block:
@@ -47,8 +67,9 @@ class Block:
         self.lengths = np.array([len(c) for c in codes], np.int64)
         self.codes = np.fromiter((c for doc in codes for c in doc), np.int32, int(self.lengths.sum()))
         # letters of each word, lower case, with a line feed on either side
-        text = "\n" + NO_LETTERS.sub("", b"\n".join(index).decode("utf-8", "replace").lower()) + "\n" * bool(index)
+        text = "\n" + b"\n".join(index).decode("utf-8", "replace").lower() + "\n" * bool(index)
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        points = points[letters()[points] | (points == 10)]
         ends = np.flatnonzero(points == 10)
         self.words = len(index)
         self.letters = np.diff(ends) - 1 if self.words else np.zeros(0, np.int64)
@@ -59,8 +80,9 @@ class Block:
         mixed = ((a * 0x9E3779B1 + b) * 0x85EBCA77 + c) * 0xC2B2AE3D
         self.gram = ((mixed ^ (mixed >> 29)) & ((1 << GRAM_BITS) - 1)).astype(np.int32)
         self.gram_word = word_of[at]
-        head = points[ends[:-1] + 1] if self.words else np.zeros(0, np.int64)
-        self.script = np.array(SCRIPT_OF)[np.searchsorted(SCRIPT_STARTS, head, side="right") - 1]
+        # the script of most of a word's letters
+        script = np.array(SCRIPT_OF)[np.searchsorted(SCRIPT_STARTS, b, side="right") - 1]
+        self.script = np.bincount(self.gram_word * SCRIPTS + script, minlength=self.words * SCRIPTS).reshape(-1, SCRIPTS).argmax(axis=1)
         self.doc = np.repeat(np.arange(len(texts)), self.lengths)
 
 
@@ -235,4 +257,4 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], h
 def op8_language_id(spark, sf_dir):
     docs = shared.table(spark, sf_dir, "documents")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    return identify(docs, train(docs, ~held), held).drop("span_starts", "span_langs")
+    return identify(docs, train(docs, ~held), held)

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import itertools
 import math
+import unicodedata
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallow.llm import hmm_scoring, language_id
+from tallow.llm import hmm_scoring, language_id, shared
+from tallow.llm.registry import QUERIES
 from tests.conftest import SF
 from tests.llm.common import ROWS, docs
 
@@ -78,14 +81,12 @@ def test_probabilities_of_one_step_sum_to_one():
 
 
 def test_better_than_base_on_held_out_texts(spark):
-    from tallow.llm.registry import QUERIES
 
     total = QUERIES["op2_hmm_scoring"](spark, SF).filter("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
     assert total.score > total.base
 
 
 def test_language_accuracy(spark):
-    from tallow.llm.registry import QUERIES
 
     got = QUERIES["op8_language_id"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     right = got.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
@@ -135,3 +136,43 @@ def test_viterbi_is_the_best_path():
         c = codes[at : at + n]
         best = max((worth(p, c) for p in itertools.product(range(3), repeat=int(n))), default=0)
         assert math.isclose(worth(label[at : at + n], c), best, abs_tol=1e-9)
+
+
+def test_letters_are_those_of_category_l(spark, model):
+    texts = ["½", "²", "Ⅷ", "①", "12 ½ !!", "_", "\u0301", "a½", "ª", "漢", "नमस्ते"]
+    pred, score, _, _ = language_id.label_texts(texts, model)
+    assert [p == "und" for p in pred] == [True] * 7 + [False] * 4
+    assert (score[:7] == 0).all() and (score[7:] > 0).all()
+
+
+def test_spans_in_the_query(spark):
+    got = QUERIES["op8_language_id"](spark, SF).collect()
+    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    for r in got:
+        assert len(r.span_starts) == len(r.span_langs) and (r.span_starts[0] == 0 if r.lang_pred != "und" else not r.span_starts)
+        assert all(a != b for a, b in itertools.pairwise(r.span_langs))
+
+
+def brute_language(text, model):
+    """Language and score by plain loops over every labelling's best continuation."""
+    langs, shares, candidate = model
+    words = shared.words_of(text)
+    block = language_id.Block([" ".join(w.decode() for w in words)])
+    scores = language_id.word_scores(block, shares, candidate)
+    best = [(0.0, [])] * len(langs)
+    for code in block.codes:
+        best = [max(((v - language_id.SWITCH * (k != j) + scores[code, j], path + [j]) for k, (v, path) in enumerate(best)), key=lambda x: x[0]) for j in range(len(langs))]
+    path = max(best, key=lambda x: x[0])[1]
+    votes = [0] * len(langs)
+    for word, k in zip(words, path, strict=True):
+        votes[k] += sum(unicodedata.category(c)[0] == "L" for c in word.decode().lower())
+    return langs[votes.index(max(votes))], max(votes) / sum(votes)
+
+
+def test_language_against_brute_force(spark, model):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars BETWEEN 20 AND 600").limit(25).collect()]
+    texts += [a[:150] + " " + b[-150:] for a, b in itertools.pairwise(texts)]
+    pred, score, _, _ = language_id.label_texts(texts, model)
+    for text, p, s in zip(texts, pred, score, strict=True):
+        lang, share = brute_language(text, model)
+        assert p == lang and abs(s - share) < 1e-9
