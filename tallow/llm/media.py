@@ -132,7 +132,7 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op3_media_columns(spark, sf_dir):
-    """The fingerprint as one string: number of pairs, then the SHA-256 of its time:code list."""
+    """The fingerprint itself, and as one string: number of pairs, then the SHA-256 of its time:code list."""
     listed = F.array_join(F.zip_with("pair_times", "pair_codes", lambda t, c: F.concat(t, F.lit(":"), c)), " ")
     feature = F.concat(F.size("pair_codes").cast("string"), F.lit(":"), F.sha2(listed, 256))
-    return media_columns(shared.table(spark, sf_dir, "documents")).withColumn("feature", feature).drop("pair_times", "pair_codes")
+    return media_columns(shared.table(spark, sf_dir, "documents")).withColumn("feature", feature)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -67,6 +68,39 @@ def test_raw_elements_after_letters_that_grow_in_lower_case():
     assert html_extraction.main_blocks("<p>a.</p><style>x</ſtyle><p>b.</p></style><p>c.</p>") == ["a.", "c."]
 
 
+PARA = "The ferry leaves at noon and comes back in the evening, unless the wind is too strong for it. "
+#: Pages by hand: blocks of main text are written with a leading +, others with -.
+LABELLED = [
+    "<article><h1>+Ferries of the north</h1><p>+{p}</p><p>+Hm</p><p>+{p}</p><p>+Yes</p><p>+{p}</p></article><nav><a href=1>-Home</a></nav>",
+    "<main><p>+{p}</p><p><a href=1>+See the timetable here</a></p><p>+{p}</p></main><div><a href=1>-Other news of today</a></div>",
+    "<div><ul><li><a href=1>-News</a><li><a href=2>-Sport</a><li><a href=3>-Culture</a></ul></div><div><p>+{p}</p><p>+So</p><p>+{p}</p></div><div><a href=1>-More of this</a><a href=2> and that</a></div>",
+    "<article><p>+{p}</p><ul><li>+eggs<li>+milk<li>+salt</ul><p>+{p}</p><div class=ad>-Buy now, {p}</div><p>+{p}</p></article><footer>-(c)</footer>",
+    "<div class=content><p>+{p}</p><blockquote><p>+No</p></blockquote><p>+{p}</p></div><div class=comments><p>-{p}</p><p>-Ok</p></div>",
+    "<div class=content><p>+{p}</p></div><div><p>-Weather</p><p><a href=2>-Rain in the west today</a></p></div>",
+]
+
+
+def test_cut_mends_labels():
+    alone = cut = 0
+    for page in LABELLED:
+        blocks, elements = html_extraction.parse(page.format(p=PARA))
+        kept = html_extraction.main_blocks(page.format(p=PARA))
+        cost = html_extraction.costs(blocks, elements)
+        assert all(abs(c) < 20 for c in cost)  # no cost is beyond what others can outweigh
+        for b, c in zip(blocks, cost, strict=True):
+            wanted = b.text[0] == "+"
+            alone += (c > 0) != wanted
+            cut += (b.text in kept) != wanted
+    assert cut == 0 and alone >= 5
+
+
+def test_deep_pages_take_linear_time():
+    began = time.process_time()
+    for page in ("<div>x" * 40_000, "<blockquote>x" * 40_000 + "</section>" * 40_000, "<div><p>x</p>" * 20_000):
+        assert len(html_extraction.main_blocks(page)) in (20_000, 40_000)
+    assert time.process_time() - began < 20
+
+
 def test_cut_is_minimal():
     rng = random.Random(6)
     for _ in range(200):
@@ -155,6 +189,46 @@ def test_shards_prune(spark):
     assert spread[0] < 60 and spread[1] < 1000
 
 
+def brute_pairs(samples):
+    """Peaks and pairs by plain loops over a discrete Fourier transform."""
+    x = list(samples)
+    n = max(1, -(-(len(x) - media.FRAME) // media.HOP) + 1)
+    x += [128] * ((n - 1) * media.HOP + media.FRAME - len(x))
+    waves = np.exp(-2j * np.pi * np.outer(np.arange(media.FRAME // 2 + 1), np.arange(media.FRAME)) / media.FRAME)
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(media.FRAME) / (media.FRAME - 1))
+    power = [np.round(np.abs(waves @ ((np.array(x[f * media.HOP : f * media.HOP + media.FRAME]) - 128.0) * window)), 2) for f in range(n)]
+    found = []
+    for f in range(n):
+        here = power[f]
+        tops = []
+        for k in range(1, len(here) - 1):
+            beside = [power[g][k] for g in (f - 1, f + 1) if 0 <= g < n]
+            if here[k] > here[k - 1] and here[k] > here[k + 1] and all(here[k] >= v for v in beside) and here[k] > 0:
+                tops.append((-here[k], k))
+        found += [(f, k) for k in sorted(k for _, k in sorted(tops)[: media.PEAKS])]
+    out = []
+    for i, (f, k) in enumerate(found):
+        for g, j in found[i + 1 : i + 1 + media.FAN]:
+            if g - f <= media.SPAN:
+                out.append((f, (k << 16) | (j << 8) | (g - f)))
+    return sorted(out)
+
+
+def test_media_query_against_brute_force(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = registry.QUERIES["op3_media_columns"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        data = texts[r.doc_id].encode()
+        payload = data + bytes(max(64, -(-len(data) // 64) * 64) - len(data))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(data), len(payload), hashlib.sha256(payload).hexdigest())
+        assert r.tail_crc32 == zlib.crc32(payload[-64:])
+        listed = " ".join(f"{t}:{c}" for t, c in zip(r.pair_times, r.pair_codes, strict=True))
+        assert r.feature == f"{len(r.pair_codes)}:{hashlib.sha256(listed.encode()).hexdigest()}"
+        if r.doc_id % 20 == 0 and len(data) < 4000:
+            assert list(zip(r.pair_times, r.pair_codes, strict=True)) == brute_pairs(payload)
+
+
 # -- reply trees ----------------------------------------------------------------------------------------------------
 
 
