@@ -3,6 +3,8 @@ from __future__ import annotations
 import itertools
 import math
 import unicodedata
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,6 +82,70 @@ def test_probabilities_of_one_step_sum_to_one():
     assert math.isclose(first.sum(), 1) and np.allclose(step.sum(axis=1), 1) and np.allclose(emit.sum(axis=1), 1)
 
 
+def plain_forward(words, emission, model):
+    """log10 of a text's probability by the recursion alone, in logarithms."""
+    first, step, _ = model
+    now = None
+    for w in [*words, None]:
+        before = np.log(first) if now is None else np.logaddexp.reduce(now[:, None] + np.log(step), axis=0)
+        now = before + np.log(emission(w))
+    return np.logaddexp.reduce(now) / math.log(10)
+
+
+def test_score_is_the_plain_recursion(spark, monkeypatch):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: (r.text or "").encode().lower().split() for r in d.collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    count = Counter(w for i, t in texts.items() if not held(i) for w in t)
+    for frequent, block in ((hmm_scoring.FREQUENT, hmm_scoring.BLOCK), (300, 5000)):
+        monkeypatch.setattr(hmm_scoring, "FREQUENT", frequent)
+        monkeypatch.setattr(hmm_scoring, "BLOCK", block)
+        monkeypatch.setattr(hmm_scoring, "TOGETHER", 5 * block // 6)
+        condition = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+        _, _, vocabulary, model = hmm_scoring.fit(d, condition, rounds=2)
+        total = sum(count.values()) + sum(not held(i) for i in texts)
+        assert vocabulary.total == total and {w for w, c in count.items() if c * frequent >= total} == set(vocabulary.frequent)
+
+        def emission(word, vocabulary=vocabulary, model=model):
+            if word is None:
+                return model[2][:, hmm_scoring.CLASSES]
+            if word in vocabulary.frequent:
+                return model[2][:, hmm_scoring.CLASSES + 1 + vocabulary.frequent[word][0]]
+            k = zlib.crc32(word) % hmm_scoring.CLASSES
+            return model[2][:, k] * (count.get(word, 0) + 1) / (vocabulary.tokens[k] + vocabulary.words[k] + 1)
+
+        # all words and, for each class, one that was never seen
+        rare = [w for w in count if w not in vocabulary.frequent]
+        unseen = (model[2][:, : hmm_scoring.CLASSES] / (vocabulary.tokens[: hmm_scoring.CLASSES] + vocabulary.words + 1)).sum(axis=1)
+        assert np.allclose(sum(emission(w) for w in [None, *vocabulary.frequent, *rare]) + unseen, 1)
+        got = hmm_scoring.score_texts(d, condition, rounds=2).collect()
+        for r in sorted(got, key=lambda r: r.n_tokens)[:60]:
+            assert math.isclose(r.score, plain_forward(texts[r.doc_id], emission, model), rel_tol=1e-6)
+
+
+def test_no_text_is_cut_in_training(spark):
+    d = docs(spark)
+    blocks = hmm_scoring.text_blocks(d, F.lit(False), "doc_id", "text")
+    vocabulary, _ = hmm_scoring.corpus_counts(blocks)
+    sent = spark.sparkContext.broadcast(vocabulary)
+    first, step, emit = hmm_scoring.baum_welch(blocks, sent, hmm_scoring.start_model(vocabulary.tokens), 1)
+    whole = np.zeros(vocabulary.tokens.shape)
+    starts = np.zeros(hmm_scoring.STATES)
+    moves = np.zeros((hmm_scoring.STATES, hmm_scoring.STATES))
+    start = hmm_scoring.start_model(vocabulary.tokens)
+    emitted = np.zeros((hmm_scoring.STATES, len(vocabulary.tokens)))
+    for _, t in ROWS:
+        words = (t or "").encode().lower().split()
+        seq = np.append(vocabulary.symbols(words)[0], hmm_scoring.CLASSES)
+        a, m, e = hmm_scoring.expected_counts(seq, np.ones(len(seq), int), start)
+        starts, moves, emitted = starts + a, moves + m, emitted + e
+        whole += np.bincount(seq, minlength=len(whole))
+    assert np.allclose(emitted.sum(axis=0), whole) and math.isclose(starts.sum(), len(ROWS))
+    share = lambda x, axis: (x + hmm_scoring.PRIOR) / (x + hmm_scoring.PRIOR).sum(axis=axis, keepdims=True)
+    for got, wanted in ((first, share(starts, 0)), (step, share(moves, 1)), (emit, share(emitted, 1))):
+        assert np.allclose(got, wanted, rtol=1e-3)
+
+
 def test_better_than_base_on_held_out_texts(spark):
 
     total = QUERIES["op2_hmm_scoring"](spark, SF).filter("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
