@@ -6,10 +6,13 @@
    a representative with fewer than `matches` shared ones is skipped for good.
 3. Prefix: sorted by how many post them, rare ones first, two signatures that agree in `matches` coordinates must
    share one of the first COORDINATES - matches + 1. Only those stay posted.
-4. Short lists give their pairs, which are counted over all coordinates and kept from `matches` collisions on; the
-   kept ones are compared on their full sets.
-5. Long lists are never expanded: their members are dealt into blocks, and each two blocks of a list are compared on
-   full sets inside one task, which returns a spanning forest of the confirmed links.
+4. Every list pairs its members with one of them, the pivot: the one whose coordinates most others share, as the text
+   has from which the others were made. Collisions of a pair are counted over all coordinates; pairs with `matches`
+   or more are compared on their full sets and linked. Lists whose members the links don't yet join do so again, with
+   a pivot outside of their largest component, PIVOTS times in all.
+5. What stays open: in each list, the members outside of its largest component meet the whole list, in blocks. Only
+   pairs that no link joins are compared, under the same count of collisions, so each pair of a list is either joined
+   already or compared. Members within the largest component, nearly all of a large group, don't meet one another.
 6. Components follow by passing the smallest identifier along the links, with pointer jumping.
 
 `matches` lies 4.3 standard deviations below what a pair right at the threshold shows, so a few such pairs in 100,000
@@ -25,16 +28,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import shared
 
 COORDINATES, SPREAD = 64, 4.3
-#: Lists up to this length give their pairs.
-SHORT = 16
-#: Texts, and shingles, of a block of a longer list; texts compared at once inside a task.
-BLOCK, BLOCK_SHINGLES, TILE = 1024, 1_000_000, 256
+#: Rounds of pivots.
+PIVOTS = 1
+#: In lists that pivots leave open: members outside of the largest component in a block, members of the whole list, and their shingles.
+OUTSIDE, BLOCK, BLOCK_SHINGLES = 512, 512, 500_000
+#: Texts of a block that are compared at once.
+TILE = 256
 #: Bits of the filter that keeps texts nobody asks for out of a shuffle; 4 MB when it is full.
 FILTER_BITS = 1 << 25
 #: Shingle hashes that meet all coordinates at once, which bounds memory.
@@ -109,26 +114,51 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
 
 
 def postings(reps: DataFrame, matches: int) -> DataFrame:
-    """Rows (token, doc, length, weight) of prefix coordinates that are shared, with their lists' texts and shingles."""
+    """Rows (token, doc, length, weight, popular) of prefix coordinates that are shared.
+
+    length and weight are the texts and the shingles of the token's list, popular the sum of the lengths of all the
+    doc's lists.
+    """
     token = F.transform("sig", lambda v, k: F.shiftleft(k.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
     posted = reps.select("doc", "n_shingles", F.explode(token).alias("token"))
     lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.sum("n_shingles").alias("weight")).filter("length > 1")
-    shared_tokens = posted.drop("n_shingles").join(lists, "token").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("length", "token", "weight"))).alias("tokens"))
+    shared_tokens = posted.drop("n_shingles").join(lists, "token").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("length", "token", "weight"))).alias("tokens"), F.sum("length").alias("popular"))
     kept = shared_tokens.filter(F.size("tokens") >= matches)
     # coordinates that nobody shares come first in the prefix and need no posting
-    prefix = kept.select("doc", F.explode(F.slice("tokens", 1, F.size("tokens") - (matches - 1))).alias("t"))
-    return shared.written(prefix.select(F.col("t.token").alias("token"), "doc", F.col("t.length").alias("length"), F.col("t.weight").alias("weight")), "postings")
+    prefix = kept.select("doc", "popular", F.explode(F.slice("tokens", 1, F.size("tokens") - (matches - 1))).alias("t"))
+    return shared.written(prefix.select(F.col("t.token").alias("token"), "doc", F.col("t.length").alias("length"), F.col("t.weight").alias("weight"), "popular"), "postings")
+
+
+def pivot_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a < b) of each list's pivot with the members that no link joins it with.
+
+    The pivot is the most popular member outside of the largest component; of equally popular ones the smallest.
+    """
+    pivots = lists.filter("outside").groupBy("token").agg(F.min(F.struct(-F.col("popular"), "doc", "root")).alias("p")).select("token", F.col("p.doc").alias("pivot"), F.col("p.root").alias("pivot_root"))
+    met = lists.select("token", "doc", "root").join(pivots, "token").filter("root != pivot_root")
+    return met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
 
 
-def short_pairs(posted: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
-    """Pairs (a < b) of lists up to SHORT whose signatures agree in enough coordinates."""
-    lists = posted.filter(F.col("length") <= SHORT).groupBy("token").agg(F.array_sort(F.collect_set("doc")).alias("docs"))
-    pair = F.flatten(F.transform("docs", lambda a, k: F.transform(F.slice("docs", k + 2, F.lit(SHORT)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    pairs = lists.filter(F.size("docs") > 1).select(F.explode(pair).alias("p")).select("p.a", "p.b").distinct()
+def unjoined(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of lists that still have members of several components, with roots anew.
+
+    outside tells whether a row is outside of the largest component of its list, n_outside how many are. A list of
+    two is done after one pivot.
+    """
+    placed = lists.filter("length > 2").select("token", "doc", "length", "weight", "popular").join(roots.withColumnRenamed("node", "doc"), "doc", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "doc"))
+    parts = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    several = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    several = several.select("token", F.col("top.root").alias("main"), (F.col("n") - F.col("top.n")).alias("n_outside"))
+    return shared.written(placed.join(several, "token").withColumn("outside", F.col("root") != F.col("main")).drop("main"), "open-lists")
+
+
+def colliding(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
+    """The pairs whose signatures agree in enough coordinates."""
     sig = reps.select("doc", "sig")
     both = pairs.join(sig.withColumnsRenamed({"doc": "a", "sig": "sig_a"}), "a").join(sig.withColumnsRenamed({"doc": "b", "sig": "sig_b"}), "b")
     equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return both.filter(equal >= matches).select("a", "b")
+    return shared.written(both.filter(equal >= matches).select("a", "b"), "pairs")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -218,52 +248,59 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return [(find(x), x) for x in root if find(x) != x]
 
 
-def long_links(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of lists longer than SHORT: a spanning forest of what is confirmed between each two blocks of a list."""
-    posted = posted.filter(F.col("length") > SHORT)
+def open_links(lists: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Links (a, b) within open lists: a spanning forest of what is confirmed between each two blocks of a list."""
+    chunks = F.ceil(F.col("n_outside") / OUTSIDE).cast("int")
     blocks = F.ceil(F.greatest(F.col("length") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-    meets = posted.select("token", "doc", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
-        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc"
-    )
+    number = lambda n: F.pmod(F.xxhash64("doc"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = lists.filter("outside").select("token", "doc", "root", number(chunks).alias("i"), every(blocks).alias("j"), F.lit(True).alias("asks"))
+    right = lists.select("token", "doc", "root", every(chunks).alias("i"), number(blocks).alias("j"), F.lit(False).alias("asks"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        first, second = rows["i"].iat[0], rows["j"].iat[0]
-        docs, own = rows["doc"].to_numpy(), rows["own"].to_numpy()
+        docs, root, asks = (rows[c].to_numpy() for c in ("doc", "root", "asks"))
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
-        left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+        sigs = np.stack(rows["sig"].to_list())
         edges = []
-        for lo in range(0, len(left), TILE):
-            for hi in range(lo if first == second else 0, len(right), TILE):
-                x, y = left[lo : lo + TILE], right[hi : hi + TILE]
-                p, q = np.nonzero(linked([sets[k] for k in x], [sets[k] for k in y], percent))
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+        for hi in range(0, len(right) if len(left) else 0, TILE):
+            x, y = left, right[hi : hi + TILE]
+            # pairs that no link joins and that collide often enough
+            asked = (root[x][:, None] != root[y]) & (sum((sigs[x, k][:, None] == sigs[y, k]).astype(np.int16) for k in range(COORDINATES)) >= matches)
+            x, y, asked = x[asked.any(axis=1)], y[asked.any(axis=0)], asked[asked.any(axis=1)][:, asked.any(axis=0)]
+            if len(x):
+                p, q = np.nonzero(linked([sets[k] for k in x], [sets[k] for k in y], percent) & asked)
                 edges += _forest(docs[x[p]], docs[y[q]])
         found = _forest(*np.array(edges, np.int64).reshape(-1, 2).T)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     shared.ship(sets.sparkSession)
-    return meets.join(sets, "doc").groupBy("token", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    whole = left.unionByName(right).join(sets, "doc").join(reps.select("doc", "sig"), "doc")
+    return whole.groupBy("token", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Rows (node, root): for each node of a link the smallest node that it reaches.
 
-    Every round a node takes the smallest label among its neighbours', then the label of that label. Sums of changes
-    end the loop, so its rounds follow the links' structure, and each round's table is written, so none is repeated.
+    ``before`` has the components (node, root) of links given earlier. Every round a node takes the smallest label among
+    its neighbours', then the label of that label. The loop ends when nothing changes, so its rounds follow the
+    links' structure, and each round's table is written, so none is repeated.
     """
+    if before is not None:
+        if links.isEmpty():
+            return before
+        links = links.unionByName(before.filter("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     both = shared.written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = shared.written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
         low = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", "root", F.least("root", "near").alias("low"))
         up = labels.select(F.col("node").alias("low"), F.col("root").alias("jump"))
+        changes = Observation()
         after = low.join(up, "low").select("node", F.least("low", "jump").alias("next"), "root")
-        after = shared.written(after, "labels")
-        done = after.filter("next < root").isEmpty()
+        after = shared.written(after.observe(changes, F.count_if(F.col("next") < F.col("root")).alias("n")), "labels")
         labels = after.select("node", F.col("next").alias("root"))
-        if done:
+        if not changes.get["n"]:
             return labels
 
 
@@ -290,12 +327,20 @@ def near_duplicates(
     # a class goes by the row of its best member from here on
     reps = classes.select(F.col("best.row").alias("doc"), F.col("best.doc_id").alias("id"), "digest", "n_shingles", "sig")
     matches = least_matches(percent) if matches is None else matches
-    posted = postings(reps, matches)
-    pairs = shared.written(short_pairs(posted, reps, matches), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).unionByName(posted.filter(F.col("length") > SHORT).select("doc")).distinct()
-    wanted = shared.written(wanted.join(reps.select("doc", "id", "digest"), "doc"), "wanted")
-    sets = shingle_sets(docs, wanted, width, id_col, text_col)
-    roots = components(shared.written(confirmed_pairs(pairs, sets, percent).unionByName(long_links(posted, sets, percent)), "confirmed"))
+    lists = postings(reps, matches).withColumns({"root": F.col("doc"), "outside": F.lit(True)})
+    named = reps.select("doc", "id", "digest")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return shingle_sets(docs, shared.written(wanted.distinct().join(named, "doc"), "wanted"), width, id_col, text_col)
+
+    roots: DataFrame | None = None
+    for _ in range(PIVOTS):
+        pairs = colliding(pivot_pairs(lists), reps, matches)
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc")))
+        roots = components(shared.written(confirmed_pairs(pairs, sets, percent), "confirmed"), roots)
+        lists = unjoined(lists, roots)
+    more = open_links(lists, reps, sets_of(lists.select("doc")), percent, matches)
+    roots = components(shared.written(more, "confirmed"), roots)
     # down again: components get their best row, then the classes, then the rows of those that aren't alone
     placed = classes.join(roots, F.col("best.row") == F.col("node"), "left").select("digest", "best", "copies", F.coalesce("root", "best.row").alias("root"))
     heads = placed.groupBy("root").agg(F.min("best").alias("head"), F.sum("copies").alias("members")).filter("members > 1")

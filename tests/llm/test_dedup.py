@@ -112,7 +112,7 @@ def test_near_large_group(spark):
 def test_near_long_lists_in_blocks(spark, monkeypatch):
     """Block pairs meet every pair of a list."""
     monkeypatch.setattr(minhash_join, "BLOCK", 7)
-    monkeypatch.setattr(minhash_join, "SHORT", 2)
+    monkeypatch.setattr(minhash_join, "OUTSIDE", 5)
     base = [f"w{k}" for k in range(80)]
     rows = [(k, " ".join([*base[: 80 - k % 5], f"end{k}"])) for k in range(40)]
     check_near(spark, rows)
