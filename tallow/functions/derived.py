@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallow.schema import SERIES
 
@@ -86,14 +88,16 @@ def candle_delta(candles: DataFrame) -> DataFrame:
 
 
 def wilder_atr(candles: DataFrame, length: int = 14) -> DataFrame:
-    """Recursively smoothed true range: a fold over a series' true ranges, so a series has to fit in a task."""
-    ranges = price_range_atr(candles, length)
-    rows = ranges.groupBy(*SERIES).agg(F.array_sort(F.collect_list(F.struct("open_time", "true_range"))).alias("rows"))
-    zero = F.array().cast("array<struct<open_time:timestamp_ntz,atr:double>>") if "timestamp_ntz" in dict(candles.dtypes)["open_time"] else F.array().cast("array<struct<open_time:timestamp,atr:double>>")
+    """Recursively smoothed true range, atr = (last atr * (length - 1) + true range) / length, from the first true range on.
 
-    def step(done, row):
-        last = F.try_element_at(done, F.lit(-1))["atr"]
-        value = F.when(last.isNull(), row["true_range"]).otherwise((last * (length - 1) + row["true_range"]) / length)
-        return F.concat(done, F.array(F.struct(row["open_time"].alias("open_time"), value.alias("atr"))))
+    A recursion without end has no window, so a series' times and true ranges (not its candles) meet in one task, in
+    one pass over them.
+    """
+    ranges = price_range_atr(candles, length).select(*SERIES, "open_time", "true_range")
 
-    return rows.select(*SERIES, F.inline(F.aggregate("rows", zero, step)))
+    def smooth(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("open_time")
+        return rows.assign(atr=rows["true_range"].ewm(alpha=1 / length, adjust=False).mean()).drop(columns="true_range")
+
+    kind = T.StructType([*(f for f in ranges.schema if f.name != "true_range"), T.StructField("atr", T.DoubleType())])
+    return ranges.groupBy(*SERIES).applyInPandas(smooth, kind)

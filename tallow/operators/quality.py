@@ -1,31 +1,21 @@
-"""The quality gate of candles: a report, an exception for the first broken rule, a split into good and bad rows."""
+"""The quality gate of candles and trades: a report, an exception for the first broken rule, a split into good and bad rows."""
 
 from __future__ import annotations
 
 from functools import reduce
+from importlib.resources import files
+from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallow.operators.rules import Rule, compile_rules, counts, duplicate_keys
-from tallow.schema import CANDLE_KEY, CANDLES, SERIES, TRADE_KEY
+from tallow.operators.rules import Rule, absent, compile_rules, counts, duplicate_keys, load_declaration
+from tallow.schema import SERIES, TRADE_KEY  # noqa: F401
 
-_NUMBERS = ["open", "high", "low", "close", "base_volume", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume"]
-
-CANDLE_RULES = {
-    "not_null": CANDLES.fieldNames(),
-    "logical": ["high >= low", "high >= open", "high >= close", "low <= open", "low <= close"],
-    "non_negative": _NUMBERS,
-    "unique": CANDLE_KEY,
-    "late_logical": ["open_time < close_time"],
-}
-
-TRADE_RULES = {
-    "non_negative": ["price", "quantity", "quote_quantity"],
-    "logical": ["first_trade_id <= last_trade_id"],
-    "one_of": {"trade_side": ["buy", "sell"]},
-    "unique": TRADE_KEY,
-}
+#: The rules of the datasets, as declared in the package's YAML files.
+_FILES = files("tallow") / "declarations"
+CANDLE_RULES = load_declaration(_FILES / "candles.yaml")
+TRADE_RULES = load_declaration(_FILES / "trades.yaml")
 
 #: Rows of a stretch of the input order; one row of each meets the others to compare the ends.
 STRETCH = 100_000
@@ -39,52 +29,68 @@ class QualityError(ValueError):
         self.rule = rule
 
 
-def unsorted_rows(df: DataFrame, ordinal: str, scope: str = "series") -> DataFrame:
-    """Rows whose open time is before that of the row ahead of them in the input's order; ties pass.
+def unsorted_rows(df: DataFrame, ordinal: str, scope: str = "series", time: str = "open_time", series: tuple[str, ...] = SERIES) -> DataFrame:
+    """Rows whose time is before that of the row ahead of them in the input's order; ties pass.
 
-    ``series`` compares within each series. ``frame`` compares neighbours whatever their series: stretches of the
-    order are checked side by side, and their first and last rows in one small window.
+    ``series`` compares within each series, ``frame`` neighbours whatever their series. Stretches of the order are
+    checked side by side, and their first and last rows in one small window, so a long series is no hot group.
     """
-    if scope == "series":
-        ahead = F.lag("open_time").over(Window.partitionBy(*SERIES).orderBy(ordinal))
-        return df.withColumn("previous_open_time", ahead).filter("open_time < previous_open_time")
-    if scope != "frame":
+    if scope not in ("series", "frame"):
         raise ValueError("scope is series or frame")
+    keys = list(series) if scope == "series" else []
     part = df.withColumn("_stretch", F.floor(F.col(ordinal) / STRETCH))
-    inside = part.withColumn("previous_open_time", F.lag("open_time").over(Window.partitionBy("_stretch").orderBy(ordinal)))
-    ends = part.groupBy("_stretch").agg(F.min(ordinal).alias(ordinal), F.max_by("open_time", ordinal).alias("_last"))
-    seams = ends.withColumn("_seam", F.lag("_last").over(Window.orderBy("_stretch"))).select("_stretch", ordinal, "_seam")
-    joined = inside.join(seams, ["_stretch", ordinal], "left").withColumn("previous_open_time", F.coalesce("previous_open_time", "_seam"))
-    return joined.filter("open_time < previous_open_time").drop("_stretch", "_seam")
+    inside = part.withColumn("_ahead", F.lag(time).over(Window.partitionBy(*keys, "_stretch").orderBy(ordinal)))
+    ends = part.groupBy(*keys, "_stretch").agg(F.min(ordinal).alias("_first"), F.max_by(time, ordinal).alias("_last"))
+    seams = ends.select("_first", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_stretch")).alias("_seam")).filter("_seam IS NOT NULL")
+    joined = inside.join(seams, F.col(ordinal) == F.col("_first"), "left").withColumn(f"previous_{time}", F.coalesce("_ahead", "_seam"))
+    return joined.filter(F.col(time) < F.col(f"previous_{time}")).drop("_stretch", "_ahead", "_first", "_seam")
 
 
-def check(df: DataFrame, ordinal: str | None = None, scope: str = "series") -> list[tuple[str, int]]:
+def check(df: DataFrame, ordinal: str | None = None, scope: str = "series", declaration: dict[str, Any] = CANDLE_RULES) -> list[tuple[str, int]]:
     """Violations of each rule, in the order in which the gate reports them: one aggregate, one count of duplicate keys.
 
-    The order of rows is checked only where an ordinal column is given, as a DataFrame has no order of its own.
+    The order of candles is checked only where an ordinal column is given, as a DataFrame has no order of its own.
     """
-    absent = [c for c in CANDLES.fieldNames() if c not in df.columns]
-    if absent:
-        return [("missing_columns: " + ", ".join(absent), len(absent))]
-    rules = compile_rules(CANDLE_RULES)
+    lacking = absent(df, declaration)
+    if lacking:
+        return [("missing_columns: " + ", ".join(lacking), len(lacking))]
+    rules = compile_rules(declaration)
     found = counts(df, rules).first().asDict()
-    late = CANDLE_RULES["late_logical"]
+    late = declaration.get("late_logical", ())
     report = [("empty", int(found["rows"] == 0))]
     report += [(r.name, found[r.name]) for r in rules if r.name not in late]
-    report.append(("duplicate_keys", duplicate_keys(df, CANDLE_KEY).count()))
+    if declaration.get("unique"):
+        report.append(("duplicate_keys", duplicate_keys(df, tuple(declaration["unique"])).count()))
     if ordinal:
         report.append(("unsorted_rows", unsorted_rows(df, ordinal, scope).count()))
     return report + [(name, found[name]) for name in late]
 
 
-def enforce(df: DataFrame, ordinal: str | None = None, scope: str = "series") -> DataFrame:
+def enforce(df: DataFrame, ordinal: str | None = None, scope: str = "series", declaration: dict[str, Any] = CANDLE_RULES) -> DataFrame:
     """df itself, or a QualityError for the first rule that it breaks."""
-    for rule, n in check(df, ordinal, scope):
+    for rule, n in check(df, ordinal, scope, declaration):
         if n:
-            raise QualityError(rule.split(":")[0], f"candles break the rule {rule} ({n} times)")
+            raise QualityError(rule.split(":")[0], f"rows break the rule {rule} ({n} times)")
     return df
 
 
+def gate_report(df: DataFrame, ordinal: str, scope: str = "series", declaration: dict[str, Any] = CANDLE_RULES) -> DataFrame:
+    """Rows (rule, violations) of the whole gate as one plan: absent columns, no rows, row rules, duplicate keys, order."""
+    lacking = absent(df, declaration)
+    head = df.sparkSession.createDataFrame([("missing_columns", len(lacking))], "rule string, violations long")
+    if lacking:
+        return head
+    rules = compile_rules(declaration)
+    one = counts(df, rules)
+    pairs = [F.struct(F.lit("empty").alias("rule"), (F.col("rows") == 0).cast("long").alias("violations"))]
+    pairs += [F.struct(F.lit(r.name).alias("rule"), F.col(f"`{r.name}`").alias("violations")) for r in rules]
+    out = head.unionByName(one.select(F.inline(F.array(*pairs))))
+    more = {"duplicate_keys": duplicate_keys(df, tuple(declaration["unique"])), "unsorted_rows": unsorted_rows(df, ordinal, scope)}
+    for name, found in more.items():
+        out = out.unionByName(found.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("violations")))
+    return out
+
+
 def row_rules() -> list[Rule]:
     return compile_rules(CANDLE_RULES)
 

@@ -1,6 +1,7 @@
 """Quality rules as data, compiled to Spark expressions.
 
-A declaration is a mapping with any of ``required``, ``not_null``, ``non_negative``, ``logical``, ``one_of``, ``unique``.
+A declaration is a mapping, given in Python or in a YAML file, with any of ``required`` (columns that must be there),
+``not_null``, ``logical`` (Spark SQL conditions), ``non_negative``, ``one_of``, ``unique`` (a key) and ``late_logical``.
 Row rules become counts of violations in one aggregate over the table, whatever their number; a unique rule is one more.
 """
 
@@ -8,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from importlib.resources.abc import Traversable
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class RuleError(ValueError):
+    """A declaration of rules can't be used."""
+
+
 @dataclass(frozen=True)
 class Rule:
     """A row rule: ``violated`` makes the condition for a table's schema."""
@@ -38,6 +45,30 @@ def _holds_not(expression: str) -> Column:
     return F.coalesce(~F.expr(expression), F.lit(False))
 
 
+KINDS = {"required": list, "not_null": list, "logical": list, "non_negative": list, "one_of": dict, "unique": list, "late_logical": list}
+
+
+def load_declaration(path: str | Traversable) -> dict[str, Any]:
+    """The declaration in a YAML file's ``rules``; a RuleError for anything that no rule can be made of."""
+    import yaml
+
+    try:
+        file = Path(path) if isinstance(path, str) else path
+        rules = (yaml.safe_load(file.read_text(encoding="utf-8")) or {})["rules"]
+    except (OSError, yaml.YAMLError, TypeError, KeyError) as e:
+        raise RuleError(f"{path} declares no rules") from e
+    for kind, given in rules.items():
+        if not isinstance(given, KINDS.get(kind, ())):
+            raise RuleError(f"{path}: {kind} is no kind of rule, or not a {KINDS[kind].__name__ if kind in KINDS else 'known one'}")
+    return rules
+
+
+def absent(df: DataFrame, declaration: dict[str, Any]) -> list[str]:
+    """Columns that the declaration needs and df lacks."""
+    needed = [*declaration.get("required", ()), *declaration.get("not_null", ()), *declaration.get("non_negative", ()), *declaration.get("one_of", ()), *declaration.get("unique", ())]
+    return [c for c in dict.fromkeys(needed) if c not in df.columns]
+
+
 def compile_rules(declaration: dict[str, Any]) -> list[Rule]:
     """Row rules in the order in which they are reported."""
     rules: list[Rule] = []

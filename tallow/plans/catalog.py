@@ -6,6 +6,7 @@ something to find.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tallow.functions import derived
 from tallow.operators import bars, dedupe, gaps, quality, rules
 from tallow.schema import CANDLE_KEY, SERIES, TRADE_KEY
+from tallow.scratch import scratch_dir
 from tallow.sources import adapters, decode, lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,6 +229,34 @@ def _dq_report(spark, sf_dir):
     return quality.violation_report(faulty(spark, sf_dir), quality.row_rules())
 
 
+@query(
+    "gate_report",
+    f"""WITH {HOURLY_SQL}, {FAULTS_SQL}, numbered AS (SELECT *, CAST(epoch(open_time) AS BIGINT) // 3600 AS h FROM faulty),
+placed AS (SELECT *, CASE WHEN h % 59 = 0 THEN (h + 3) * 10 + 5 ELSE h * 10 END AS pos FROM numbered),
+input AS (SELECT * FROM placed UNION ALL SELECT * FROM placed WHERE h % 53 = 0),
+ahead AS (SELECT *, lag(open_time) OVER (PARTITION BY exchange, symbol, timeframe ORDER BY pos) AS previous FROM input)
+SELECT 'missing_columns' AS rule, CAST(0 AS BIGINT) AS violations
+UNION ALL SELECT 'empty', CAST(count(*) = 0 AS BIGINT) FROM input
+UNION ALL SELECT 'missing_values', count(*) FROM input WHERE {_MISSING}
+UNION ALL SELECT 'high >= low', count(*) FROM input WHERE high < low
+UNION ALL SELECT 'high >= open', count(*) FROM input WHERE high < open
+UNION ALL SELECT 'high >= close', count(*) FROM input WHERE high < close
+UNION ALL SELECT 'low <= open', count(*) FROM input WHERE low > open
+UNION ALL SELECT 'low <= close', count(*) FROM input WHERE low > close
+UNION ALL SELECT 'negative_values', count(*) FROM input WHERE open < 0 OR high < 0 OR low < 0 OR close < 0 OR base_volume < 0 OR quote_volume < 0 OR taker_buy_base_volume < 0 OR taker_buy_quote_volume < 0
+UNION ALL SELECT 'open_time < close_time', count(*) FROM input WHERE open_time >= close_time
+UNION ALL SELECT 'duplicate_keys', count(*) FROM (SELECT exchange, symbol, timeframe, open_time FROM input GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'unsorted_rows', count(*) FROM ahead WHERE open_time < previous""",
+)
+def _gate_report(spark, sf_dir):
+    h = F.col("h")
+    placed = faulty(spark, sf_dir).withColumn("h", _hour_no()).withColumn("pos", F.when(h % 59 == 0, (h + 3) * 10 + 5).otherwise(h * 10))
+    # a place of its own for each row of the input: series at one hour lie side by side, repeated rows behind one another
+    placed = placed.withColumn("pos", F.col("pos") * 100_000 + F.pmod(F.crc32(F.col("symbol").cast("binary")), F.lit(49_999)) * 2)
+    again = placed.filter(h % 53 == 0).withColumn("pos", F.col("pos") + 1)
+    return quality.gate_report(placed.unionByName(again), "pos")
+
+
 @query(
     "dq_quarantine_split",
     f"""WITH {HOURLY_SQL}, {FAULTS_SQL}
@@ -370,6 +400,45 @@ def _upsert(spark, sf_dir):
     return dedupe.merge_latest(df.filter(h % 7 != 0), corrected).select(*CANDLE_KEY, "close")
 
 
+def _own_lake(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/lake-{uuid.uuid4().hex}"
+
+
+def _with_zone(df: DataFrame, *times: str) -> DataFrame:
+    return df.withColumns({t: F.col(t).cast("timestamp") for t in times})
+
+
+@query(
+    "lake_roundtrip",
+    f"WITH {HOURLY_SQL} SELECT exchange, symbol, timeframe, open_time, CASE WHEN (CAST(epoch(open_time) AS BIGINT) // 3600) % 5 = 0 THEN close + 1 ELSE close END AS close, "
+    "strftime(open_time, '%Y') AS year, strftime(open_time, '%m') AS month FROM candles "
+    "WHERE (CAST(epoch(open_time) AS BIGINT) // 3600) % 5 = 0 OR (CAST(epoch(open_time) AS BIGINT) // 3600) % 7 <> 0",
+)
+def _lake_roundtrip(spark, sf_dir):
+    """A first write, corrections of single candles, and what the lake holds then."""
+    df, h = hourly(spark, sf_dir), _hour_no()
+    first = df.filter(h % 7 != 0)
+    # corrections move the close upwards, so the high as well
+    corrected = df.filter(h % 5 == 0).withColumns({"close": F.col("close") + 1, "high": F.greatest("high", F.col("close") + 1)})
+    root = _own_lake(spark)
+    for part in (first, corrected, corrected):
+        lake.upsert_candles(_with_zone(part, "open_time", "close_time", "ingested_at"), root)
+    return lake.read_candles(spark, root).select(*SERIES, F.col("open_time").cast("timestamp_ntz").alias("open_time"), "close", "year", "month")
+
+
+@query(
+    "trade_lake_roundtrip",
+    f"WITH {TRADES_SQL} SELECT exchange, symbol, agg_trade_id, CASE WHEN agg_trade_id % 5 = 0 THEN price + 1 ELSE price END AS price, trade_side, "
+    "strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS month, strftime(timestamp, '%d') AS day FROM trades WHERE agg_trade_id % 5 = 0 OR agg_trade_id % 7 <> 0",
+)
+def _trade_lake_roundtrip(spark, sf_dir):
+    df = _with_zone(trades(spark, sf_dir), "timestamp", "ingested_at")
+    root = _own_lake(spark)
+    lake.upsert_trades(df.filter("agg_trade_id % 7 <> 0"), root)
+    lake.upsert_trades(df.filter("agg_trade_id % 5 = 0").withColumn("price", F.col("price") + 1), root)
+    return lake.read_trades(spark, root).select(*TRADE_KEY, "price", "trade_side", "year", "month", "day")
+
+
 @query(
     "partition_row_counts",
     f"WITH {HOURLY_SQL} SELECT exchange, symbol, timeframe, strftime(open_time, '%Y') AS year, strftime(open_time, '%m') AS month, count(*) AS row_count FROM candles GROUP BY ALL",
@@ -430,6 +499,22 @@ def _decode(spark, sf_dir):
     return out.select("exchange", "symbol", "timeframe", utc.alias("open_time"), "open", "close", "trade_count")
 
 
+@query(
+    "decode_pages",
+    "SELECT event_id // 1000 AS page_no, CAST(row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS INTEGER) AS row_pos, "
+    "'AB' AS symbol, epoch_ms(epoch_us(ts) // 1000) AS open_time, value AS close, event_id AS trade_count FROM events",
+)
+def _decode_pages(spark, sf_dir):
+    ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").cast("string")
+    value, zero = F.col("value").cast("string"), F.lit("0")
+    row = F.array(ms, value, value, value, value, zero, ms, zero, F.col("event_id").cast("string"), zero, zero, zero)
+    wire = adapters.table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / 1000).alias("page_no"), row.alias("row"))
+    pages = wire.groupBy("page_no").agg(F.to_json(F.array_sort(F.collect_list(F.struct("event_id", "row")))["row"]).alias("payload"))
+    out = decode.decode_pages(pages, "ab", "1h", "demo", ingested_at=F.lit(None).cast("timestamp"))
+    utc = F.expr("timestampadd(MILLISECOND, unix_millis(open_time), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+    return out.select("page_no", "row_pos", "symbol", utc.alias("open_time"), "close", "trade_count")
+
+
 # -- derived datasets -------------------------------------------------------------------------------------------
 
 _RETURNS_SQL = (

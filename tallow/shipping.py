@@ -19,7 +19,8 @@ def ship(spark: SparkSession) -> None:
     root = Path(__file__).parent
     target = Path(tempfile.mkdtemp(prefix="spark-")) / f"{root.name}.zip"
     with zipfile.ZipFile(target, "w") as z:
-        for source in sorted(root.rglob("*.py")):
-            z.write(source, source.relative_to(root.parent))
+        for source in sorted(root.rglob("*")):
+            if source.suffix in (".py", ".yaml"):
+                z.write(source, source.relative_to(root.parent))
     context.addPyFile(str(target))
     _shipped.add(context.applicationId)

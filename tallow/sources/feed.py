@@ -4,8 +4,10 @@ The candle grid is known beforehand, so a range of times splits into slices of a
 each slice is an input partition that pages on its own. A sequential scan becomes a parallel one whose width is the
 number of slices, capped by ``slices`` where the provider limits requests.
 
-    spark.dataSource.register(CandleFeed)
-    spark.read.format("candle_feed").options(symbol="BTCUSDT", interval="1h", start_ms=..., end_ms=..., base_url=...).load()
+    feed.register(spark)
+    feed.candles(spark, symbol="BTCUSDT", interval="1h", start_ms=..., end_ms=...)   # the rest from config/config.yaml
+
+Trades have no grid: their range splits into slices of equal time, and a slice goes on by trade identifiers.
 """
 
 from __future__ import annotations
@@ -20,21 +22,25 @@ from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
+    EqualNullSafe,
+    EqualTo,
     Filter,
     GreaterThan,
     GreaterThanOrEqual,
+    In,
     InputPartition,
     LessThan,
     LessThanOrEqual,
     SimpleDataSourceStreamReader,
 )
 
-from tallow.schema import CANDLES, interval_of
+from tallow.schema import CANDLES, TRADES, interval_of
+from tallow.settings import config_value, load_config
 from tallow.shipping import ship
 from tallow.sources.decode import WIRE
 
@@ -91,19 +97,45 @@ class FeedClient:
         return answer
 
     def scan(self, symbol: str, interval: str, start_ms: int, end_ms: int | None = None, limit: int = PAGE) -> Iterator[list]:
-        """Rows of a range, page by page, without rows seen before; ends with a short or empty page, or behind the end."""
-        cursor, last = start_ms, None
+        """Rows of a range, page by page and in the order served; of rows of one open time the first.
+
+        A page's rows may stand in any order: the largest time is where the next page starts. Ends with a short or
+        empty page, or behind the end.
+        """
+        cursor = start_ms
+        seen: set[int] = set()
         while end_ms is None or cursor <= end_ms:
             rows = self.page(symbol, interval, limit, cursor, end_ms)
             for row in rows:
-                if last is None or int(row[0]) > last:
+                at = int(row[0])
+                if at not in seen:
+                    seen.add(at)
                     yield row
-                    last = int(row[0])
             if len(rows) < limit:
                 return
-            if int(rows[-1][0]) + 1 <= cursor:
+            last = max(int(row[0]) for row in rows)
+            if last + 1 <= cursor:
+                raise SourceError("the feed's pages don't advance")
+            cursor = last + 1
+
+    def trades(self, symbol: str, start_ms: int, end_ms: int, limit: int = PAGE) -> Iterator[dict]:
+        """Trades of a range of times: the first page by time, the others by the identifier behind the last one."""
+        if not 1 <= limit <= MOST:
+            raise ValueError(f"limit must lie between 1 and {MOST}")
+        ask = {"startTime": start_ms, "endTime": end_ms}
+        following = None
+        while True:
+            rows = self.get({"symbol": symbol.upper(), "limit": limit} | ask)
+            if not isinstance(rows, list):
+                raise SourceError("the feed's answer is no list of trades")
+            fresh = sorted((r for r in rows if following is None or int(r["a"]) >= following), key=lambda r: int(r["a"]))
+            yield from (r for i, r in enumerate(fresh) if start_ms <= int(r["T"]) <= end_ms and (i == 0 or r["a"] != fresh[i - 1]["a"]))
+            if len(rows) < limit or any(int(r["T"]) > end_ms for r in rows):
+                return
+            if not fresh:
                 raise SourceError("the feed's pages don't advance")
-            cursor = int(rows[-1][0]) + 1
+            following = int(fresh[-1]["a"]) + 1
+            ask = {"fromId": following}
 
 
 def _moment(ms: Any) -> datetime:
@@ -121,22 +153,31 @@ def typed_row(row: list, symbol: str, timeframe: str, exchange: str, now: dateti
     return tuple(numbers[f] for f in CANDLES.fieldNames())
 
 
+def typed_trade(row: dict, symbol: str, exchange: str, now: datetime) -> tuple:
+    """A trade in the order of TRADES. Where the buyer was the maker, the aggressor sold."""
+    price, quantity = float(row["p"]), float(row["q"])
+    maker = bool(row["m"])
+    return (exchange, symbol.upper(), int(row["a"]), _moment(row["T"]), price, quantity, price * quantity, int(row["f"]), int(row["l"]), maker, "sell" if maker else "buy", now)
+
+
 class Slice(InputPartition):
     def __init__(self, start_ms: int, end_ms: int):
         self.start_ms, self.end_ms = start_ms, end_ms
 
 
 class _Options:
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: dict[str, str], candles: bool = True):
         need = lambda k: options.get(k) or _missing(k)
-        self.symbol, self.interval = need("symbol"), need("interval")
+        self.symbol, self.interval = need("symbol"), need("interval") if candles else ""
         self.exchange = options.get("exchange", "demo")
         self.limit = int(options.get("limit", PAGE))
-        self.step = millis_of(self.interval)
+        self.step = millis_of(self.interval) if candles else 1
+        #: Time that a slice of trades covers.
+        self.slice_ms = int(options.get("slice_ms", 3_600_000))
         self.start_ms = int(options["start_ms"]) if "start_ms" in options else None
         self.end_ms = int(options["end_ms"]) if "end_ms" in options else None
         self.slices = int(options.get("slices", 256))
-        self.url = options.get("base_url", "http://localhost:8080") + options.get("endpoint", "/candles")
+        self.url = options.get("base_url", "http://localhost:8080") + options.get("endpoint", "/candles" if candles else "/trades")
         self.transport = options.get("transport", "")
         self.attempts, self.backoff, self.timeout = int(options.get("attempts", 5)), float(options.get("backoff", 2)), float(options.get("timeout", 30))
         if not 1 <= self.limit <= MOST:
@@ -154,34 +195,57 @@ def _missing(option: str):
     raise ValueError(f"option {option} is missing")
 
 
-class CandleReader(DataSourceReader):
+def _millis(value: datetime) -> int:
+    """Whole milliseconds of a time, rounded down; one without a zone is UTC."""
+    return int((value if value.tzinfo else value.replace(tzinfo=UTC)).timestamp() * 1000 // 1)
+
+
+class _RangeReader(DataSourceReader):
+    """A range of times that filters on ``column`` narrow; Spark applies every filter again."""
+
+    column = ""
+
     def __init__(self, options: _Options):
         self.o = options
         self.start_ms, self.end_ms = options.start_ms, options.end_ms
 
     def pushFilters(self, filters: list[Filter]):
-        """Bounds on open_time narrow the requested range; Spark applies every filter again."""
         for f in filters:
-            if isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) and f.attribute == ("open_time",) and isinstance(f.value, datetime):
-                at = int((f.value if f.value.tzinfo else f.value.replace(tzinfo=UTC)).timestamp() * 1000)
-                if isinstance(f, (GreaterThan, GreaterThanOrEqual)):
-                    self.start_ms = at if self.start_ms is None else max(self.start_ms, at)
-                else:
-                    self.end_ms = at if self.end_ms is None else min(self.end_ms, at)
+            lo = hi = None
+            if getattr(f, "attribute", None) == (self.column,):
+                values = [v for v in (f.value if isinstance(f, In) else [getattr(f, "value", None)]) if isinstance(v, datetime)]
+                if values and isinstance(f, (EqualTo, EqualNullSafe, In, GreaterThan, GreaterThanOrEqual)):
+                    lo = min(map(_millis, values))
+                if values and isinstance(f, (EqualTo, EqualNullSafe, In, LessThan, LessThanOrEqual)):
+                    hi = max(map(_millis, values))
+            if lo is not None:
+                self.start_ms = lo if self.start_ms is None else max(self.start_ms, lo)
+            if hi is not None:
+                self.end_ms = hi if self.end_ms is None else min(self.end_ms, hi)
             yield f
 
+    def width(self) -> int:
+        """Time that a slice covers, before the number of slices is capped."""
+        raise NotImplementedError
+
     def partitions(self) -> list[Slice]:
         if self.start_ms is None:
-            raise ValueError("a scan needs start_ms, or a filter on open_time")
+            raise ValueError(f"a scan needs start_ms, or a filter on {self.column}")
         end = self.end_ms if self.end_ms is not None else int(time.time() * 1000)
         if end < self.start_ms:
             return [Slice(0, -1)]
-        span = self.o.step * self.o.limit
-        count = min(self.o.slices, -(-(end - self.start_ms + 1) // span))
+        count = min(self.o.slices, -(-(end - self.start_ms + 1) // self.width()))
         width = -(-(end - self.start_ms + 1) // count)
         width = -(-width // self.o.step) * self.o.step
         return [Slice(a, min(a + width - 1, end)) for a in range(self.start_ms, end + 1, width)]
 
+
+class CandleReader(_RangeReader):
+    column = "open_time"
+
+    def width(self) -> int:
+        return self.o.step * self.o.limit
+
     def read(self, partition: Slice) -> Iterator[tuple]:
         if partition.end_ms < partition.start_ms:
             return
@@ -190,8 +254,22 @@ class CandleReader(DataSourceReader):
             yield typed_row(row, self.o.symbol, self.o.interval, self.o.exchange, now)
 
 
+class TradeReader(_RangeReader):
+    column = "timestamp"
+
+    def width(self) -> int:
+        return self.o.slice_ms
+
+    def read(self, partition: Slice) -> Iterator[tuple]:
+        if partition.end_ms < partition.start_ms:
+            return
+        now = datetime.now(UTC)
+        for row in self.o.client().trades(self.o.symbol, partition.start_ms, partition.end_ms, self.o.limit):
+            yield typed_trade(row, self.o.symbol, self.o.exchange, now)
+
+
 class CandleTail(SimpleDataSourceStreamReader):
-    """Follows a feed: the offset is the open time to ask for next."""
+    """Follows a feed: the offset is the open time to ask for next. A candle comes once its close time has passed."""
 
     def __init__(self, options: _Options):
         self.o = options
@@ -202,8 +280,11 @@ class CandleTail(SimpleDataSourceStreamReader):
     def read(self, start: dict):
         now = datetime.now(UTC)
         rows = self.o.client().page(self.o.symbol, self.o.interval, self.o.limit, start["open_ms"])
-        end = {"open_ms": int(rows[-1][0]) + 1} if rows else start
-        return iter([typed_row(r, self.o.symbol, self.o.interval, self.o.exchange, now) for r in rows]), end
+        # the first candle that is still open holds back itself and those behind it
+        still_open = [int(r[0]) for r in rows if int(r[WIRE.index("close_time")]) >= now.timestamp() * 1000]
+        end = min(still_open) if still_open else max((int(r[0]) + 1 for r in rows), default=start["open_ms"])
+        first = {int(r[0]): r for r in reversed(rows) if start["open_ms"] <= int(r[0]) < end}
+        return iter([typed_row(r, self.o.symbol, self.o.interval, self.o.exchange, now) for _, r in sorted(first.items())]), {"open_ms": max(end, start["open_ms"])}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         now = datetime.now(UTC)
@@ -228,8 +309,48 @@ class CandleFeed(DataSource):
         return CandleTail(_Options(dict(self.options)))
 
 
+class TradeFeed(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "trade_feed"
+
+    def schema(self):
+        return T.StructType([T.StructField(f.name, f.dataType) for f in TRADES])
+
+    def reader(self, schema) -> TradeReader:
+        return TradeReader(_Options(dict(self.options), candles=False))
+
+
 def register(spark: SparkSession) -> None:
-    """Makes ``format("candle_feed")`` known to the session."""
+    """Makes ``format("candle_feed")`` and ``format("trade_feed")`` known to the session, and lets filters reach them."""
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(CandleFeed)
+    for source in (CandleFeed, TradeFeed):
+        spark.dataSource.register(source)
+
+
+def configured(dataset: str, config: dict[str, Any] | None = None) -> dict[str, str]:
+    """The options of a feed, candles or trades, that the configuration gives."""
+    config = load_config() if config is None else config
+    keys = {
+        "base_url": "feed.base_url",
+        "endpoint": f"feed.{dataset}",
+        "limit": "feed.limit",
+        "timeout": "feed.timeout_seconds",
+        "attempts": "feed.max_attempts",
+        "backoff": "feed.backoff_seconds",
+        "exchange": "price.default_exchange",
+        "symbol": "price.default_symbol",
+    }
+    found = {option: config_value(config, path) for option, path in keys.items()}
+    return {option: str(value) for option, value in found.items() if value is not None}
+
+
+def candles(spark: SparkSession, config: dict[str, Any] | None = None, **options) -> DataFrame:
+    """Candles of the configured feed; options go before the configuration."""
+    return spark.read.format("candle_feed").options(**configured("candles", config) | options).load()
+
+
+def trades(spark: SparkSession, config: dict[str, Any] | None = None, **options) -> DataFrame:
+    """Trades of the configured feed; options go before the configuration."""
+    return spark.read.format("trade_feed").options(**configured("trades", config) | options).load()

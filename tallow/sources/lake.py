@@ -1,4 +1,4 @@
-"""The candle lake: hive-partitioned Parquet with idempotent upserts.
+"""The lake of candles and trades: hive-partitioned Parquet with idempotent upserts.
 
 Partition values are read with a stated schema: inferred ones would turn a lone timeframe=1d into a double and
 month=07 into a number, after which a write would make a second directory for the same month.
@@ -7,14 +7,45 @@ month=07 into a number, after which a write would make a second directory for th
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
+from functools import reduce
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallow.operators.dedupe import merge_latest
-from tallow.operators.quality import enforce
-from tallow.schema import CANDLE_KEY, CANDLE_PARTITIONS, CANDLES
+from tallow.operators.dedupe import keep_last, merge_latest
+from tallow.operators.quality import CANDLE_RULES, TRADE_RULES, enforce
+from tallow.schema import CANDLE_KEY, CANDLE_PARTITIONS, CANDLES, TRADE_KEY, TRADE_PARTITIONS, TRADES
+from tallow.settings import config_value, load_config
+
+
+class LakeError(RuntimeError):
+    """An upsert stopped half-way; the message says where its rows are kept."""
+
+
+@dataclass(frozen=True)
+class Dataset:
+    """How a table lies in the lake."""
+
+    path: str
+    schema: T.StructType
+    key: tuple[str, ...]
+    partitions: tuple[str, ...]
+    time: str
+    rules: dict[str, Any]
+
+
+CANDLE_SET = Dataset("price/ohlcv", CANDLES, CANDLE_KEY, CANDLE_PARTITIONS, "open_time", CANDLE_RULES)
+TRADE_SET = Dataset("price/agg_trades", TRADES, TRADE_KEY, TRADE_PARTITIONS, "timestamp", TRADE_RULES)
+_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
+
+
+def configured_root(dataset: Dataset = CANDLE_SET, config: dict[str, Any] | None = None) -> str:
+    """The dataset's folder below the configured one for raw data."""
+    config = load_config() if config is None else config
+    return f"{str(config_value(config, 'paths.raw', 'data/raw')).rstrip('/')}/{dataset.path}"
 
 
 def _stored_schema(schema: T.StructType, partitions: tuple[str, ...]) -> T.StructType:
@@ -22,16 +53,16 @@ def _stored_schema(schema: T.StructType, partitions: tuple[str, ...]) -> T.Struc
     return T.StructType([*body, *(T.StructField(p, T.StringType()) for p in partitions)])
 
 
-def with_partitions(candles: DataFrame) -> DataFrame:
-    """year and month of the open time, as strings of fixed width."""
-    return candles.withColumns({"year": F.date_format("open_time", "yyyy"), "month": F.date_format("open_time", "MM")})
+def with_partitions(df: DataFrame, dataset: Dataset = CANDLE_SET) -> DataFrame:
+    """The parts of the time that name partitions, as strings of fixed width."""
+    return df.withColumns({p: F.date_format(dataset.time, _PARTS[p]) for p in dataset.partitions if p in _PARTS})
 
 
-def partition_path(candles: DataFrame) -> DataFrame:
+def partition_path(df: DataFrame, dataset: Dataset = CANDLE_SET) -> DataFrame:
     """Distinct partitions with their directory below the lake's root."""
-    keys = with_partitions(candles).select(*CANDLE_PARTITIONS).distinct()
-    parts = [F.concat(F.lit(f"{c}="), c) for c in CANDLE_PARTITIONS]
-    return keys.withColumn("path", F.concat_ws("/", F.lit("price"), F.lit("ohlcv"), *parts))
+    keys = with_partitions(df, dataset).select(*dataset.partitions).distinct()
+    parts = [F.concat(F.lit(f"{c}="), c) for c in dataset.partitions]
+    return keys.withColumn("path", F.concat_ws("/", F.lit(dataset.path), *parts))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -44,49 +75,96 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def read_candles(spark: SparkSession, root: str) -> DataFrame:
-    """All candles of a lake; an absent one is empty. Filters on partition columns prune directories."""
-    schema = _stored_schema(CANDLES, CANDLE_PARTITIONS)
+def read(spark: SparkSession, root: str, dataset: Dataset = CANDLE_SET) -> DataFrame:
+    """All rows of a lake; an absent one is empty. Filters on partition columns prune directories."""
+    schema = _stored_schema(dataset.schema, dataset.partitions)
     if not _exists(spark, root):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(root)
 
 
+def read_candles(spark: SparkSession, root: str | None = None) -> DataFrame:
+    return read(spark, root or configured_root(CANDLE_SET), CANDLE_SET)
+
+
+def read_trades(spark: SparkSession, root: str | None = None) -> DataFrame:
+    return read(spark, root or configured_root(TRADE_SET), TRADE_SET)
+
+
 def read_nanosecond_leaf(spark: SparkSession, path: str) -> DataFrame:
-    """Files whose times are nanoseconds, which Spark reads as integers only when told to."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    raw = spark.read.parquet(path)
+    """Files whose times are nanoseconds, which Spark reads as integers only when told to: in a session of their own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    raw = own.read.parquet(path)
     times = [f.name for f in CANDLES if isinstance(f.dataType, T.TimestampType)]
     return raw.withColumns({c: F.expr(f"timestamp_micros({c} div 1000)") for c in times if c in raw.columns and raw.schema[c].dataType == T.LongType()})
 
 
-def upsert_candles(candles: DataFrame, root: str) -> DataFrame:
-    """Merges candles into the lake and returns the partitions written, with their number of rows.
+def touched_only(df: DataFrame, touched: list[tuple], partitions: tuple[str, ...]) -> DataFrame:
+    """The rows of the given partitions: literal conditions on each column, so that the others' directories are never listed for the scan."""
+
+    def among(values: set, column: str) -> Column:
+        return F.col(column).isin(*sorted(values))
+
+    near = reduce(lambda a, b: a & b, (among({t[k] for t in touched}, c) for k, c in enumerate(partitions)))
+    exact = df.sparkSession.createDataFrame(touched, ", ".join(f"{c} string" for c in partitions))
+    return df.filter(near).join(F.broadcast(exact), list(partitions), "left_semi")
 
-    The input is checked before anything is read, the merged partitions before anything is replaced. Only partitions
-    that the input touches are read and replaced; replaying an input changes nothing.
+
+def upsert(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, allow_empty: bool = False) -> DataFrame:
+    """Merges rows into the lake and returns the partitions written, with their number of rows.
+
+    The input is computed once, into a staging folder beside the lake, and what lies there is what gets checked and
+    merged. Only partitions that it touches are read and replaced (the driver holds their names), after the merged rows
+    passed the gate as well; replaying an input changes nothing. Nothing is lost where the replacement fails: the
+    merged rows stay in the staging folder, which the LakeError names.
     """
-    spark = candles.sparkSession
-    enforce(candles)
-    new = with_partitions(candles.select(CANDLES.fieldNames()))
-    touched = new.select(*CANDLE_PARTITIONS).distinct()
-    existing = read_candles(spark, root).join(touched, list(CANDLE_PARTITIONS), "left_semi").select(new.columns)
+    spark = new.sparkSession
+    counts = _stored_schema(T.StructType([]), dataset.partitions).add("row_count", "long")
     staging = f"{root.rstrip('/')}-staging-{uuid.uuid4().hex}"
-    merge_latest(existing, new, CANDLE_KEY).write.parquet(staging)
     try:
-        merged = spark.read.schema(new.schema).parquet(staging)
-        enforce(merged)
-        (
-            merged.repartition(*CANDLE_PARTITIONS)
-            .sortWithinPartitions(*CANDLE_PARTITIONS, "open_time")
-            .write.partitionBy(*CANDLE_PARTITIONS)
-            .option("compression", "snappy")
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .parquet(root)
-        )
-    finally:
+        rows = with_partitions(new.select(dataset.schema.fieldNames()), dataset)
+        rows.write.parquet(f"{staging}/input")
+        staged = spark.read.schema(rows.schema).parquet(f"{staging}/input")
+        touched = [tuple(r) for r in staged.select(*dataset.partitions).distinct().collect()]
+        if not touched and allow_empty:
+            _delete(spark, staging)
+            return spark.createDataFrame([], counts)
+        enforce(staged, declaration=dataset.rules)
+        existing = touched_only(read(spark, root, dataset), touched, dataset.partitions).select(staged.columns)
+        merge_latest(existing, staged, dataset.key).write.parquet(f"{staging}/merged")
+        merged = spark.read.schema(rows.schema).parquet(f"{staging}/merged")
+        enforce(merged, declaration=dataset.rules)
+    except Exception:
+        # the lake is as it was, and the input is the caller's
         _delete(spark, staging)
-    schema = _stored_schema(CANDLES, CANDLE_PARTITIONS)
-    done = spark.read.schema(schema).parquet(root).join(touched, list(CANDLE_PARTITIONS), "left_semi")
-    return done.groupBy(*CANDLE_PARTITIONS).agg(F.count(F.lit(1)).alias("row_count")).orderBy(*CANDLE_PARTITIONS)
+        raise
+    try:
+        _replace(merged, root, dataset)
+    except Exception as e:
+        raise LakeError(f"partitions of {root} were not all replaced; the merged rows are kept in {staging}/merged") from e
+    _delete(spark, staging)
+    done = touched_only(read(spark, root, dataset), touched, dataset.partitions)
+    return done.groupBy(*dataset.partitions).agg(F.count(F.lit(1)).alias("row_count")).orderBy(*dataset.partitions)
+
+
+def _replace(merged: DataFrame, root: str, dataset: Dataset) -> None:
+    (
+        merged.repartition(*dataset.partitions)
+        .sortWithinPartitions(*dataset.partitions, dataset.time)
+        .write.partitionBy(*dataset.partitions)
+        .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(root)
+    )
+
+
+def upsert_candles(candles: DataFrame, root: str | None = None, allow_empty: bool = False) -> DataFrame:
+    return upsert(candles, root or configured_root(CANDLE_SET), CANDLE_SET, allow_empty)
+
+
+def upsert_trades(trades: DataFrame, root: str | None = None, allow_empty: bool = False) -> DataFrame:
+    """As for candles; of trades with one identifier in the input, the later ingested counts."""
+    return upsert(keep_last(trades, key=TRADE_KEY), root or configured_root(TRADE_SET), TRADE_SET, allow_empty)

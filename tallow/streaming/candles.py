@@ -22,7 +22,7 @@ def upsert_stream(candles: DataFrame, root: str, checkpoint: str, **trigger) ->
     """Every micro-batch goes through the lake's upsert, so a batch that is replayed changes nothing."""
 
     def write(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            upsert_candles(keep_last(batch), root)
+        # computed once: the upsert stages it and checks, merges and counts what it staged
+        upsert_candles(keep_last(batch), root, allow_empty=True)
 
     return candles.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

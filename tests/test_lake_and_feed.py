@@ -162,3 +162,123 @@ def test_gap_cases(spark):
     assert {(r.symbol, r.gap_count) for r in gaps.gap_counts(two, "1h").collect()} == {("BTCUSDT", 1), ("B", 2)}
     with pytest.raises(ValueError, match="timeframe"):
         gaps.find_time_gaps(two, "2h")
+
+
+def test_pages_out_of_order():
+    left = [[wire(START + 3 * HOUR), wire(START + HOUR), wire(START + 2 * HOUR)], [wire(START + 2 * HOUR, 9.0), wire(START + 4 * HOUR)]]
+    client = FeedClient("u", lambda url, params, timeout: left.pop(0))
+    got = list(client.scan("a", "1h", START, limit=3))
+    assert sorted(r[0] - START for r in got) == [HOUR, 2 * HOUR, 3 * HOUR, 4 * HOUR]
+    assert {r[0]: r[4] for r in got}[START + 2 * HOUR] == "2.0"  # the first version
+
+
+def test_tail_waits_for_the_close(monkeypatch):
+    served = {"closed": 3}
+
+    class Clock(datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return datetime.fromtimestamp((START + served["closed"] * HOUR + 1) / 1000, tz)
+
+    monkeypatch.setattr(feed, "datetime", Clock)
+    tail = feed.CandleTail(feed._Options({"symbol": "ab", "interval": "1h", "start_ms": str(START), "transport": "tests.test_lake_and_feed:serve_some"}))
+    rows, offset = tail.read(tail.initialOffset())
+    assert len(list(rows)) == 3 and offset == {"open_ms": START + 3 * HOUR}
+    rows, same = tail.read(offset)
+    assert not list(rows) and same == offset
+    served["closed"] = 4
+    rows, offset = tail.read(offset)
+    assert [r[3] for r in rows] == [datetime.fromtimestamp((START + 3 * HOUR) / 1000, UTC)] and offset == {"open_ms": START + 4 * HOUR}
+
+
+def serve_some(url, params, timeout):
+    return serve(url, params, timeout)[:5]
+
+
+def test_point_lookups_are_pushed():
+    at = datetime.fromtimestamp((START + 7 * HOUR) / 1000, UTC)
+    options = {"symbol": "ab", "interval": "1h", "start_ms": str(START), "end_ms": str(START + 2499 * HOUR)}
+    for f, lo, hi in ((feed.EqualTo(("open_time",), at), 7, 7), (feed.In(("open_time",), (at, at + timedelta(hours=2))), 7, 9)):
+        reader = feed.CandleReader(feed._Options(options))
+        assert list(reader.pushFilters([f])) == [f]  # Spark filters again
+        assert [(s.start_ms, s.end_ms) for s in reader.partitions()] == [(START + lo * HOUR, START + hi * HOUR)]
+
+
+def trade(k, **more):
+    return {"a": k, "p": str(10.0 + k), "q": "2", "f": k, "l": k, "T": START + k // 3 * 1000, "m": k % 2 == 0, **more}
+
+
+def serve_trades(url, params, timeout):
+    """A provider with 5,000 trades, three in each second."""
+    rows = [trade(k) for k in range(5000)]
+    if "fromId" in params:
+        rows = [r for r in rows if r["a"] >= params["fromId"]]
+    else:
+        rows = [r for r in rows if params["startTime"] <= r["T"] <= params["endTime"]]
+    return rows[: params["limit"]]
+
+
+def test_trade_feed(spark):
+    feed.register(spark)
+    options = {"symbol": "ab", "start_ms": START, "end_ms": START + HOUR - 1, "limit": 100, "slice_ms": 600_000, "transport": "tests.test_lake_and_feed:serve_trades"}
+    df = feed.trades(spark, {"price": {"default_exchange": "demo"}}, **options)
+    assert df.rdd.getNumPartitions() == 6
+    assert df.agg(F.count("*"), F.count_distinct("agg_trade_id"), F.min("exchange")).first()[:] == (5000, 5000, "demo")
+    one = df.filter("agg_trade_id = 7").first()
+    assert (one.price, one.quote_quantity, one.trade_side, one.is_buyer_maker) == (17.0, 34.0, "buy", False)
+    assert df.filter((F.col("timestamp") >= "2026-01-01 00:00:10") & (F.col("timestamp") < "2026-01-01 00:00:20")).count() == 30
+    with pytest.raises(SourceError, match="trades"):
+        list(FeedClient("u", lambda *a: {}).trades("a", START, START))
+
+
+def test_configured_feed_and_lake(tmp_path):
+    config = {"feed": {"base_url": "http://x", "candles": "/c", "limit": 10, "max_attempts": 2}, "price": {"default_symbol": "AB"}, "paths": {"raw": str(tmp_path)}}
+    assert feed.configured("candles", config) == {"base_url": "http://x", "endpoint": "/c", "limit": "10", "attempts": "2", "symbol": "AB"}
+    assert feed.configured("trades")["endpoint"] == "/trades"  # of config/config.yaml
+    assert lake.configured_root(lake.TRADE_SET, config) == f"{tmp_path}/price/agg_trades"
+    assert lake.configured_root() == "data/raw/price/ohlcv"
+
+
+def test_failed_replacement_keeps_the_rows(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    lake.upsert_candles(candles(spark, hour(1)), root)
+
+    def broken(*args):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(lake, "_replace", broken)
+    with pytest.raises(lake.LakeError, match="staging") as e:
+        lake.upsert_candles(candles(spark, hour(1, close=90100.0), hour(2)), root)
+    kept = spark.read.parquet(str(e.value).rsplit(" ", 1)[1])
+    assert {(r.open_time.hour, r.close) for r in kept.collect()} == {(1, 90100.0), (2, 90500.0)}
+
+
+def test_upsert_reads_the_input_once_and_touched_partitions_only(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    lake.upsert_candles(candles(spark, hour(1), hour(24 * 40), hour(24 * 70)), root)
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        runs.add(1)
+        yield from rows
+
+    source = candles(spark, hour(2)).coalesce(1)
+    lake.upsert_candles(source.mapInPandas(counted, source.schema), root)
+    assert runs.value == 1
+    plan = lake.touched_only(lake.read_candles(spark, root), [("demo", "BTCUSDT", "1h", "2026", "01")], lake.CANDLE_SET.partitions)
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in shown and "month#" in shown.split("PartitionFilters")[1] and "= 01" in shown
+    assert len(plan.inputFiles()) == 3  # listed before pruning
+    assert lake.upsert_candles(candles(spark).limit(0), root, allow_empty=True).count() == 0
+    assert not [d for d in os.listdir(tmp_path) if "staging" in d]
+
+
+def test_trade_lake(spark, tmp_path):
+    root = str(tmp_path / "trades")
+    rows = [("demo", "AB", k, datetime(2026, 1, 1 + k), 2.0 + k, 1.0, 2.0 + k, k, k, True, "sell", datetime(2026, 2, 1)) for k in range(3)]
+    df = spark.createDataFrame(rows, lake.TRADES)
+    assert [(r.day, r.row_count) for r in lake.upsert_trades(df, root).collect()] == [("01", 1), ("02", 1), ("03", 1)]
+    lake.upsert_trades(df.filter("agg_trade_id = 1").withColumn("price", F.lit(9.0)), root)
+    assert {r.agg_trade_id: r.price for r in lake.read_trades(spark, root).collect()} == {0: 2.0, 1: 9.0, 2: 4.0}
+    with pytest.raises(ValueError, match="negative"):
+        lake.upsert_trades(df.withColumn("price", F.lit(-1.0)), root)

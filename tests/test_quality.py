@@ -88,3 +88,29 @@ def test_trade_rules(spark):
     assert rules.naming_violations(df).count() == 1
     with pytest.raises(ValueError, match="snake"):
         rules.naming_violations(df.withColumnRenamed("price", "Price"))
+
+
+def test_rules_of_a_file(spark, tmp_path):
+    (tmp_path / "r.yaml").write_text("rules:\n  required: [extra]\n  not_null: [close]\n  logical: ['close < 5']\n  one_of: {symbol: [A, B]}\n  unique: [symbol]\n")
+    own = rules.load_declaration(str(tmp_path / "r.yaml"))
+    df = spark.createDataFrame([("A", 1.0, 0), ("C", 7.0, 0), ("A", None, 0)], "symbol string, close double, extra int")
+    assert dict(quality.check(df, declaration=own)) == {"empty": 0, "missing_values": 1, "close < 5": 1, "symbol_domain": 1, "duplicate_keys": 1}
+    with pytest.raises(quality.QualityError, match="extra"):
+        quality.enforce(df.drop("extra"), declaration=own)
+    for text in ("", "rules: [", "other: {}", "rules: {unheard_of: [a]}", "rules: {unique: a}"):
+        (tmp_path / "bad.yaml").write_text(text)
+        with pytest.raises(rules.RuleError):
+            rules.load_declaration(str(tmp_path / "bad.yaml"))
+    assert quality.CANDLE_RULES["not_null"] == CANDLES.fieldNames()
+    assert not quality.TRADE_RULES.keys() - rules.KINDS.keys()
+
+
+def test_order_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(quality, "STRETCH", 3)
+    at = [5, 6, 4, 7, 1, 8, 9, 2, 10, 11]
+    place = spark.createDataFrame([(hour(h)["open_time"], k) for k, h in enumerate(at)], "open_time timestamp, pos long")
+    df = candles(spark, *(hour(h, symbol="AB"[k % 2]) for k, h in enumerate(at))).join(place, "open_time")
+    for scope in ("series", "frame"):
+        got = {(r.pos, r.previous_open_time.hour) for r in quality.unsorted_rows(df, "pos", scope).collect()}
+        ahead = lambda k: [j for j in range(k) if scope == "frame" or j % 2 == k % 2]  # noqa: B023, E731
+        assert got == {(k, at[ahead(k)[-1]]) for k in range(len(at)) if ahead(k) and at[ahead(k)[-1]] > at[k]}

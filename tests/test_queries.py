@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import sys
+import warnings
 
 import pytest
 
@@ -42,7 +44,17 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_entry_without_the_optional_part(monkeypatch):
-    monkeypatch.setattr(__spark_entry__, "find_spec", lambda name: None)
-    assert set(__spark_entry__.queries()) == set(catalog.QUERIES)
-    assert set(__spark_entry__.oracle_sql()) == set(catalog.ORACLE_SQL)
+@pytest.mark.parametrize("lost", ["tallow.llm", "tallow.llm.registry", "tallow.llm.piece_encoding", "corpus_pipeline"])
+def test_entry_without_the_optional_part(monkeypatch, lost):
+    """Parts that are gone, or that lack something they import."""
+    for name in [m for m in sys.modules if m.startswith(("tallow.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    if "llm" in sys.modules["tallow"].__dict__:
+        monkeypatch.delattr(sys.modules["tallow"], "llm")
+    monkeypatch.setitem(sys.modules, lost, None)  # importing it raises ImportError
+    with pytest.warns(UserWarning, match="left out"):
+        found = __spark_entry__.queries()
+    assert set(catalog.QUERIES) <= set(found) and "pipeline" not in found
+    assert lost == "corpus_pipeline" or set(found) == set(catalog.QUERIES)
+    with warnings.catch_warnings(action="ignore"):
+        assert set(__spark_entry__.oracle_sql()) <= set(found)
