@@ -1,10 +1,12 @@
 """Exact deduplication by a tree merge of sorted digest runs.
 
-Every partition of the input becomes one run: its (digest, identifier) rows, sorted. Runs are then merged
-in rounds, ``fan_in`` at a time: in round r the runs of one number div fan_in**r meet, equal digests fold into
-one row that holds the smallest identifier and the count. A digest that a third of all rows share has at most
-``fan_in`` rows for each merged run, so no task ever gets a hot group. Afterwards the winners go down the tree
-again: first to the runs, then to the rows of each run.
+Every partition of the input becomes one run: its (digest, identifier) rows, sorted. Runs are then merged in rounds,
+``fan_in`` at a time. In round r the runs of one number div fan_in**r meet, but no task gets a whole merged run: the
+digests are split into fan_in**r ranges, and each task merges one range of fan_in runs. So pieces keep their size from
+round to round, and the last round's are one sorted run in ranges. Equal digests lie side by side in a merged piece
+and fold into one row that holds the smallest identifier and the count. A digest that a third of all rows share has
+at most ``fan_in`` rows in a piece, so no task ever gets a hot group. Afterwards the winners go down the tree again:
+first to the runs, then to the rows of each run.
 """
 
 from __future__ import annotations
@@ -42,23 +44,32 @@ def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return shared.written(rows.sortWithinPartitions(*KEY, "id"), "digest-runs")
 
 
+def merged_pieces(rows: DataFrame, run: Column, ranges: int) -> DataFrame:
+    """Rows dealt out by run and range of digests, in order of the key within each such piece.
+
+    Sorted rows of several runs arrive one run behind the other, which Spark's sort merges; it spills what doesn't fit.
+    """
+    first = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    piece = rows.withColumns({"run": run.cast("int"), "range": F.floor(first * F.lit(min(ranges, 1 << 30)) / F.lit(1 << 32))})
+    return piece.repartition("run", "range").sortWithinPartitions("run", "range", *KEY)
+
+
 def merge_runs(runs: DataFrame, fan_in: int = 16) -> tuple[DataFrame, DataFrame]:
     """The runs after folding each one on its own, and the one run that all of them merge into.
 
     Columns: run, the key, best (the smallest identifier and its row) and copies.
     """
     best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("best")
-    folded = runs.groupBy("run", *KEY).agg(best, F.count(F.lit(1)).alias("copies"))
+    # folding asks for rows clustered and sorted by run, range and key, as the pieces are: no further shuffle or sort
+    fold = ["run", "range", *KEY]
+    folded = merged_pieces(runs, F.col("run"), 1).groupBy(fold).agg(best, F.count(F.lit(1)).alias("copies"))
     last = runs.agg(F.max("run")).first()[0] or 0
-    merged, left = folded, last
+    merged, left, ranges = folded, last, 1
     while left > 0:
-        left //= fan_in
-        merged = (
-            merged.withColumn("run", (F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *KEY)
-            .agg(F.min("best").alias("best"), F.sum("copies").alias("copies"))
-        )
-    return folded, merged
+        left, ranges = left // fan_in, ranges * fan_in
+        pieces = merged_pieces(merged, F.floor(F.col("run") / fan_in), ranges)
+        merged = pieces.groupBy(fold).agg(F.min("best").alias("best"), F.sum("copies").alias("copies"))
+    return folded.drop("range"), merged.drop("range")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 16) -> DataFrame:

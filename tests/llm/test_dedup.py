@@ -40,6 +40,21 @@ def test_exact_tree(spark):
         assert got[297] == (0, 100) and got[1] == (1, 1) and got[5] == (4, 2)
 
 
+def test_merged_pieces_are_sorted_and_small(spark):
+    rows = [(k, f"text {k % 500}") for k in range(2000)]
+    runs = exact_dedup.digest_runs(docs(spark, rows).repartition(8)).filter("digest IS NOT NULL")
+    folded, merged = exact_dedup.merge_runs(runs, 2)
+    assert folded.groupBy("run").count().count() == 8
+    assert merged.agg(F.count("*"), F.sum("copies"), F.max("run")).first()[:] == (500, 2000, 0)
+    pieces = exact_dedup.merged_pieces(folded, F.floor(F.col("run") / 2), 4).withColumn("task", F.spark_partition_id()).collect()
+    for _, piece in itertools.groupby(pieces, lambda r: r.task):
+        at = [(r.run, r.range, bytes(r.digest)) for r in piece]
+        assert at == sorted(at)
+    assert all(r.range == r.digest[0] >> 6 for r in pieces)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4  # one for each level of the tree, none for folding
+
+
 def test_exact_empty(spark):
     assert exact_dedup.exact_dedup(docs(spark, [])).count() == 0
     assert exact_dedup.drop_copies(docs(spark, [])).count() == 0
