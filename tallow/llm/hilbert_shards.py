@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,13 +54,35 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def as_number(df: DataFrame, name: str):
-    """A column as a long in the column's order: numbers as they are, anything else by its first seven bytes; null lowest."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.coalesce(F.col(name).cast("long"), F.lit(-(2**62)))
-    head = F.hex(F.substring(F.col(name).cast("string").cast("binary"), 1, 7))
-    return F.coalesce(F.conv(F.rpad(head, 14, "0"), 16, 10).cast("long"), F.lit(-1))
+def axis(df: DataFrame, name: str) -> Column:
+    """A column as a double in the column's order (numbers, times, booleans; null lowest), or as the string that it is shown by."""
+    kind, value = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        number = value.cast("double")
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        number = F.unix_micros(value.cast("timestamp")).cast("double")
+    else:
+        return F.coalesce(value.cast("string"), F.lit(""))
+    return F.coalesce(number, F.lit(float("-inf")))
+
+
+def cuts(rows: DataFrame, columns: list[str]) -> list[np.ndarray]:
+    """For each axis at most 2**BITS - 1 values that cut its rows into cells of about one size.
+
+    Numbers are cut at quantiles. Whole strings are dealt out into ranges of about one size, whose smallest values are
+    the cuts. The driver gets the cuts alone.
+    """
+    cells = 1 << BITS
+    kinds = dict(rows.dtypes)
+    numbers = [c for c in columns if kinds[c] == "double"]
+    at = [k / cells for k in range(1, cells)]
+    found = rows.agg(*(F.percentile_approx(c, at, SKETCH).alias(c) for c in numbers)).first().asDict() if numbers else {}
+    for c in columns:
+        if c not in found:
+            ranges = rows.select(c).repartitionByRange(cells, c).groupBy(F.spark_partition_id()).agg(F.min(c).alias("least")).collect()
+            least = sorted(r["least"] for r in ranges)[1:]
+            found[c] = least if len(least) < cells else [least[k * len(least) // (cells - 1)] for k in range(cells - 1)]
+    return [np.unique(np.array(found[c] or [], dtype=float if c in numbers else object)) for c in columns]
 
 
 def hilbert_shards(
@@ -73,7 +95,7 @@ def hilbert_shards(
     """One row for each row of docs: doc_id, size, text_crc32, law, shard, slot, grown_shard, curve.
 
     ``size`` is the text's UTF-8 bytes (a null text has none) plus 8 and may be named in dims; other dims are
-    columns of docs, null ones sort lowest. Repeated rows are rows of their own. grown_shard is null under the
+    columns of docs, ordered by their values (numbers, times) or by whole strings; null ones sort lowest. Repeated rows are rows of their own. grown_shard is null under the
     law of rows. With fewer rows than shards some shards stay empty; an empty table gives an empty result.
     Columns of docs that aren't named play no part.
     """
@@ -83,14 +105,13 @@ def hilbert_shards(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(body) + 8).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-        *(as_number(docs, d).alias(f"axis_{d}") for d in dims if d != "size"),
+        *(axis(docs, d).alias(f"axis_{k}") for k, d in enumerate(dims) if d != "size"),
     )
     if "size" in dims:
-        slim = slim.withColumn("axis_size", F.col("size"))
+        slim = slim.withColumn(f"axis_{dims.index('size')}", F.col("size").cast("double"))
     slim = shared.written(slim, "shard-rows")
-    at = [k / (1 << BITS) for k in range(1, 1 << BITS)]
-    cuts = slim.agg(*(F.percentile_approx(f"axis_{d}", at, SKETCH).alias(d) for d in dims)).first()
-    bounds = [np.unique(np.array(cuts[d] or [], dtype=np.int64)) for d in dims]
+    axes = [f"axis_{k}" for k in range(len(dims))]
+    bounds = cuts(slim, axes)
 
     @F.pandas_udf("long")
     def curve(*axes: pd.Series) -> pd.Series:
@@ -98,7 +119,7 @@ def hilbert_shards(
         return pd.Series(hilbert_index(np.stack(cells, axis=1), BITS))
 
     ordered = ("curve", "text_crc32", "doc_id")
-    rows = slim.select("doc_id", "size", "text_crc32", curve(*(F.col(f"axis_{d}") for d in dims)).alias("curve"))
+    rows = slim.select("doc_id", "size", "text_crc32", curve(*axes).alias("curve"))
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     runs = rows.repartitionByRange(parts, *ordered).sortWithinPartitions(*ordered)
     kind = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("pos", T.LongType())])

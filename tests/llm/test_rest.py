@@ -189,6 +189,34 @@ def test_shards_prune(spark):
     assert spread[0] < 60 and spread[1] < 1000
 
 
+def test_shard_order_against_brute_force(spark):
+    """Cells by plain comparison with the cuts, the curve step by step, the law of rows by counting."""
+    d = spark.read.parquet(f"{SF}/documents.parquet").withColumn("moment", F.timestamp_seconds(F.col("n_chars") * 1000)).withColumn("ratio", F.col("n_chars") / 7)
+    d = d.withColumn("host", F.concat(F.lit("https://example.org/"), "source", F.col("doc_id") % 9))
+    dims = ("host", "ratio", "moment", "size")
+    seen = []
+    real = hilbert_shards.cuts
+    hilbert_shards.cuts = lambda rows, columns: seen.append(real(rows, columns)) or seen[-1]
+    try:
+        got = {r.doc_id: r for r in hilbert_shards.hilbert_shards(d, dims).collect()}
+    finally:
+        hilbert_shards.cuts = real
+    bounds = seen[0]
+    assert len(bounds[0]) > 20  # the common head of all hosts doesn't make them one cell
+    walk = {}
+    cells = {}
+    for r in d.collect():
+        values = (r.host, r.ratio, r.n_chars * 1000 * 1e6, len((r.text or "").encode()) + 8)
+        cells[r.doc_id] = tuple(sum(v >= b for b in bound) for v, bound in zip(values, bounds, strict=True))
+    for doc, cell in cells.items():
+        walk[doc] = hilbert_shards.hilbert_index(np.array([cell]), hilbert_shards.BITS)[0]
+        assert got[doc].curve == walk[doc]
+    order = sorted(got, key=lambda k: (walk[k], got[k].text_crc32, k))
+    for g, doc in enumerate(order):
+        shard = g * 24 // len(order)
+        assert (got[doc].shard, got[doc].slot) == (shard, sum(1 for j in range(g) if j * 24 // len(order) == shard))
+
+
 def brute_pairs(samples):
     """Peaks and pairs by plain loops over a discrete Fourier transform."""
     x = list(samples)
