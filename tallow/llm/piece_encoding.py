@@ -29,6 +29,8 @@ MARK = "▁"
 #: Ways to split a text, the finest first; a model gets the first that none of its pieces crosses. A boundary
 #: depends on the two characters beside it alone, so one look at every piece settles that.
 SPLITS = [re.compile(x) for x in (r"\n+| *[^\W\d_]+| *[^ \n\w]+| *[\d_]+| +", r"\n+| *[^ \n]+| +", r"(?s).+")]
+#: Texts that models of other kinds encode in other ways: compatibility signs, runs and ends of white space, the mark itself.
+PROBES = ("ﬁne ① Ａ ½", "a  b   c", " x ", "a\u00a0b\u3000c", "tab\tline\n\nend\n", "▁a▁ ▁", "e\u0301 é İ", "漢字😀\x00\x01")
 #: Chunks kept by a worker (in two generations), and the longest that it keeps.
 KEPT, LONGEST = 400_000, 64
 
@@ -68,6 +70,9 @@ class PieceModel:
         self.matcher.make_automaton()
         self.split = next(x for x in SPLITS if all(len(x.findall(p)) == 1 for p in self.pieces)).findall
         self.known = shared.Kept(self.chunk, KEPT, LONGEST)
+        for text in PROBES:
+            if np.frombuffer(self.encode(text), "<u4").tolist() != sp.encode(text, add_bos=True, add_eos=True):
+                raise ValueError("a model that changes texts before it splits them, or has pieces of its own kind")
 
     def merged(self, text: str) -> list[int]:
         """ids of a short text by merging: the best-scored neighbours first, the leftmost where they tie."""

@@ -7,7 +7,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from tallow.llm import exact_dedup, minhash_join, shared
+from tallow.llm import exact_dedup, minhash_join, registry, shared
+from tests.conftest import SF
 from tests.llm.common import ROWS, docs
 
 
@@ -104,6 +105,14 @@ def test_near_edges(spark):
     assert minhash_join.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_query_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = registry.QUERIES["op9_minhash_join"](spark, SF).collect()
+    expected = brute_components(rows, 85, 3)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(expected)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got) and sum(r.kept for r in got) < len(rows)
+
+
 def test_near_large_group(spark):
     """A group of near copies at all distances, longer than a list that gives its pairs, and pairs around the threshold."""
     rng = random.Random(4)

@@ -1,18 +1,21 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallow.llm import packing, piece_encoding
+from tallow.llm import packing, piece_encoding, registry
+from tests.conftest import SF
 from tests.llm.common import ROWS, docs
 
 MODEL, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
@@ -188,3 +191,57 @@ def test_added_tokens_are_the_librarys(spark):
         ids = TOKENIZER.encode(text, add_special_tokens=False).ids
         assert TOKENS.encode_added(text) == ids
         assert got[k].ids == [*ids, 1] and got[k].doc_tokens == len(ids) + 1
+
+
+def test_other_models_are_refused(monkeypatch):
+    monkeypatch.setattr(piece_encoding.PieceModel, "encode", lambda self, text: b"")
+    with open(MODEL, "rb") as f, pytest.raises(ValueError, match="before it splits"):
+        piece_encoding.PieceModel(f.read())
+    with open(BYTES, "rb") as f:
+        spec = json.loads(f.read())
+    spec["normalizer"] = {"type": "NFC"}
+    with pytest.raises(ValueError, match="pattern"):
+        packing.ByteTokenizer(json.dumps(spec).encode())
+
+
+def test_packing_query_against_the_library(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = registry.QUERIES["op7_vector_packing"](spark, SF).collect()
+    check_pieces(got, texts)
+
+
+def check_pieces(got, texts):
+    """Every id of the texts in one piece, and sequences within the limits, with prompts as the first lines."""
+    by_doc, by_sequence = {}, {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert set(by_doc) == set(texts)
+    for doc, text in texts.items():
+        found = TOKENIZER.encode(text, add_special_tokens=False)
+        ids = np.array([*found.ids, 1], "<u4")
+        ends = [len(text[:b].encode()) for _, b in found.offsets]
+        lead = len(text[: text.find("\n") + 1].encode())
+        prompt = sum(e <= lead for e in ends) if lead else 0
+        at = 0
+        for r in sorted(by_doc[doc], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            assert r.n_loss == sum(at + k >= prompt for k in range(1, r.length))
+            at += r.length
+        assert at == len(ids)
+    for parts in by_sequence.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048 and len(parts) <= 64 and sum(r.n_loss for r in parts) <= 2000
+
+
+def test_piece_query_against_the_library(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = registry.QUERIES["op10_piece_encoding"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        ids = LIBRARY.encode(texts[r.doc_id], add_bos=True, add_eos=True)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import time
+import unicodedata
 import zlib
 
 import numpy as np
@@ -13,6 +14,8 @@ import corpus_pipeline
 from tallow.llm import hilbert_shards, html_extraction, language_id, media, registry, reply_trees
 from tests.conftest import SF
 from tests.llm.common import ROWS, docs
+from tests.llm.test_dedup import brute_components, normal
+from tests.llm.test_encoding import check_pieces
 from tests.test_queries import same_rows
 
 # -- pages ----------------------------------------------------------------------------------------------------------
@@ -337,3 +340,14 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
         assert empty.count() == 0
+
+
+def test_pipeline_against_brute_force(spark):
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = {i: t for i, t in rows.items() if any(unicodedata.category(c)[0] == "L" for c in t or "")}
+    first = {}
+    for i in sorted(rows):
+        first.setdefault(normal(rows[i]), i)
+    rows = {i: rows[i] for i in first.values()}
+    rows = {i: rows[i] for i, _, head in brute_components(list(rows.items()), 80, 5) if i == head or head is None}
+    check_pieces(corpus_pipeline.run(spark, SF).collect(), rows)
