@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallow.schema import CANDLES, OFFSETS, interval_of
 
@@ -23,9 +26,24 @@ def _shaped(bars: DataFrame, timeframe: str) -> DataFrame:
     ).select(CANDLES.fieldNames())
 
 
+def trade_order(trades: DataFrame) -> Column:
+    """(timestamp, agg_trade_id) as one number.
+
+    A number of fixed width keeps the candles' aggregate a hash aggregate; with a struct to order by, Spark would sort
+    all trades on both sides of the shuffle.
+    """
+    if isinstance(trades.schema["timestamp"].dataType, T.TimestampType):
+        micros = F.unix_micros("timestamp")
+    else:
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("timestamp"))
+    # an identifier is a long, so it lies within half of the factor on either side of 0
+    return micros.cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19)) + F.col("agg_trade_id").cast("decimal(19,0)")
+
+
 def candles_from_trades(trades: DataFrame, timeframe: str) -> DataFrame:
     """Open and close by (timestamp, agg_trade_id), so that trades of one instant have an order."""
-    order = F.struct("timestamp", "agg_trade_id")
+    trades = trades.withColumn("_order", trade_order(trades))
+    order = F.col("_order")
     bought = F.col("trade_side") == "buy"
     bars = trades.groupBy("exchange", "symbol", bar_window("timestamp", timeframe).alias("bar")).agg(
         F.min_by("price", order).alias("open"),

@@ -58,10 +58,21 @@ def with_partitions(df: DataFrame, dataset: Dataset = CANDLE_SET) -> DataFrame:
     return df.withColumns({p: F.date_format(dataset.time, _PARTS[p]) for p in dataset.partitions if p in _PARTS})
 
 
+#: Signs that Spark's writer puts as % and two hexadecimal digits into the names of partition folders.
+_UNSAFE = r"[\x01-\x1f\x22\x23\x25\x27\x2a\x2f\x3a\x3d\x3f\x5c\x7b\x5b\x5d\x5e\x7f]"
+
+
+def escaped(value: Column) -> Column:
+    """A partition value as the writer names its folder."""
+    sign = lambda c: F.when(c.rlike(_UNSAFE), F.concat(F.lit("%"), F.lpad(F.hex(c), 2, "0"))).otherwise(c)
+    shown = F.when(value.rlike(_UNSAFE), F.array_join(F.transform(F.split(value, ""), sign), "")).otherwise(value)
+    return F.coalesce(F.nullif(shown, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+
+
 def partition_path(df: DataFrame, dataset: Dataset = CANDLE_SET) -> DataFrame:
     """Distinct partitions with their directory below the lake's root."""
     keys = with_partitions(df, dataset).select(*dataset.partitions).distinct()
-    parts = [F.concat(F.lit(f"{c}="), c) for c in dataset.partitions]
+    parts = [F.concat(F.lit(f"{c}="), escaped(F.col(c))) for c in dataset.partitions]
     return keys.withColumn("path", F.concat_ws("/", F.lit(dataset.path), *parts))
 
 

@@ -282,3 +282,11 @@ def test_trade_lake(spark, tmp_path):
     assert {r.agg_trade_id: r.price for r in lake.read_trades(spark, root).collect()} == {0: 2.0, 1: 9.0, 2: 4.0}
     with pytest.raises(ValueError, match="negative"):
         lake.upsert_trades(df.withColumn("price", F.lit(-1.0)), root)
+
+
+def test_partition_paths_are_the_writers(spark, tmp_path):
+    odd = ["A/B", "a=b:c", "50%", "x\ty", "q?*'\"", "[z]^{", "\\", "plain-1.2 ü", "a~b}c|d<e>"]
+    df = candles(spark, *(hour(k, symbol=s) for k, s in enumerate(odd)), hour(0, symbol=None))
+    lake.with_partitions(df).write.partitionBy(*lake.CANDLE_SET.partitions).parquet(f"{tmp_path}/price/ohlcv")
+    made = {os.path.relpath(d, tmp_path) for d, names, _ in os.walk(tmp_path) if not names}
+    assert made == {r.path for r in lake.partition_path(df).collect()}
