@@ -34,7 +34,7 @@ STATES, CLASSES, ROUNDS = 8, 4096, 4
 #: A word is frequent from one in so many tokens.
 FREQUENT = 1 << 15
 #: Tokens after which a block is full; a longer text is a block of its own. Tokens whose recursions run together.
-BLOCK, TOGETHER = 6_000_000, 1_000_000
+BLOCK, TOGETHER = 3_000_000, 500_000
 #: Expected counts are made in single precision and summed in double; scoring is in double throughout.
 #: Added to each expected emission and transition count.
 PRIOR = 0.1
