@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallow.functions import derived
 from tallow.operators import bars, dedupe, gaps, quality, rules
 from tallow.schema import CANDLE_KEY, SERIES, TRADE_KEY
-from tallow.scratch import scratch_dir
+from tallow.scratch import application_dir
 from tallow.sources import adapters, decode, lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -401,7 +401,7 @@ def _upsert(spark, sf_dir):
 
 
 def _own_lake(spark: SparkSession) -> str:
-    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/lake-{uuid.uuid4().hex}"
+    return f"{application_dir(spark)}/lake-{uuid.uuid4().hex}"
 
 
 def _with_zone(df: DataFrame, *times: str) -> DataFrame:

@@ -23,3 +23,14 @@ def scratch_dir(spark: SparkSession) -> str:
     if context.applicationId not in _own:
         _own[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="spark-")
     return _own[context.applicationId]
+
+
+def application_dir(spark: SparkSession) -> str:
+    """This application's part of the folder."""
+    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables, once the results made of them have been read or written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

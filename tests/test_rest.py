@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import logging
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallow import settings
+from tallow import scratch, settings
 from tallow.functions import derived
 from tallow.plans import catalog
 from tallow.sources import adapters, lake
@@ -73,3 +74,25 @@ def test_bounds_reach_the_files(spark):
     plan = adapters.trades_from_events(adapters.table(spark, SF, "events")).filter(F.col("price") > 5).select("symbol")
     shown = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(value), GreaterThan(value,5.0)]" in shown and "user_id" not in shown
+
+
+def test_scratch_folder(spark, monkeypatch):
+    before = spark.conf.getAll
+    path = scratch.application_dir(spark)
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and path.endswith(spark.sparkContext.applicationId)
+    spark.range(3).write.mode("overwrite").parquet(f"{path}/some")
+    scratch.clear(spark)
+    scratch.clear(spark)  # nothing left
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert spark.conf.getAll == before  # the session's settings
+
+    class Unset:
+        sparkContext = spark.sparkContext
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    monkeypatch.setattr(scratch, "_own", {})
+    own = scratch.scratch_dir(Unset)
+    assert own == scratch.scratch_dir(Unset) and os.path.isdir(own.removeprefix("file://"))
+    assert spark.conf.get("spark.checkpoint.dir") != own
