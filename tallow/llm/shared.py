@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallow.scratch import scratch_dir
+from tallow.scratch import application_dir
 from tallow.shipping import ship
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -18,12 +18,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: later steps read it instead of computing it again.
 
-    Tables lie in one folder for each application, to be deleted when it has ended.
+    Tables lie in one folder for each application, which scratch.clear deletes.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{application_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

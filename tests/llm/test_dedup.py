@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tallow import scratch
 from tallow.llm import exact_dedup, minhash_join, registry, shared
 from tests.conftest import SF
 from tests.llm.common import ROWS, docs
@@ -171,4 +172,4 @@ def test_drop_near_copies(spark):
 def test_scratch_folder(spark):
     assert shared.written(spark.range(3), "t").count() == 3
     path = shared.written(spark.range(1), "t").select(F.input_file_name()).first()[0]
-    assert path.startswith(shared.scratch_dir(spark))
+    assert path.startswith(scratch.application_dir(spark))
