@@ -24,6 +24,8 @@ from . import shared
 
 #: Bits of one axis and values kept by the quantile sketch, which bounds the sketch, not the rows it sees.
 BITS, SKETCH = 6, 10_000
+#: Ranges into which a string dimension's distinct values are dealt to find its cuts.
+RANGES = 512
 
 
 def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
@@ -69,8 +71,8 @@ def axis(df: DataFrame, name: str) -> Column:
 def cuts(rows: DataFrame, columns: list[str]) -> list[np.ndarray]:
     """For each axis at most 2**BITS - 1 values that cut its rows into cells of about one size.
 
-    Numbers are cut at quantiles. Whole strings are dealt out into ranges of about one size, whose smallest values are
-    the cuts. The driver gets the cuts alone.
+    Numbers are cut at quantiles. Whole strings are dealt out into RANGES ranges of distinct values; of the ranges'
+    smallest values those are cuts before which about so many rows lie. The driver gets a row for each range.
     """
     cells = 1 << BITS
     kinds = dict(rows.dtypes)
@@ -79,9 +81,15 @@ def cuts(rows: DataFrame, columns: list[str]) -> list[np.ndarray]:
     found = rows.agg(*(F.percentile_approx(c, at, SKETCH).alias(c) for c in numbers)).first().asDict() if numbers else {}
     for c in columns:
         if c not in found:
-            ranges = rows.select(c).repartitionByRange(cells, c).groupBy(F.spark_partition_id()).agg(F.min(c).alias("least")).collect()
-            least = sorted(r["least"] for r in ranges)[1:]
-            found[c] = least if len(least) < cells else [least[k * len(least) // (cells - 1)] for k in range(cells - 1)]
+            # values with their counts, so that a frequent one is a row like any other
+            values = rows.groupBy(c).agg(F.count(F.lit(1)).alias("n")).repartitionByRange(RANGES, c)
+            ranges = sorted(values.groupBy(F.spark_partition_id()).agg(F.min(c).alias("least"), F.sum("n").alias("n")).select("least", "n").collect())
+            total, before, last, found[c] = sum(r["n"] for r in ranges), 0, 0, []
+            for r in ranges:
+                if before * cells // total > last:
+                    last = before * cells // total
+                    found[c].append(r["least"])
+                before += r["n"]
     return [np.unique(np.array(found[c] or [], dtype=float if c in numbers else object)) for c in columns]
 
 
