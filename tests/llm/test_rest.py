@@ -295,6 +295,58 @@ def test_deep_tree(spark):
     assert [t.text for t in row.t] == [str(k) for k in range(300)]
 
 
+def brute_paths(rows, branches):
+    """(tree, leaf, branch, depth, text) of the best paths, by walking up from every leaf."""
+    trees, out = {}, set()
+    for tree, node, parent, _, _, score in rows:
+        trees.setdefault(tree, {})[node] = (parent, score)
+    for tree, nodes in trees.items():
+        parents = {p for p, _ in nodes.values()}
+        found = []
+        for leaf in nodes.keys() - parents:
+            path, at = [], leaf
+            while at in nodes and at not in path:
+                path.append(at)
+                at = nodes[at][0]
+            if at not in path:
+                found.append((-sum(nodes[n][1] for n in path), leaf, path[::-1]))
+        for branch, (_, leaf, path) in enumerate(sorted(found)[:branches], 1):
+            out |= {(str(tree), leaf, branch, depth, str(node)) for depth, node in enumerate(path, 1)}
+    return out
+
+
+def test_forests_against_brute_force(spark, monkeypatch):
+    """Long and short runs, branches, lost parents, cycles, identifiers in any order; few nodes in a stretch, so paths cross many."""
+    monkeypatch.setattr(reply_trees, "STRETCH", 5)
+    rng = random.Random(8)
+    rows = [(90, 1, 2, "u", "1", 1), (90, 2, 1, "u", "2", 1), (90, 3, 2, "u", "3", 1), (90, 7, None, "u", "7", 0)]
+    for tree in range(8):
+        n = rng.randint(1, 70)
+        ids = list(range(n))
+        if tree % 2:
+            rng.shuffle(ids)
+        for k in range(n):
+            parent = None if k == 0 else ids[k - 1] if rng.random() < 0.7 else ids[rng.randrange(k)]
+            rows.append((tree, ids[k], 1000 + k if rng.random() < 0.05 else parent, "u", str(ids[k]), rng.randint(0, 9)))
+    nodes = spark.createDataFrame(rows, "tree_id long, node_id long, parent_id long, role string, text string, score long").repartition(3)
+    assert {(r.tree, r.leaf, r.branch, r.depth, r.text) for r in reply_trees.reply_paths(nodes, 2).collect()} == brute_paths(rows, 2)
+    # identifiers that aren't numbers have no neighbours
+    named = nodes.withColumns({c: F.concat(F.lit("n"), F.lpad(c, 4, "0")) for c in ("node_id", "parent_id")})
+    got = {(r.tree, int(r.leaf[1:]), r.branch, r.depth, r.text) for r in reply_trees.reply_paths(named, 2).collect()}
+    assert got == brute_paths(rows, 2)
+
+
+def test_long_conversation_takes_few_jobs(spark):
+    turns = spark.range(3000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
+    spark.sparkContext.setJobGroup("long", "one long conversation")
+    try:
+        row = reply_trees.format_reply_trees(reply_trees.as_nodes(turns)).select(reply_trees.read_turns(F.col("formatted")).alias("t")).first()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [t.text for t in row.t] == [str(k) for k in range(3000)]
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("long")) < 20
+
+
 # -- queries and pipeline -------------------------------------------------------------------------------------------
 
 
