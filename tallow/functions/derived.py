@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallow.schema import SERIES
 
 
+#: Candles of a stretch of recursive smoothing; powers of its weights stay within a double.
+SMOOTHED = 512
+
+
 def _by_time():
     return Window.partitionBy(*SERIES).orderBy("open_time")
 
@@ -88,16 +92,25 @@ def candle_delta(candles: DataFrame) -> DataFrame:
 
 
 def wilder_atr(candles: DataFrame, length: int = 14) -> DataFrame:
-    """Recursively smoothed true range, atr = (last atr * (length - 1) + true range) / length, from the first true range on.
+    """Recursively smoothed true range: the first true range, then (last value * (length - 1) + true range) / length.
 
-    A recursion without end has no window, so a series' times and true ranges (not its candles) meet in one task, in
-    one pass over them.
+    The recursion is linear, so it has a closed form inside a stretch of SMOOTHED candles, and what a stretch takes
+    over from those before it is another such sum over their ends, as far back as a double shows it.
     """
+    keep = 1 - 1 / length
     ranges = price_range_atr(candles, length).select(*SERIES, "open_time", "true_range")
-
-    def smooth(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("open_time")
-        return rows.assign(atr=rows["true_range"].ewm(alpha=1 / length, adjust=False).mean()).drop(columns="true_range")
-
-    kind = T.StructType([*(f for f in ranges.schema if f.name != "true_range"), T.StructField("atr", T.DoubleType())])
-    return ranges.groupBy(*SERIES).applyInPandas(smooth, kind)
+    if length == 1:
+        return ranges.withColumnRenamed("true_range", "atr")
+    place = F.row_number().over(_by_time()) - 1
+    rows = ranges.withColumn("place", place).withColumns({"stretch": F.expr(f"place div {SMOOTHED}"), "k": F.col("place") % SMOOTHED})
+    share = F.when(F.col("place") == 0, F.col("true_range")).otherwise(F.col("true_range") / length)
+    inside = Window.partitionBy(*SERIES, "stretch").orderBy("open_time").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("own", F.pow(F.lit(keep), F.col("k")) * F.sum(share * F.pow(F.lit(keep), -F.col("k"))).over(inside))
+    ends = rows.groupBy(*SERIES, "stretch").agg(F.max_by("own", "k").alias("end"))
+    # a full stretch leaves this share of what came before it
+    left = keep**SMOOTHED
+    back = math.ceil(math.log(1e-18) / math.log(left))
+    before = F.collect_list("end").over(Window.partitionBy(*SERIES).orderBy("stretch").rowsBetween(-back, -1))
+    carried = ends.select(*SERIES, "stretch", F.aggregate(before, F.lit(0.0), lambda done, end: done * left + end).alias("carried"))
+    out = rows.join(carried, [*SERIES, "stretch"])
+    return out.select(*SERIES, "open_time", (F.col("own") + F.pow(F.lit(keep), F.col("k") + 1) * F.col("carried")).alias("atr"))

@@ -539,6 +539,18 @@ def _range(spark, sf_dir):
     return rounded(derived.price_range_atr(hourly(spark, sf_dir)), "price_range", "true_range", "atr")
 
 
+@query(
+    "price_wilder_atr",
+    f"WITH RECURSIVE {_RETURNS_SQL}, ranges AS (SELECT exchange, symbol, timeframe, open_time, row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS place, "
+    "greatest(high - low, abs(high - last_close), abs(low - last_close)) AS true_range FROM returns), "
+    "smooth AS (SELECT *, true_range AS atr FROM ranges WHERE place = 1 UNION ALL "
+    "SELECT r.exchange, r.symbol, r.timeframe, r.open_time, r.place, r.true_range, (s.atr * 13 + r.true_range) / 14 FROM smooth s JOIN ranges r ON r.symbol = s.symbol AND r.place = s.place + 1) "
+    "SELECT exchange, symbol, timeframe, open_time, round(atr, 4) AS atr FROM smooth",
+)
+def _wilder(spark, sf_dir):
+    return rounded(derived.wilder_atr(hourly(spark, sf_dir)), "atr")
+
+
 @query(
     "price_volatility",
     f"WITH {_RETURNS_SQL} SELECT exchange, symbol, timeframe, open_time, round(stddev_samp(log_return) OVER (PARTITION BY symbol ORDER BY open_time ROWS 23 PRECEDING), 6) AS rolling_volatility FROM returns",

@@ -70,6 +70,19 @@ def test_derived_edges(spark):
     assert math.isclose(smooth[0].atr, 2000.0) and math.isclose(smooth[1].atr, 2000.5)
 
 
+def test_smoothing_over_many_stretches(spark, monkeypatch):
+    monkeypatch.setattr(derived, "SMOOTHED", 7)
+    rows = [hour(k, symbol="AB"[k % 2], high=91000.0 + (k * 37) % 101, low=89000.0 - (k * 53) % 89) for k in range(120)]
+    df = candles(spark, *rows)
+    for length in (1, 2, 5, 40):
+        got = {(r.symbol, r.open_time): r.atr for r in derived.wilder_atr(df, length).collect()}
+        ranges = derived.price_range_atr(df, length).select("symbol", "open_time", "true_range").orderBy("symbol", "open_time").collect()
+        last: dict[str, float] = {}
+        for r in ranges:
+            last[r.symbol] = (last[r.symbol] * (length - 1) + r.true_range) / length if r.symbol in last else r.true_range
+            assert math.isclose(got[r.symbol, r.open_time], last[r.symbol], rel_tol=1e-12)
+
+
 def test_bounds_reach_the_files(spark):
     plan = adapters.trades_from_events(adapters.table(spark, SF, "events")).filter(F.col("price") > 5).select("symbol")
     shown = plan._jdf.queryExecution().executedPlan().toString()
