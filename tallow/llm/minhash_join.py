@@ -135,6 +135,8 @@ def pivot_pairs(lists: DataFrame) -> DataFrame:
     The pivot is the most popular member outside of the largest component; of equally popular ones the smallest.
     """
     pivots = lists.filter("outside").groupBy("token").agg(F.min(F.struct(-F.col("popular"), "doc", "root")).alias("p")).select("token", F.col("p.doc").alias("pivot"), F.col("p.root").alias("pivot_root"))
+    # as a table, so that the join has a shuffle of its own, whose long lists Spark can split
+    pivots = shared.written(pivots, "pivots")
     met = lists.select("token", "doc", "root").join(pivots, "token").filter("root != pivot_root")
     return met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
 
@@ -149,7 +151,7 @@ def unjoined(lists: DataFrame, roots: DataFrame) -> DataFrame:
     placed = placed.withColumn("root", F.coalesce("root", "doc"))
     parts = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
     several = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    several = several.select("token", F.col("top.root").alias("main"), (F.col("n") - F.col("top.n")).alias("n_outside"))
+    several = shared.written(several.select("token", F.col("top.root").alias("main"), (F.col("n") - F.col("top.n")).alias("n_outside")), "several")
     return shared.written(placed.join(several, "token").withColumn("outside", F.col("root") != F.col("main")).drop("main"), "open-lists")
 
 
@@ -343,7 +345,7 @@ def near_duplicates(
     roots = components(shared.written(more, "confirmed"), roots)
     # down again: components get their best row, then the classes, then the rows of those that aren't alone
     placed = classes.join(roots, F.col("best.row") == F.col("node"), "left").select("digest", "best", "copies", F.coalesce("root", "best.row").alias("root"))
-    heads = placed.groupBy("root").agg(F.min("best").alias("head"), F.sum("copies").alias("members")).filter("members > 1")
+    heads = shared.written(placed.groupBy("root").agg(F.min("best").alias("head"), F.sum("copies").alias("members")).filter("members > 1"), "heads")
     named = placed.join(heads, "root").select("digest", "head")
     return sigs.join(named, "digest", "left").select(
         "doc_id",
