@@ -28,7 +28,7 @@ WEIGHT, SWITCH, PRIOR = 3.0, 6.0, 0.5
 #: A language is a candidate for a script that at least this share of its training words is written in.
 SCRIPT_SHARE = 0.001
 #: Tokens that are labelled together.
-BLOCK = 500_000
+BLOCK = 250_000
 
 # First code point of a range and the script of its letters ("" where none of those listed).
 SCRIPT_RANGES = [
