@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards, hmm_scoring, html_extraction, language_id, media, minhash_join, packing, piece_encoding, reply_trees
+from . import centroid_clusters, exact_dedup, hilbert_shards, hmm_scoring, html_extraction, language_id, media, minhash_join, packing, piece_encoding, reply_trees, vector_codes
 
 QUERIES = {
     "op1_html_extraction": html_extraction.op1_html_extraction,
@@ -15,9 +15,13 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_minhash_join": minhash_join.op9_minhash_join,
     "op10_piece_encoding": piece_encoding.op10_piece_encoding,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op13_centroid_clusters": centroid_clusters.op13_centroid_clusters,
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": exact_dedup.SQL,
     "op6_reply_trees": reply_trees.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op13_centroid_clusters": centroid_clusters.SQL,
 }
