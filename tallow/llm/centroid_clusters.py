@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +26,8 @@ from pyspark.sql import functions as F
 from . import shared, vectors
 
 CENTROIDS, ROUNDS, SCALE, COMPONENTS = 16, 3, 64, 64
-#: Bits of a cell's number; 1, 2, 4 or 8, so that whole cells fill a byte.
-BITS = 4
+#: Bits of a cell's number, 8 at most, and deviations from the mean that the inner cells cover.
+BITS, SPAN = 6, 3.0
 
 Numbers = np.ndarray
 
@@ -36,11 +35,10 @@ Numbers = np.ndarray
 def cell_bounds(low: Numbers, high: Numbers, mean: Numbers, deviation: Numbers, bits: int) -> tuple[Numbers, Numbers]:
     """Smallest and largest integer of each cell, a row for each dimension.
 
-    Inner edges are quantiles of a normal distribution of the dimension's mean and deviation, so usual data fill the cells
-    evenly; the outer cells reach to the least and largest value, so whatever the data, every value lies in its cell.
+    Inner edges lie evenly within SPAN deviations of the dimension's mean, as wide cells make wide intervals; the outer
+    cells reach to the least and largest value, so whatever the data, every value lies in its cell.
     """
-    quantiles = np.array([NormalDist().inv_cdf(k / 2**bits) for k in range(1, 2**bits)])
-    inner = np.floor(mean[:, None] + deviation[:, None] * quantiles).astype(np.int64).clip(low[:, None], high[:, None])
+    inner = np.floor(mean[:, None] + deviation[:, None] * np.linspace(-SPAN, SPAN, 2**bits - 1)).astype(np.int64).clip(low[:, None], high[:, None])
     first = np.concatenate([low[:, None], inner], axis=1)
     last = np.concatenate([inner - 1, high[:, None]], axis=1)
     # a cell without integers has no rows either
@@ -53,17 +51,13 @@ def cells_of(block: Numbers, first: Numbers) -> Numbers:
 
 
 def packed(cells: Numbers, bits: int) -> Numbers:
-    """Cells as rows of bytes."""
-    per = 8 // bits
-    filled = np.zeros((len(cells), -(-cells.shape[1] // per) * per), dtype=np.uint8)
-    filled[:, : cells.shape[1]] = cells
-    shift = (np.arange(per) * bits).astype(np.uint8)
-    return np.bitwise_or.reduce(filled.reshape(len(cells), -1, per) << shift, axis=2)
+    """Cells as rows of bytes, without gaps between their bits."""
+    return np.packbits((cells[:, :, None] >> np.arange(bits, dtype=np.uint8) & 1).reshape(len(cells), -1), axis=1)
 
 
 def unpacked(rows: Numbers, bits: int, components: int) -> Numbers:
-    shift = (np.arange(8 // bits) * bits).astype(np.uint8)
-    return ((rows[:, :, None] >> shift) & np.uint8(2**bits - 1)).reshape(len(rows), -1)[:, :components]
+    each = np.unpackbits(rows, axis=1, count=bits * components).reshape(len(rows), components, bits)
+    return np.bitwise_or.reduce(each << np.arange(bits, dtype=np.uint8), axis=2)
 
 
 class Intervals:
