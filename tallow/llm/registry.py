@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroid_clusters, exact_dedup, hilbert_shards, hmm_scoring, html_extraction, language_id, media, minhash_join, packing, piece_encoding, reply_trees, vector_codes
+from . import centroid_clusters, exact_dedup, hilbert_shards, hmm_scoring, html_extraction, language_id, license_scan, media, minhash_join, packing, piece_encoding, reply_trees, vector_codes
 
 QUERIES = {
     "op1_html_extraction": html_extraction.op1_html_extraction,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_minhash_join": minhash_join.op9_minhash_join,
     "op10_piece_encoding": piece_encoding.op10_piece_encoding,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_license_scan": license_scan.op12_license_scan,
     "op13_centroid_clusters": centroid_clusters.op13_centroid_clusters,
 }
 

@@ -26,7 +26,7 @@ from . import shared, vectors
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Split points of a tree's node, and entries that need no split.
-DEGREE, LEAF = 8, 8
+DEGREE, LEAF = 24, 24
 #: Share by which distances are widened; the rounding of a few operations on doubles is below a thousandth of it.
 SLACK = 1e-12
 
