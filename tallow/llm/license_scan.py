@@ -10,7 +10,8 @@ m - GRAM + 1 - GRAM * e runs stay whole, on diagonals at most e apart. That is t
 (1 - least) * m. Three words are a run because the shortest phrases have three; a template must be long enough to need a vote.
 
 A hit is a row only where a template has the hash, so the exploded hashes of the documents never leave their task while the
-templates' positions are few; bands are few for each document.
+templates' positions are few. Of the texts, those with a candidate are fetched for the comparison; a filter of one bit a
+key keeps the others out of the shuffle.
 """
 
 from __future__ import annotations
@@ -173,23 +174,24 @@ def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFram
     """
     sought = compiled(templates)
     text = shared.text_of("text")
-    # equal rows have equal spans, so a row's own values are its key
-    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.sha2(text.cast("binary"), 256))
+    # equal rows have equal spans, so a digest of the row is its key
+    key = F.unhex(F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), text).cast("binary"), 256))
     rows = docs.select("doc_id", text.alias("text"), key.alias("key"))
-    # what repeats is voted on once
-    found = bands(rows.select("key", "text"), sought).groupBy("key").agg(F.collect_list(F.struct("template", "low", "high")).alias("bands"))
-    joined = rows.join(shared.written(found.withColumnRenamed("key", "of_key"), "license-bands"), F.col("key") == F.col("of_key"), "left")
-    asked = joined.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.when(F.col("bands").isNotNull(), F.col("text")).alias("text"), "bands")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words long, spans array<struct<{', '.join(':'.join(c.split()) for c in SPAN.split(', '))}>>"
-    spans_type = pa.list_(pa.struct([("label", pa.string()), ("template", pa.int32()), ("base", pa.bool_()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("errors", pa.int32()), ("score", pa.float64())]))
+    found = bands(rows.select("key", "text"), sought).groupBy(F.col("key").alias("of_key")).agg(F.collect_list(F.struct("template", "low", "high")).alias("bands"))
+    found = shared.written(found, "license-bands")
+    fetched = shared.likely(rows.select("key", "text"), "key", found, "of_key").join(found, F.col("key") == F.col("of_key"))
+    span = ", ".join(":".join(c.split()) for c in SPAN.split(", "))
+    kind = pa.struct([("label", pa.string()), ("template", pa.int32()), ("base", pa.bool_()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("errors", pa.int32()), ("score", pa.float64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [verified(t.as_py(), b.as_py(), sought) if t.is_valid else [] for t, b in zip(batch.column("text"), batch.column("bands"), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(spans, spans_type)], names=["doc_id", "n_words", "spans"])
+            spans = [verified(t.as_py(), b.as_py(), sought) for t, b in zip(batch.column("text"), batch.column("bands"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("of_key"), pa.array(spans, pa.list_(kind))], names=["of_key", "spans"])
 
-    return shared.map_arrow(asked, verify, schema)
+    checked = shared.map_arrow(fetched.select("of_key", "text", "bands"), verify, f"of_key binary, spans array<struct<{span}>>")
+    checked = shared.written(checked.filter(F.size("spans") > 0).dropDuplicates(["of_key"]), "license-spans")
+    counted = rows.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), "key")
+    return counted.join(checked, F.col("key") == F.col("of_key"), "left").select("doc_id", "n_words", F.coalesce("spans", F.array().cast(f"array<struct<{span}>>")).alias("spans"))
 
 
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,6 +61,23 @@ def keep_decided(docs: DataFrame, decisions: DataFrame, key: Column, id_col: str
     return rows.join(lost, same, "left_anti").unionByName(repeated).select("doc.*")
 
 
+#: Bits of the filter of wanted rows; 4 MB when it is full.
+FILTER_BITS = 1 << 25
+
+
+def likely(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The rows whose key may be among the wanted ones, by one bit of its hash: what is broadcast has a fixed largest size.
+
+    It keeps most of the others out of the shuffle of a join that follows.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    bits = wanted.groupBy(F.bitmap_bucket_number(bit(wanted_key)).alias("wanted_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit(wanted_key))).alias("wanted_bits"))
+    place = F.bitmap_bit_position(bit(key))
+    byte = F.conv(F.hex(F.substr("wanted_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    near = rows.join(F.broadcast(bits), F.bitmap_bucket_number(bit(key)) == F.col("wanted_bucket"))
+    return near.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(rows.columns)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words ``[^\\x20\\x09-\\x0D]+``; bytes.lower and bytes.split know ASCII alone."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
