@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallow.operators import halo
 from tallow.schema import SERIES
 
 
@@ -18,25 +19,34 @@ def _by_time():
     return Window.partitionBy(*SERIES).orderBy("open_time")
 
 
+def _log_returns(candles: DataFrame, back: int) -> DataFrame:
+    """Simple and log returns by stretches, with what windows of ``back`` more rows need."""
+    rows = halo.with_halo(candles.select(*SERIES, "open_time", "close"), 1 + back)
+    ratio = F.col("close") / F.nullif(F.lag("close").over(halo.within()), F.lit(0.0))
+    return rows.withColumns({"simple_return": ratio - 1, "log_return": F.ln(F.nullif(ratio, F.lit(0.0)))})
+
+
 def price_returns(candles: DataFrame) -> DataFrame:
     """Simple and log return on the previous close; null for the first candle and where a price is zero."""
-    ratio = F.col("close") / F.nullif(F.lag("close").over(_by_time()), F.lit(0.0))
-    return candles.select(*SERIES, "open_time", (ratio - 1).alias("simple_return"), F.ln(F.nullif(ratio, F.lit(0.0))).alias("log_return"))
+    return halo.without_copies(_log_returns(candles, 0)).select(*SERIES, "open_time", "simple_return", "log_return")
 
 
 def price_range_atr(candles: DataFrame, length: int = 14) -> DataFrame:
     """High less low, true range, and its mean over the last ``length`` candles."""
-    last = F.lag("close").over(_by_time())
+    rows = halo.with_halo(candles.select(*SERIES, "open_time", "high", "low", "close"), length)
+    last = F.lag("close").over(halo.within())
     # greatest skips nulls, so the first candle's true range is its own range
     true_range = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - last), F.abs(F.col("low") - last))
-    out = candles.select(*SERIES, "open_time", (F.col("high") - F.col("low")).alias("price_range"), true_range.alias("true_range"))
-    return out.withColumn("atr", F.avg("true_range").over(_by_time().rowsBetween(1 - length, 0)))
+    ranges = rows.withColumns({"price_range": F.col("high") - F.col("low"), "true_range": true_range})
+    mean = ranges.withColumn("atr", F.avg("true_range").over(halo.within().rowsBetween(1 - length, 0)))
+    return halo.without_copies(mean).select(*SERIES, "open_time", "price_range", "true_range", "atr")
 
 
 def price_volatility(candles: DataFrame, length: int = 24) -> DataFrame:
     """Standard deviation of log returns over the last ``length`` candles."""
-    rolling = _by_time().rowsBetween(1 - length, 0)
-    return price_returns(candles).select(*SERIES, "open_time", F.stddev_samp("log_return").over(rolling).alias("rolling_volatility"))
+    rolling = halo.within().rowsBetween(1 - length, 0)
+    deviation = _log_returns(candles, length - 1).withColumn("rolling_volatility", F.stddev_samp("log_return").over(rolling))
+    return halo.without_copies(deviation).select(*SERIES, "open_time", "rolling_volatility")
 
 
 def realized_volatility(candles: DataFrame) -> DataFrame:
@@ -47,22 +57,25 @@ def realized_volatility(candles: DataFrame) -> DataFrame:
 
 def swing_points(candles: DataFrame, reach: int = 2) -> DataFrame:
     """Highs above, or lows below, ``reach`` candles on either side, and how each compares with the swing before it."""
+    rows = halo.with_halo(candles.select(*SERIES, "open_time", "high", "low"), reach, reach)
     beside = [*range(-reach, 0), *range(1, reach + 1)]
-    around = lambda c: [F.lag(c, k).over(_by_time()) for k in beside]
+    around = lambda c: [F.lag(c, k).over(halo.within()) for k in beside]
     higher, lower = F.lit(True), F.lit(True)
     for h, low in zip(around("high"), around("low"), strict=True):
         higher, lower = higher & (F.col("high") > h), lower & (F.col("low") < low)
-    marked = candles.select(*SERIES, "open_time", "high", "low", higher.alias("is_high"), lower.alias("is_low"))
+    marked = halo.without_copies(rows.withColumns({"is_high": higher, "is_low": lower}))
     kinds = F.array(
         F.struct(F.lit("high").alias("kind"), F.col("high").alias("price"), F.col("is_high").alias("holds")),
         F.struct(F.lit("low").alias("kind"), F.col("low").alias("price"), F.col("is_low").alias("holds")),
     )
     swings = marked.select(*SERIES, "open_time", F.inline(kinds)).filter("holds").drop("holds")
-    before = F.lag("price").over(Window.partitionBy(*SERIES, "kind").orderBy("open_time"))
+    key = (*SERIES, "kind")
+    swings = halo.with_halo(swings, 1, key=key)
+    before = F.lag("price").over(halo.within(key))
     up, same = F.when(F.col("kind") == "high", "HH").otherwise("HL"), F.lit("EQ")
     down = F.when(F.col("kind") == "high", "LH").otherwise("LL")
     structure = F.when(F.col("price") > before, up).when(F.col("price") < before, down).when(before.isNotNull(), same)
-    return swings.withColumn("structure", structure)
+    return halo.without_copies(swings.withColumn("structure", structure))
 
 
 def volume_profile(trades: DataFrame, bin_size: float, share: float = 0.7) -> DataFrame:

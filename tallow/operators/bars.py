@@ -26,16 +26,20 @@ def _shaped(bars: DataFrame, timeframe: str) -> DataFrame:
     ).select(CANDLES.fieldNames())
 
 
+def micros_of(df: DataFrame, time: str) -> Column:
+    """A time column, with a zone or without, as microseconds since the epoch."""
+    if isinstance(df.schema[time].dataType, T.TimestampType):
+        return F.unix_micros(time)
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(time))
+
+
 def trade_order(trades: DataFrame) -> Column:
     """(timestamp, agg_trade_id) as one number.
 
     A number of fixed width keeps the candles' aggregate a hash aggregate; with a struct to order by, Spark would sort
     all trades on both sides of the shuffle.
     """
-    if isinstance(trades.schema["timestamp"].dataType, T.TimestampType):
-        micros = F.unix_micros("timestamp")
-    else:
-        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("timestamp"))
+    micros = micros_of(trades, "timestamp")
     # an identifier is a long, so it lies within half of the factor on either side of 0
     return micros.cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19)) + F.col("agg_trade_id").cast("decimal(19,0)")
 

@@ -344,6 +344,16 @@ def _gaps(spark, sf_dir):
     return gaps.find_time_gaps(hourly(spark, sf_dir), "1h")
 
 
+@query(
+    "gap_ranges",
+    f"""WITH {_GRID_SQL}, numbered AS (SELECT *, row_number() OVER (PARTITION BY exchange, symbol, timeframe ORDER BY missing_open_time) AS k FROM gaps)
+SELECT exchange, symbol, timeframe, min(missing_open_time) AS from_time, max(missing_open_time) AS to_time, count(*) AS missing_count
+FROM numbered GROUP BY exchange, symbol, timeframe, missing_open_time - k * INTERVAL 1 HOUR""",
+)
+def _gap_ranges(spark, sf_dir):
+    return gaps.gap_ranges(hourly(spark, sf_dir), "1h")
+
+
 @query("gaps_except", f"WITH {_GRID_SQL} SELECT exchange, symbol, timeframe, open_time AS missing_open_time FROM (SELECT * FROM grid EXCEPT SELECT exchange, symbol, timeframe, open_time FROM candles)")
 def _gaps_except(spark, sf_dir):
     return gaps.gaps_as_difference(hourly(spark, sf_dir), "1h")

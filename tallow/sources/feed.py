@@ -39,14 +39,13 @@ from pyspark.sql.datasource import (
     SimpleDataSourceStreamReader,
 )
 
-from tallow.schema import CANDLES, TRADES, interval_of
+from tallow.schema import CANDLES, TRADES, millis_of
 from tallow.settings import config_value, load_config
 from tallow.shipping import ship
 from tallow.sources.decode import WIRE
 
 #: A page's most rows, and what a request asks for by default.
 MOST, PAGE = 1000, 1000
-_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
 
 Transport = Callable[[str, dict[str, Any], float], Any]
 
@@ -55,11 +54,6 @@ class SourceError(RuntimeError):
     """The feed gave no usable answer."""
 
 
-def millis_of(timeframe: str) -> int:
-    n, unit = interval_of(timeframe).split()
-    return int(n) * _SECONDS[unit.rstrip("s")] * 1000
-
-
 def http_json(url: str, params: dict[str, Any], timeout: float) -> Any:
     """GET with query parameters; a JSON answer."""
     with urllib.request.urlopen(f"{url}?{urllib.parse.urlencode(params)}", timeout=timeout) as answer:
