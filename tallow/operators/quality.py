@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallow.operators.rules import Rule, absent, compile_rules, counts, duplicate_keys, load_declaration
+from tallow.operators.rules import Rule, RuleError, absent, compile_rules, counts, duplicate_keys, load_declaration
 from tallow.schema import SERIES, TRADE_KEY  # noqa: F401
 
 #: The rules of the datasets, as declared in the package's YAML files.
@@ -46,10 +46,16 @@ def unsorted_rows(df: DataFrame, ordinal: str, scope: str = "series", time: str
     return joined.filter(F.col(time) < F.col(f"previous_{time}")).drop("_stretch", "_ahead", "_first", "_seam")
 
 
+def _out_of_order(df: DataFrame, ordinal: str, scope: str, declaration: dict[str, Any]) -> DataFrame:
+    if "time" not in declaration:
+        raise RuleError("the order of rows can't be checked, as the declaration names no time")
+    return unsorted_rows(df, ordinal, scope, declaration["time"], tuple(declaration.get("series", ())))
+
+
 def check(df: DataFrame, ordinal: str | None = None, scope: str = "series", declaration: dict[str, Any] = CANDLE_RULES) -> list[tuple[str, int]]:
     """Violations of each rule, in the order in which the gate reports them: one aggregate, one count of duplicate keys.
 
-    The order of candles is checked only where an ordinal column is given, as a DataFrame has no order of its own.
+    Their order is checked only where an ordinal column is given, as a DataFrame has no order of its own.
     """
     lacking = absent(df, declaration)
     if lacking:
@@ -62,7 +68,7 @@ def check(df: DataFrame, ordinal: str | None = None, scope: str = "series", decl
     if declaration.get("unique"):
         report.append(("duplicate_keys", duplicate_keys(df, tuple(declaration["unique"])).count()))
     if ordinal:
-        report.append(("unsorted_rows", unsorted_rows(df, ordinal, scope).count()))
+        report.append(("unsorted_rows", _out_of_order(df, ordinal, scope, declaration).count()))
     return report + [(name, found[name]) for name in late]
 
 
@@ -74,7 +80,7 @@ def enforce(df: DataFrame, ordinal: str | None = None, scope: str = "series", de
     return df
 
 
-def gate_report(df: DataFrame, ordinal: str, scope: str = "series", declaration: dict[str, Any] = CANDLE_RULES) -> DataFrame:
+def gate_report(df: DataFrame, ordinal: str | None = None, scope: str = "series", declaration: dict[str, Any] = CANDLE_RULES) -> DataFrame:
     """Rows (rule, violations) of the whole gate as one plan: absent columns, no rows, row rules, duplicate keys, order."""
     lacking = absent(df, declaration)
     head = df.sparkSession.createDataFrame([("missing_columns", len(lacking))], "rule string, violations long")
@@ -85,25 +91,29 @@ def gate_report(df: DataFrame, ordinal: str, scope: str = "series", declaration:
     pairs = [F.struct(F.lit("empty").alias("rule"), (F.col("rows") == 0).cast("long").alias("violations"))]
     pairs += [F.struct(F.lit(r.name).alias("rule"), F.col(f"`{r.name}`").alias("violations")) for r in rules]
     out = head.unionByName(one.select(F.inline(F.array(*pairs))))
-    more = {"duplicate_keys": duplicate_keys(df, tuple(declaration["unique"])), "unsorted_rows": unsorted_rows(df, ordinal, scope)}
+    more = {}
+    if declaration.get("unique"):
+        more["duplicate_keys"] = duplicate_keys(df, tuple(declaration["unique"]))
+    if ordinal:
+        more["unsorted_rows"] = _out_of_order(df, ordinal, scope, declaration)
     for name, found in more.items():
         out = out.unionByName(found.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("violations")))
     return out
 
 
-def row_rules() -> list[Rule]:
-    return compile_rules(CANDLE_RULES)
+def row_rules(declaration: dict[str, Any] = CANDLE_RULES) -> list[Rule]:
+    return compile_rules(declaration)
 
 
-def broken_rules(df: DataFrame) -> DataFrame:
+def broken_rules(df: DataFrame, declaration: dict[str, Any] = CANDLE_RULES) -> DataFrame:
     """df with ``broken``: the names of the row rules that a row breaks."""
-    marks = [F.when(r.violated(df.schema), F.lit(r.name)) for r in row_rules()]
-    return df.withColumn("broken", F.array_compact(F.array(*marks)))
+    marks = [F.when(r.violated(df.schema), F.lit(r.name)) for r in row_rules(declaration)]
+    return df.withColumn("broken", F.array_compact(F.array(*marks).cast("array<string>")))
 
 
-def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, declaration: dict[str, Any] = CANDLE_RULES) -> tuple[DataFrame, DataFrame]:
     """Rows that break no row rule, and the others with ``broken``."""
-    marked = broken_rules(df)
+    marked = broken_rules(df, declaration)
     return marked.filter(F.size("broken") == 0).drop("broken"), marked.filter(F.size("broken") > 0)
 
 
@@ -114,7 +124,7 @@ def violation_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return one.select(F.inline(F.array(*pairs)))
 
 
-def any_of(df: DataFrame, names: list[str]) -> DataFrame:
+def any_of(df: DataFrame, names: list[str], declaration: dict[str, Any] = CANDLE_RULES) -> DataFrame:
     """Rows that break any of the named row rules."""
-    chosen = [r.violated(df.schema) for r in row_rules() if r.name in names]
+    chosen = [r.violated(df.schema) for r in row_rules(declaration) if r.name in names]
     return df.filter(reduce(lambda a, b: a | b, chosen))

@@ -1,7 +1,8 @@
 """Quality rules as data, compiled to Spark expressions.
 
 A declaration is a mapping, given in Python or in a YAML file, with any of ``required`` (columns that must be there),
-``not_null``, ``logical`` (Spark SQL conditions), ``non_negative``, ``one_of``, ``unique`` (a key) and ``late_logical``.
+``not_null``, ``logical`` (Spark SQL conditions), ``non_negative``, ``one_of``, ``unique`` (a key), ``late_logical``, and, for
+the check of the rows' order, ``time`` (a column) and ``series`` (the columns within which it must ascend).
 Row rules become counts of violations in one aggregate over the table, whatever their number; a unique rule is one more.
 """
 
@@ -45,7 +46,7 @@ def _holds_not(expression: str) -> Column:
     return F.coalesce(~F.expr(expression), F.lit(False))
 
 
-KINDS = {"required": list, "not_null": list, "logical": list, "non_negative": list, "one_of": dict, "unique": list, "late_logical": list}
+KINDS = {"required": list, "not_null": list, "logical": list, "non_negative": list, "one_of": dict, "unique": list, "late_logical": list, "time": str, "series": list}
 
 
 def load_declaration(path: str | Traversable) -> dict[str, Any]:
@@ -66,6 +67,7 @@ def load_declaration(path: str | Traversable) -> dict[str, Any]:
 def absent(df: DataFrame, declaration: dict[str, Any]) -> list[str]:
     """Columns that the declaration needs and df lacks."""
     needed = [*declaration.get("required", ()), *declaration.get("not_null", ()), *declaration.get("non_negative", ()), *declaration.get("one_of", ()), *declaration.get("unique", ())]
+    needed += [*declaration.get("series", ()), *([declaration["time"]] if "time" in declaration else [])]
     return [c for c in dict.fromkeys(needed) if c not in df.columns]
 
 

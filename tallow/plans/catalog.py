@@ -16,7 +16,8 @@ from tallow.functions import derived
 from tallow.operators import bars, dedupe, gaps, quality, rules
 from tallow.schema import CANDLE_KEY, SERIES, TRADE_KEY
 from tallow.scratch import application_dir
-from tallow.sources import adapters, decode, lake
+from tallow.sources import adapters, backfill, decode, lake
+from tallow.streaming import alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -312,6 +313,39 @@ def _trades_duplicates(spark, sf_dir):
     return rules.duplicate_keys(df.unionByName(df.filter("agg_trade_id % 59 = 0")), TRADE_KEY)
 
 
+@query(
+    "trades_gate_report",
+    f"""WITH {_BAD_TRADES_SQL},
+input AS (SELECT *, CASE WHEN agg_trade_id % 53 = 0 THEN timestamp - INTERVAL 40 DAY ELSE timestamp END AS seen_at, agg_trade_id * 2 AS pos FROM bad
+  UNION ALL SELECT *, timestamp, agg_trade_id * 2 + 1 FROM bad WHERE agg_trade_id % 59 = 0),
+ahead AS (SELECT *, lag(seen_at) OVER (PARTITION BY exchange, symbol ORDER BY pos) AS previous FROM input)
+SELECT 'missing_columns' AS rule, CAST(0 AS BIGINT) AS violations
+UNION ALL SELECT 'empty', CAST(count(*) = 0 AS BIGINT) FROM input
+UNION ALL SELECT 'first_trade_id <= last_trade_id', count(*) FROM input WHERE first_trade_id > last_trade_id
+UNION ALL SELECT 'negative_values', count(*) FROM input WHERE price < 0 OR quantity < 0 OR quote_quantity < 0
+UNION ALL SELECT 'trade_side_domain', count(*) FROM input WHERE trade_side NOT IN ('buy', 'sell')
+UNION ALL SELECT 'duplicate_keys', count(*) FROM (SELECT exchange, symbol, agg_trade_id FROM input GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'unsorted_rows', count(*) FROM ahead WHERE seen_at < previous""",
+)
+def _trades_gate(spark, sf_dir):
+    bad, i = bad_trades(spark, sf_dir), F.col("agg_trade_id")
+    late = F.expr("IF(agg_trade_id % 53 = 0, timestamp - INTERVAL 40 DAYS, timestamp)")
+    twice = bad.withColumn("pos", i * 2).withColumn("timestamp", late).unionByName(bad.filter(i % 59 == 0).withColumn("pos", i * 2 + 1))
+    return quality.gate_report(twice, "pos", declaration=quality.TRADE_RULES)
+
+
+@query(
+    "trades_quarantine_split",
+    f"""WITH {_BAD_TRADES_SQL}, marked AS (SELECT *, concat_ws(', ', CASE WHEN first_trade_id > last_trade_id THEN 'first_trade_id <= last_trade_id' END,
+  CASE WHEN price < 0 OR quantity < 0 OR quote_quantity < 0 THEN 'negative_values' END, CASE WHEN trade_side NOT IN ('buy', 'sell') THEN 'trade_side_domain' END) AS broken FROM bad)
+SELECT symbol, broken, count(*) AS row_count FROM marked GROUP BY ALL""",
+)
+def _trades_split(spark, sf_dir):
+    good, bad = quality.split(bad_trades(spark, sf_dir), quality.TRADE_RULES)
+    both = good.select("symbol", F.lit("").alias("broken")).unionByName(bad.select("symbol", F.array_join("broken", ", ").alias("broken")))
+    return both.groupBy("symbol", "broken").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query("naming_violations", f"WITH {TRADES_SQL} SELECT lower(symbol) AS symbol, exchange, agg_trade_id FROM trades WHERE agg_trade_id % 61 = 0 AND lower(symbol) <> upper(symbol)")
 def _naming(spark, sf_dir):
     lowered = F.when(F.col("agg_trade_id") % 61 == 0, F.lower("symbol")).otherwise(F.col("symbol"))
@@ -364,6 +398,27 @@ def _gap_counts(spark, sf_dir):
     return gaps.gap_counts(hourly(spark, sf_dir), "1h")
 
 
+@query(
+    "silent_series",
+    f"""WITH {HOURLY_SQL}, ahead AS (SELECT exchange, symbol, timeframe, open_time, lead(open_time) OVER (PARTITION BY exchange, symbol, timeframe ORDER BY open_time) AS next_open_time,
+  max(open_time) OVER () AS last_of_all FROM candles)
+SELECT exchange, symbol, timeframe, open_time AS last_open_time, open_time + INTERVAL 1 HOUR AS due_time FROM ahead
+WHERE coalesce(next_open_time, last_of_all) > open_time + INTERVAL 1 HOUR""",
+)
+def _silent(spark, sf_dir):
+    return alerts.silent_ranges(hourly(spark, sf_dir), "1h")
+
+
+@query(
+    "backfill_requests",
+    f"""WITH {_GRID_SQL}, placed AS (SELECT *, epoch_ms(missing_open_time) AS ms, epoch_ms(missing_open_time) // (24 * 3600000) AS page FROM gaps)
+SELECT exchange, symbol, timeframe, min(ms) AS start_ms, max(ms) AS end_ms, count(*) AS slots FROM placed GROUP BY exchange, symbol, timeframe, page""",
+)
+def _backfill_requests(spark, sf_dir):
+    """Pages of a day each."""
+    return backfill.requests(backfill.missing_ranges(hourly(spark, sf_dir), "1h"), "1h", limit=24).withColumn("slots", F.col("slots").cast("long"))
+
+
 # -- deduplication, upsert, layout ------------------------------------------------------------------------------
 
 #: Three pages of one feed that overlap: each holds the candles of two of three classes of hours.

@@ -8,6 +8,7 @@ number of slices, capped by ``slices`` where the provider limits requests.
     feed.candles(spark, symbol="BTCUSDT", interval="1h", start_ms=..., end_ms=...)   # the rest from config/config.yaml
 
 Trades have no grid: their range splits into slices of equal time, and a slice goes on by trade identifiers.
+Streams of either take ``symbols``, several separated by commas, and fetch each symbol's slices in tasks.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
+    DataSourceStreamReader,
     EqualNullSafe,
     EqualTo,
     Filter,
@@ -36,10 +38,9 @@ from pyspark.sql.datasource import (
     InputPartition,
     LessThan,
     LessThanOrEqual,
-    SimpleDataSourceStreamReader,
 )
 
-from tallow.schema import CANDLES, TRADES, millis_of
+from tallow.schema import CANDLES, OFFSETS, TRADES, millis_of
 from tallow.settings import config_value, load_config
 from tallow.shipping import ship
 from tallow.sources.decode import WIRE
@@ -162,7 +163,8 @@ class Slice(InputPartition):
 class _Options:
     def __init__(self, options: dict[str, str], candles: bool = True):
         need = lambda k: options.get(k) or _missing(k)
-        self.symbol, self.interval = need("symbol"), need("interval") if candles else ""
+        self.symbols = [s.strip().upper() for s in (options.get("symbols") or need("symbol")).split(",") if s.strip()]
+        self.symbol, self.interval = self.symbols[0], need("interval") if candles else ""
         self.exchange = options.get("exchange", "demo")
         self.limit = int(options.get("limit", PAGE))
         self.step = millis_of(self.interval) if candles else 1
@@ -172,19 +174,27 @@ class _Options:
         self.end_ms = int(options["end_ms"]) if "end_ms" in options else None
         self.slices = int(options.get("slices", 256))
         self.url = options.get("base_url", "http://localhost:8080") + options.get("endpoint", "/candles" if candles else "/trades")
-        self.transport = options.get("transport", "")
+        self.transport, self.clock = options.get("transport", ""), options.get("clock", "")
+        #: How long after its time a row may be served; a stream asks for it only then.
+        self.lag_ms = int(options.get("lag_ms", 0))
         self.attempts, self.backoff, self.timeout = int(options.get("attempts", 5)), float(options.get("backoff", 2)), float(options.get("timeout", 30))
         if not 1 <= self.limit <= MOST:
             raise ValueError(f"limit must lie between 1 and {MOST}")
 
+    def now_ms(self) -> int:
+        return _named(self.clock)() if self.clock else int(time.time() * 1000)
+
     def client(self) -> FeedClient:
-        transport: Transport = http_json
-        if self.transport:
-            module, _, name = self.transport.partition(":")
-            transport = getattr(importlib.import_module(module), name)
+        transport: Transport = _named(self.transport) if self.transport else http_json
         return FeedClient(self.url, transport, self.timeout, self.attempts, self.backoff)
 
 
+def _named(path: str) -> Callable:
+    """What ``module:name`` names."""
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def _missing(option: str):
     raise ValueError(f"option {option} is missing")
 
@@ -262,29 +272,83 @@ class TradeReader(_RangeReader):
             yield typed_trade(row, self.o.symbol, self.o.exchange, now)
 
 
-class CandleTail(SimpleDataSourceStreamReader):
-    """Follows a feed: the offset is the open time to ask for next. A candle comes once its close time has passed."""
+class SymbolSlice(Slice):
+    def __init__(self, symbol: str, start_ms: int, end_ms: int):
+        super().__init__(start_ms, end_ms)
+        self.symbol = symbol
+
+
+class _Tail(DataSourceStreamReader):
+    """Follows a feed: the offset holds, for each symbol, the time to ask for next.
+
+    The driver moves offsets by the clock alone and asks for nothing; what lies between two offsets is split by symbol and
+    time into input partitions, which tasks fetch. A batch planned before a restart is fetched again as it was planned.
+    """
+
+    #: Time at which a row of a time below it is final.
+    def final_below(self, now_ms: int) -> int:
+        raise NotImplementedError
+
+    def width(self) -> int:
+        raise NotImplementedError
 
     def __init__(self, options: _Options):
+        if options.start_ms is None:
+            _missing("start_ms")
         self.o = options
 
     def initialOffset(self) -> dict:
-        return {"open_ms": self.o.start_ms or 0}
+        return {s: self.o.start_ms for s in self.o.symbols}
+
+    def latestOffset(self) -> dict:
+        end = max(self.final_below(self.o.now_ms() - self.o.lag_ms), self.o.start_ms)
+        return {s: end for s in self.o.symbols}
+
+    def partitions(self, start: dict, end: dict) -> list[SymbolSlice]:
+        out = []
+        for symbol, stop in end.items():
+            first = start.get(symbol, self.o.start_ms)
+            if stop <= first:
+                continue
+            count = min(self.o.slices, -(-(stop - first) // self.width()))
+            width = -(-(stop - first) // count)
+            width = -(-width // self.o.step) * self.o.step
+            out += [SymbolSlice(symbol, a, min(a + width, stop) - 1) for a in range(first, stop, width)]
+        return out
+
+    def commit(self, end: dict) -> None:
+        pass
 
-    def read(self, start: dict):
+
+class CandleTail(_Tail):
+    """A candle comes once its close time has passed."""
+
+    def final_below(self, now_ms: int) -> int:
+        shift = millis_of("1d") * int(OFFSETS[self.o.interval].split()[0]) if self.o.interval in OFFSETS else 0
+        return (now_ms - shift) // self.o.step * self.o.step + shift
+
+    def width(self) -> int:
+        return self.o.step * self.o.limit
+
+    def read(self, partition: SymbolSlice) -> Iterator[tuple]:
         now = datetime.now(UTC)
-        rows = self.o.client().page(self.o.symbol, self.o.interval, self.o.limit, start["open_ms"])
-        # the first candle that is still open holds back itself and those behind it
-        still_open = [int(r[0]) for r in rows if int(r[WIRE.index("close_time")]) >= now.timestamp() * 1000]
-        end = min(still_open) if still_open else max((int(r[0]) + 1 for r in rows), default=start["open_ms"])
-        first = {int(r[0]): r for r in reversed(rows) if start["open_ms"] <= int(r[0]) < end}
-        return iter([typed_row(r, self.o.symbol, self.o.interval, self.o.exchange, now) for _, r in sorted(first.items())]), {"open_ms": max(end, start["open_ms"])}
-
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        for row in self.o.client().scan(partition.symbol, self.o.interval, partition.start_ms, partition.end_ms, self.o.limit):
+            yield typed_row(row, partition.symbol, self.o.interval, self.o.exchange, now)
+
+
+class TradeTail(_Tail):
+    """Trades up to the clock's time, less ``lag_ms``."""
+
+    def final_below(self, now_ms: int) -> int:
+        return now_ms
+
+    def width(self) -> int:
+        return self.o.slice_ms
+
+    def read(self, partition: SymbolSlice) -> Iterator[tuple]:
         now = datetime.now(UTC)
-        if end["open_ms"] > start["open_ms"]:
-            for r in self.o.client().scan(self.o.symbol, self.o.interval, start["open_ms"], end["open_ms"] - 1, self.o.limit):
-                yield typed_row(r, self.o.symbol, self.o.interval, self.o.exchange, now)
+        for row in self.o.client().trades(partition.symbol, partition.start_ms, partition.end_ms, self.o.limit):
+            yield typed_trade(row, partition.symbol, self.o.exchange, now)
 
 
 class CandleFeed(DataSource):
@@ -299,7 +363,7 @@ class CandleFeed(DataSource):
     def reader(self, schema) -> CandleReader:
         return CandleReader(_Options(dict(self.options)))
 
-    def simpleStreamReader(self, schema) -> CandleTail:
+    def streamReader(self, schema) -> CandleTail:
         return CandleTail(_Options(dict(self.options)))
 
 
@@ -314,6 +378,9 @@ class TradeFeed(DataSource):
     def reader(self, schema) -> TradeReader:
         return TradeReader(_Options(dict(self.options), candles=False))
 
+    def streamReader(self, schema) -> TradeTail:
+        return TradeTail(_Options(dict(self.options), candles=False))
+
 
 def register(spark: SparkSession) -> None:
     """Makes ``format("candle_feed")`` and ``format("trade_feed")`` known to the session, and lets filters reach them."""

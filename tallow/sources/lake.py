@@ -112,22 +112,30 @@ def read_nanosecond_leaf(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumns({c: F.expr(f"timestamp_micros({c} div 1000)") for c in times if c in raw.columns and raw.schema[c].dataType == T.LongType()})
 
 
-def touched_only(df: DataFrame, touched: list[tuple], partitions: tuple[str, ...]) -> DataFrame:
-    """The rows of the given partitions: literal conditions on each column, so that the others' directories are never listed for the scan."""
+#: Values of a partition column up to which each is a condition of its own; of more, the range is.
+PRUNED = 1000
 
-    def among(values: set, column: str) -> Column:
-        return F.col(column).isin(*sorted(values))
 
-    near = reduce(lambda a, b: a & b, (among({t[k] for t in touched}, c) for k, c in enumerate(partitions)))
-    exact = df.sparkSession.createDataFrame(touched, ", ".join(f"{c} string" for c in partitions))
-    return df.filter(near).join(F.broadcast(exact), list(partitions), "left_semi")
+def touched_only(df: DataFrame, touched: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """The rows of the partitions in ``touched``.
+
+    Literal conditions on each column keep the others' directories out of the scan; there may be many partitions, so their
+    combinations are a join whose kind Spark chooses.
+    """
+    values = {}
+    extent = touched.agg(*(f(c).alias(f"{k}_{c}") for c in partitions for k, f in (("n", F.count_distinct), ("low", F.min), ("high", F.max)))).first()
+    few = [c for c in partitions if extent[f"n_{c}"] <= PRUNED]
+    if few:
+        values = touched.agg(*(F.collect_set(c).alias(c) for c in few)).first().asDict()
+    near = [F.col(c).isin(*sorted(values[c])) if c in values else F.col(c).between(extent[f"low_{c}"], extent[f"high_{c}"]) for c in partitions]
+    return df.filter(reduce(lambda a, b: a & b, near)).join(touched.select(*partitions), list(partitions), "left_semi")
 
 
 def upsert(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, allow_empty: bool = False) -> DataFrame:
-    """Merges rows into the lake and returns the partitions written, with their number of rows.
+    """Merges rows into the lake and returns the partitions written, with their number of rows (a table kept in its ``_written``).
 
     The input is computed once, into a staging folder beside the lake, and what lies there is what gets checked and
-    merged. Only partitions that it touches are read and replaced (the driver holds their names), after the merged rows
+    merged. Only partitions that it touches are read and replaced, after the merged rows
     passed the gate as well; replaying an input changes nothing. Nothing is lost where the replacement fails: the
     merged rows stay in the staging folder, which the LakeError names.
     """
@@ -138,8 +146,9 @@ def upsert(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, allow_empty
         rows = with_partitions(new.select(dataset.schema.fieldNames()), dataset)
         rows.write.parquet(f"{staging}/input")
         staged = spark.read.schema(rows.schema).parquet(f"{staging}/input")
-        touched = [tuple(r) for r in staged.select(*dataset.partitions).distinct().collect()]
-        if not touched and allow_empty:
+        staged.select(*dataset.partitions).distinct().write.parquet(f"{staging}/touched")
+        touched = spark.read.schema(_stored_schema(T.StructType([]), dataset.partitions)).parquet(f"{staging}/touched")
+        if allow_empty and touched.isEmpty():
             _delete(spark, staging)
             return spark.createDataFrame([], counts)
         enforce(staged, declaration=dataset.rules)
@@ -155,14 +164,17 @@ def upsert(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, allow_empty
         _replace(merged, root, dataset)
     except Exception as e:
         raise LakeError(f"partitions of {root} were not all replaced; the merged rows are kept in {staging}/merged") from e
+    # below a folder that readers of the lake skip
+    report = f"{root.rstrip('/')}/_written/{uuid.uuid4().hex}"
+    merged.groupBy(*dataset.partitions).agg(F.count(F.lit(1)).alias("row_count")).write.parquet(report)
     _delete(spark, staging)
-    done = touched_only(read(spark, root, dataset), touched, dataset.partitions)
-    return done.groupBy(*dataset.partitions).agg(F.count(F.lit(1)).alias("row_count")).orderBy(*dataset.partitions)
+    return spark.read.schema(counts).parquet(report).orderBy(*dataset.partitions)
 
 
 def _replace(merged: DataFrame, root: str, dataset: Dataset) -> None:
     (
-        merged.repartition(*dataset.partitions)
+        # a hot partition may become several tasks and files
+        merged.hint("rebalance", *dataset.partitions)
         .sortWithinPartitions(*dataset.partitions, dataset.time)
         .write.partitionBy(*dataset.partitions)
         .option("compression", "snappy")

@@ -172,27 +172,75 @@ def test_pages_out_of_order():
     assert {r[0]: r[4] for r in got}[START + 2 * HOUR] == "2.0"  # the first version
 
 
-def test_tail_waits_for_the_close(monkeypatch):
-    served = {"closed": 3}
+def refused(url, params, timeout):
+    raise AssertionError("the driver asked the feed")
 
-    class Clock(datetime):
-        @classmethod
-        def now(cls, tz=None):
-            return datetime.fromtimestamp((START + served["closed"] * HOUR + 1) / 1000, tz)
 
-    monkeypatch.setattr(feed, "datetime", Clock)
-    tail = feed.CandleTail(feed._Options({"symbol": "ab", "interval": "1h", "start_ms": str(START), "transport": "tests.test_lake_and_feed:serve_some"}))
-    rows, offset = tail.read(tail.initialOffset())
-    assert len(list(rows)) == 3 and offset == {"open_ms": START + 3 * HOUR}
-    rows, same = tail.read(offset)
-    assert not list(rows) and same == offset
-    served["closed"] = 4
-    rows, offset = tail.read(offset)
-    assert [r[3] for r in rows] == [datetime.fromtimestamp((START + 3 * HOUR) / 1000, UTC)] and offset == {"open_ms": START + 4 * HOUR}
+def clock():
+    return int(os.environ["TALLOW_TEST_NOW"])
 
 
-def serve_some(url, params, timeout):
-    return serve(url, params, timeout)[:5]
+def test_tail_waits_for_the_close_and_asks_nothing(monkeypatch):
+    options = {"symbols": "ab, cd", "interval": "1h", "start_ms": str(START), "limit": "2", "transport": "tests.test_lake_and_feed:refused", "clock": "tests.test_lake_and_feed:clock"}
+    tail = feed.CandleTail(feed._Options(options))
+    monkeypatch.setenv("TALLOW_TEST_NOW", str(START + 4 * HOUR - 1))
+    assert tail.initialOffset() == {"AB": START, "CD": START}
+    end = tail.latestOffset()
+    assert end == {"AB": START + 3 * HOUR, "CD": START + 3 * HOUR}  # the fourth candle is still open
+    slices = tail.partitions({"AB": START}, end)
+    assert [(s.symbol, s.start_ms, s.end_ms) for s in slices] == [(x, START + a * HOUR, START + b * HOUR - 1) for x in ("AB", "CD") for a, b in ((0, 2), (2, 3))]
+    assert tail.partitions(end, end) == []
+    assert feed.CandleTail(feed._Options(options | {"lag_ms": str(HOUR)})).latestOffset()["AB"] == START + 2 * HOUR
+    week = feed.CandleTail(feed._Options(options | {"interval": "1w"})).latestOffset()["AB"]
+    assert week == START  # Thursday; the week began before it
+    with pytest.raises(ValueError, match="start_ms"):
+        feed.CandleTail(feed._Options({k: v for k, v in options.items() if k != "start_ms"}))
+
+
+def serve_hours(url, params, timeout):
+    """A candle for each hour there is; notes which process asked."""
+    with open(url.removeprefix("note:").split("/candles")[0], "a") as note:
+        note.write(f"{os.getpid()} {params['symbol']} {params['startTime']}\n")
+    first = -(-(params["startTime"] - START) // HOUR)
+    return [wire(START + k * HOUR) for k in range(first, (params["endTime"] - START) // HOUR + 1)][: params["limit"]]
+
+
+def test_stream_of_two_symbols_restarts_without_loss(spark, tmp_path, monkeypatch):
+    feed.register(spark)
+    note, out = tmp_path / "note", str(tmp_path / "out")
+    now = tmp_path / "now"
+    options = {"symbols": "ab,cd", "interval": "1h", "start_ms": START, "limit": 10, "base_url": f"note:{note}", "transport": "tests.test_lake_and_feed:serve_hours"}
+    for hours in (25, 25, 61):
+        now.write_text(str(hours))
+        # the clock stands that many hours behind the start
+        lag = int(datetime.now(UTC).timestamp() * 1000) - START - hours * HOUR - 60_000
+        stream = spark.readStream.format("candle_feed").options(**options, lag_ms=lag).load()
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "checkpoint")).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        rows = [(r.symbol, r.open_time) for r in spark.read.parquet(out).collect()]
+        assert len(rows) == len(set(rows)) == 2 * hours
+    asked = [line.split() for line in note.read_text().splitlines()]
+    assert {s for _, s, _ in asked} == {"AB", "CD"} and len(asked) >= 2 * (3 + 4)
+    assert str(os.getpid()) not in {p for p, _, _ in asked}
+
+
+def an_hour_on():
+    return START + HOUR
+
+
+def test_stream_of_trades(spark, tmp_path):
+    feed.register(spark)
+    # a clock that stands still, as a stream is never through with one that goes on
+    options = {"symbols": "ab", "start_ms": START, "limit": 100, "slice_ms": 600_000, "clock": "tests.test_lake_and_feed:an_hour_on", "transport": "tests.test_lake_and_feed:serve_trades"}
+    query = spark.readStream.format("trade_feed").options(**options).load().writeStream.format("memory").queryName("trade_tail").option("checkpointLocation", str(tmp_path)).start()
+    try:
+        query.processAllAvailable()
+        assert spark.table("trade_tail").agg(F.count("*"), F.count_distinct("agg_trade_id")).first()[:] == (5000, 5000)
+    finally:
+        query.stop()
 
 
 def test_point_lookups_are_pushed():
@@ -265,7 +313,8 @@ def test_upsert_reads_the_input_once_and_touched_partitions_only(spark, tmp_path
     source = candles(spark, hour(2)).coalesce(1)
     lake.upsert_candles(source.mapInPandas(counted, source.schema), root)
     assert runs.value == 1
-    plan = lake.touched_only(lake.read_candles(spark, root), [("demo", "BTCUSDT", "1h", "2026", "01")], lake.CANDLE_SET.partitions)
+    touched = spark.createDataFrame([("demo", "BTCUSDT", "1h", "2026", "01")], lake.CANDLE_SET.partitions)
+    plan = lake.touched_only(lake.read_candles(spark, root), touched, lake.CANDLE_SET.partitions)
     shown = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in shown and "month#" in shown.split("PartitionFilters")[1] and "= 01" in shown
     assert len(plan.inputFiles()) == 3  # listed before pruning

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallow.operators import quality, rules
-from tallow.schema import CANDLES
+from tallow.schema import CANDLES, TRADES
 
 BASE = {
     "exchange": "demo", "symbol": "BTCUSDT", "timeframe": "1h", "open_time": datetime(2026, 1, 1), "open": 90000.0, "high": 91000.0, "low": 89000.0,
@@ -114,3 +114,22 @@ def test_order_in_stretches(spark, monkeypatch):
         got = {(r.pos, r.previous_open_time.hour) for r in quality.unsorted_rows(df, "pos", scope).collect()}
         ahead = lambda k: [j for j in range(k) if scope == "frame" or j % 2 == k % 2]  # noqa: B023, E731
         assert got == {(k, at[ahead(k)[-1]]) for k in range(len(at)) if ahead(k) and at[ahead(k)[-1]] > at[k]}
+
+
+def test_gate_of_trades_and_of_other_declarations(spark):
+    rows = [("demo", "AB", k, datetime(2026, 1, 1, 1 + k), 2.0 + k, 1.0, 2.0 + k, k, k, True, "sell", datetime(2026, 2, 1)) for k in range(3)]
+    df = spark.createDataFrame(rows, TRADES).withColumn("pos", -F.col("agg_trade_id"))
+    report = dict(quality.check(df, "pos", declaration=quality.TRADE_RULES))
+    assert report["unsorted_rows"] == 2 and report["duplicate_keys"] == 0
+    assert {r.rule: r.violations for r in quality.gate_report(df, "pos", declaration=quality.TRADE_RULES).collect()}["unsorted_rows"] == 2
+    assert broken(df, ordinal="pos", declaration=quality.TRADE_RULES) == "unsorted_rows"
+    good, bad = quality.split(df.withColumn("trade_side", F.when(F.col("agg_trade_id") == 1, "hold").otherwise("buy")), quality.TRADE_RULES)
+    assert good.count() == 2 and [r.broken for r in bad.collect()] == [["trade_side_domain"]]
+    assert quality.any_of(df, ["negative_values"], quality.TRADE_RULES).count() == 0
+    # neither a key nor a time is declared
+    small = {"non_negative": ["price"]}
+    assert {r.rule for r in quality.gate_report(df, declaration=small).collect()} == {"missing_columns", "empty", "negative_values"}
+    with pytest.raises(rules.RuleError, match="time"):
+        quality.check(df, "pos", declaration=small)
+    assert quality.check(df.drop("timestamp"), declaration=quality.TRADE_RULES) == [("missing_columns: timestamp", 1)]
+    assert quality.split(df, {})[0].count() == 3
