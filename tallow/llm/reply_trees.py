@@ -1,10 +1,10 @@
 r"""Chat formatting of reply trees, with DataFrame functions alone.
 
-Nodes name their parents. Nodes that follow one another, each the parent of the next, first become runs. Self-joins
-by pointer doubling then give each run the run 1, 2, 4, ... steps above it, and the nodes and the score of its path
-from the root; a path through d runs takes log2(d) rounds, none where whole conversations are one run. Leaves are
-ranked by the score, and the stored jumps of the chosen leaves, taken from the longest down, list every run of each
-chosen path once, and with it its nodes.
+Nodes name their parents. A self-join of the nodes gives every node the one above it, and each further self-join of what
+the last one gave doubles the distance: after log2(depth) rounds there is a table for each power of two, with the scores
+on the way. Leaves climb by these tables from the longest jump down, which gives each branch its score, and branches are
+ranked. The jumps of the chosen leaves, again from the longest down, list every node of each chosen path once. Every join
+is by tree and node, so a large tree is no hot key.
 
 Template of a turn: ``<turn ROLE>TEXT</turn>`` and a line feed. Inside roles and texts ``\`` is written ``\b``, ``<``
 ``\l`` and ``>`` ``\g``, so no text holds a control string, and reading ``\l`` and ``\g`` back before ``\b`` restores it.
@@ -41,15 +41,13 @@ def stretches(ids: Column, numeric: bool) -> Column:
     return F.floor(ids / F.lit(STRETCH)).cast("long") if numeric else F.xxhash64(ids)
 
 
-def runs_of(nodes: DataFrame) -> DataFrame:
-    """Nodes as runs: rows (tree, tree_id, node, parent, role, text, head, k, cum, tail).
+def nodes_of(nodes: DataFrame) -> DataFrame:
+    """Every node once: rows (tree, tree_id, node, parent, role, text, score).
 
-    A node whose parent is the one before it in its stretch goes on with that one's run. ``head`` is the run's first
-    node, k the place in the run from 0, cum the sum of scores up to the node, tail whether the run ends with it.
-    All windows share one shuffle, by stretch, so no tree is a hot group.
+    The window looks for repeated rows within stretches of identifiers, so no tree is a hot group.
     """
     numeric = isinstance(nodes.schema["node_id"].dataType, T.IntegralType)
-    rows = nodes.select(
+    rows = nodes.filter("node_id IS NOT NULL").select(
         # an id that joins also where it is null
         F.coalesce(F.col("tree_id").cast("string"), F.lit("null")).alias("tree"),
         "tree_id",
@@ -60,64 +58,58 @@ def runs_of(nodes: DataFrame) -> DataFrame:
         F.coalesce("score", F.lit(0)).alias("score"),
         stretches(F.col("node_id"), numeric).alias("stretch"),
     )
-    place = Window.partitionBy("tree", "stretch")
-    every = place.orderBy("node", "parent", "role", "text", "score")
-    again = F.lag(F.lit(True)).over(every).isNotNull() & F.col("node").eqNullSafe(F.lag("node").over(every))
-    once = rows.withColumn("again", again).filter("NOT again")
-    by_node = place.orderBy("node")
-    goes_on = F.coalesce(F.lag("node").over(by_node) == F.col("parent"), F.lit(False))
-    numbered = once.withColumn("starts", (~goes_on).cast("int")).withColumn("run", F.sum("starts").over(by_node))
-    run = Window.partitionBy("tree", "stretch", "run").orderBy("node")
-    return numbered.select(
-        "tree",
-        "tree_id",
-        "node",
-        "parent",
-        "role",
-        "text",
-        F.first("node").over(run).alias("head"),
-        (F.row_number().over(run) - 1).cast("long").alias("k"),
-        F.sum("score").over(run).alias("cum"),
-        F.lead(F.lit(False), 1, True).over(run).alias("tail"),
-    )
+    every = Window.partitionBy("tree", "stretch").orderBy("node", "parent", "role", "text", "score")
+    again = F.coalesce(F.col("node") == F.lag("node").over(every), F.lit(False))
+    return rows.withColumn("again", again).filter("NOT again").drop("again", "stretch")
+
 
+def _sum(a: Column, b: Column) -> Column:
+    # a sum around a cycle may leave the range of its type; paths through one are left out in the end
+    return F.coalesce(F.try_add(a, b), a)
 
-def climb(base: DataFrame) -> tuple[DataFrame | None, list[DataFrame]]:
-    """From each run to the root of its tree, by pointer doubling; None where every run starts at a root.
 
-    Rows (tree, head, anc, at, total, depth, hops): the run ``anc`` is ``hops`` runs above, the path leaves it at its
-    place ``at``, and ``total`` and ``depth`` are the score and the nodes of the path above ``head`` as far as that.
-    Each round joins the table with itself, which doubles the hops of all that haven't reached a root. Runs on a
-    cycle, or below one, never do and are left out. The second result holds every round's table.
+def climb(base: DataFrame) -> list[DataFrame]:
+    """The jumps of 1, 2, 4, ... steps: written tables (tree, node, anc, total), until no node has so many above it.
+
+    ``anc`` is the node that many steps above ``node``, ``total`` the sum of the scores from the next one up to it. Each
+    table is the one before it joined with itself. Jumps along a cycle never end, but a path visits no node twice, so there
+    are no more rounds than the number of nodes has bits.
     """
-    above = base.select("tree", F.col("node").alias("parent"), F.col("head").alias("anc"), F.col("k").alias("at"), F.col("cum").alias("total"))
-    firsts = base.filter("k = 0 AND parent IS NOT NULL").select("tree", "head", "parent")
-    steps = firsts.join(above, ["tree", "parent"]).select("tree", "head", "anc", "at", "total", (F.col("at") + 1).alias("depth"), F.lit(1).cast("long").alias("hops"))
-    rows, levels = Observation(), []
-    now = shared.written(steps.observe(rows, F.count(F.lit(1)).alias("n")), "tree-climb")
-    count = rows.get["n"]
-    if not count:
-        return None, []
-    # a path visits no run twice, so more rounds than the runs' number has bits only follow cycles
-    for _ in range(count.bit_length() + 1):
+    above = base.select("tree", F.col("node").alias("parent"), F.col("node").alias("anc"), F.col("score").alias("total"))
+    now = base.filter("parent IS NOT NULL").select("tree", "node", "parent").join(above, ["tree", "parent"]).select("tree", "node", "anc", "total")
+    levels, most = [], None
+    while most is None or len(levels) <= most:
+        rows = Observation()
+        now = shared.written(now.observe(rows, F.count(F.lit(1)).alias("n")), "tree-jumps")
+        count = rows.get["n"]
+        if not count:
+            break
+        most = count.bit_length() if most is None else most
         levels.append(now)
-        up = now.select("tree", F.col("head").alias("anc"), F.col("anc").alias("up"), F.col("at").alias("up_at"), F.col("total").alias("t"), F.col("depth").alias("d"), F.col("hops").alias("h"))
-        moved = now.join(up, ["tree", "anc"], "left").select(
+        up = now.select("tree", F.col("node").alias("anc"), F.col("anc").alias("up"), F.col("total").alias("more"))
+        now = now.join(up, ["tree", "anc"]).select("tree", "node", F.col("up").alias("anc"), _sum(F.col("total"), F.col("more")).alias("total"))
+    return levels
+
+
+def ranked_leaves(base: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Leaves with the score and the number of nodes of their paths: rows (tree, leaf, total, depth); none below a cycle."""
+    parents = base.select("tree", F.col("parent").alias("leaf")).filter("leaf IS NOT NULL")
+    leaves = base.select("tree", F.col("node").alias("leaf"), F.col("node").alias("at"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth"))
+    leaves = leaves.join(parents, ["tree", "leaf"], "left_anti")
+    for step, table in reversed(list(enumerate(levels))):
+        jump = table.select("tree", F.col("node").alias("at"), "anc", F.col("total").alias("more"))
+        leaves = leaves.join(jump, ["tree", "at"], "left").select(
             "tree",
-            "head",
-            F.coalesce("up", "anc").alias("anc"),
-            F.coalesce("up_at", "at").alias("at"),
-            # a sum around a cycle may leave the range of its type; such runs are left out in the end
-            F.coalesce(F.try_add("total", F.coalesce("t", F.lit(0))), "total").alias("total"),
-            (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
-            (F.col("hops") + F.coalesce("h", F.lit(0))).alias("hops"),
-            F.col("up").isNotNull().alias("moved"),
+            "leaf",
+            F.coalesce("anc", "at").alias("at"),
+            F.when(F.col("anc").isNotNull(), _sum(F.col("total"), F.col("more"))).otherwise(F.col("total")).alias("total"),
+            (F.col("depth") + F.when(F.col("anc").isNotNull(), 2**step).otherwise(0)).alias("depth"),
         )
-        rows = Observation()
-        now = shared.written(moved.observe(rows, F.count_if("moved").alias("n")), "tree-climb")
-        if not rows.get["n"]:
-            break
-    return now.filter("NOT moved"), levels
+        leaves = shared.written(leaves, "tree-leaves")
+    if levels:
+        # only a cycle leads on from where all jumps have been taken
+        leaves = leaves.join(levels[0].select("tree", F.col("node").alias("at")), ["tree", "at"], "left_anti")
+    return leaves.select("tree", "leaf", "total", "depth")
 
 
 def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
@@ -128,32 +120,16 @@ def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     smaller leaf goes first. Repeated rows of one node count once (the smallest by parent, role, text). Nodes
     that reach no root, because parents form a cycle, are on no path, nor is a null node_id. A null tree_id is a tree of its own.
     """
-    base = shared.written(runs_of(nodes), "tree-nodes")
-    top, levels = climb(base)
-    leaves = base.filter("tail").select("tree", "node", "head", "k", "cum")
-    if top is not None:
-        firsts = base.filter("k = 0").select("tree", "head", F.col("parent").alias("node"))
-        # runs below a root: those that start at one, and those that climbed to one
-        below = base.filter("k = 0").select("tree", "head").join(levels[0].select("tree", "head"), ["tree", "head"], "left_anti")
-        below = below.withColumns({"total": F.lit(0).cast(top.schema["total"].dataType), "above": F.lit(0).cast("long")})
-        offsets = shared.written(below.unionByName(top.select("tree", "head", "total", F.col("depth").alias("above"))), "tree-offsets")
-        parents = firsts.filter("node IS NOT NULL").select("tree", "node")
-        leaves = leaves.join(parents, ["tree", "node"], "left_anti").join(offsets, ["tree", "head"]).withColumn("cum", F.col("cum") + F.col("total"))
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("cum"), "node"))
-    chosen = leaves.withColumn("branch", rank).filter(F.col("branch") <= branches)
-    # the runs of each chosen path, with the place at which the path leaves them
-    path = chosen.select("tree", F.col("node").alias("leaf"), "branch", "head", F.col("k").alias("upto"))
-    if top is None:
-        path = path.withColumn("above", F.lit(0).cast("long"))
-    else:
-        path = shared.written(path, "tree-path")
-        for step, table in reversed(list(enumerate(levels))):
-            jump = table.filter(F.col("hops") == 2**step).select("tree", "head", "anc", "at")
-            more = path.join(jump, ["tree", "head"]).select("tree", "leaf", "branch", F.col("anc").alias("head"), F.col("at").alias("upto"))
-            path = shared.written(path.unionByName(more), "tree-path")
-        path = path.join(offsets.select("tree", "head", "above"), ["tree", "head"])
-    turns = base.select("tree", "head", "k", "tree_id", "role", "text").join(path, ["tree", "head"]).filter("k <= upto")
-    return turns.select("tree", "leaf", "branch", (F.col("above") + F.col("k") + 1).alias("depth"), "tree_id", "role", "text")
+    base = shared.written(nodes_of(nodes), "tree-nodes")
+    levels = climb(base)
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "leaf"))
+    chosen = ranked_leaves(base, levels).withColumn("branch", rank).filter(F.col("branch") <= branches)
+    path = shared.written(chosen.select("tree", "leaf", "branch", F.col("leaf").alias("node"), "depth"), "tree-path")
+    for step, table in reversed(list(enumerate(levels))):
+        more = path.join(table.select("tree", "node", "anc"), ["tree", "node"])
+        more = more.select("tree", "leaf", "branch", F.col("anc").alias("node"), (F.col("depth") - 2**step).alias("depth"))
+        path = shared.written(path.unionByName(more), "tree-path")
+    return base.select("tree", "node", "tree_id", "role", "text").join(path, ["tree", "node"]).select("tree", "leaf", "branch", "depth", "tree_id", "role", "text")
 
 
 def format_reply_trees(nodes: DataFrame, branches: int = 1, trained: tuple[str, ...] = ("assistant",)) -> DataFrame:

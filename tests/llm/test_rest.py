@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallow.llm import hilbert_shards, html_extraction, language_id, media, registry, reply_trees
+from tallow.llm import hilbert_shards, html_extraction, language_id, media, registry, reply_trees, shared
 from tests.conftest import SF
 from tests.llm.common import ROWS, docs
 from tests.llm.test_dedup import brute_components, normal
@@ -336,7 +336,23 @@ def test_forests_against_brute_force(spark, monkeypatch):
     assert got == brute_paths(rows, 2)
 
 
-def test_long_conversation_takes_few_jobs(spark):
+def test_joins_place_every_node_of_the_conversations(spark):
+    """Nothing but self-joins leads from a turn to its root: every node that has one above it is in a jump, at every power of two."""
+    table = spark.read.parquet(f"{SF}/conversations.parquet")
+    base = shared.written(reply_trees.nodes_of(reply_trees.as_nodes(table.select("conv_id", "turn", "role", "text"))), "test-nodes")
+    turns = {}
+    for r in base.collect():
+        turns.setdefault(r.tree, []).append(r.node)
+    levels = reply_trees.climb(base)
+    assert len(levels) == (max(map(len, turns.values())) - 1).bit_length()
+    for step, level in enumerate(levels):
+        got = {(r.tree, r.node): r.anc for r in level.collect()}
+        assert got == {(tree, sorted(n)[k]): sorted(n)[k - 2**step] for tree, n in turns.items() for k in range(2**step, len(n))}
+    leaves = {r.tree: (r.leaf, r.depth) for r in reply_trees.ranked_leaves(base, levels).collect()}
+    assert leaves == {tree: (max(n), len(n)) for tree, n in turns.items()}
+
+
+def test_long_conversation_takes_rounds_by_the_logarithm(spark):
     turns = spark.range(3000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
     spark.sparkContext.setJobGroup("long", "one long conversation")
     try:
@@ -344,7 +360,8 @@ def test_long_conversation_takes_few_jobs(spark):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert [t.text for t in row.t] == [str(k) for k in range(3000)]
-    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("long")) < 20
+    # 12 doublings, 12 climbs and 12 expansions, each of a few jobs; not one for each turn
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("long")) < 12 * 3 * 5
 
 
 # -- queries and pipeline -------------------------------------------------------------------------------------------
