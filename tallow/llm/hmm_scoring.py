@@ -119,7 +119,9 @@ def corpus_counts(blocks: DataFrame) -> tuple[Vocabulary, DataFrame]:
     tokens[CLASSES] = ends
     tokens[CLASSES + 1 :] = [r["count"] for r in frequent]
     known = {bytes(r["word"]): (k, r["count"]) for k, r in enumerate(frequent)}
-    counts = words.select("block", "pos", "word").join(totals.filter(~often), "word").select("block", "pos", "count")
+    # frequent words leave before the shuffle by word; they are FREQUENT at most
+    rare = words.select("block", "pos", "word").join(F.broadcast(totals.filter(often).select("word")), "word", "left_anti")
+    counts = rare.join(totals.filter(~often), "word").select("block", "pos", "count")
     return Vocabulary(known, tokens, distinct, total, sums[1] + (ends > 0), ends), counts
 
 

@@ -242,3 +242,15 @@ def test_language_against_brute_force(spark, model):
     for text, p, s in zip(texts, pred, score, strict=True):
         lang, share = brute_language(text, model)
         assert p == lang and abs(s - share) < 1e-9
+
+
+def test_frequent_words_leave_before_the_shuffle(spark):
+    """The rows that are dealt out by word are those of rare words alone."""
+    blocks = hmm_scoring.text_blocks(docs(spark), F.lit(False), "doc_id", "text")
+    vocabulary, counts = hmm_scoring.corpus_counts(blocks)
+    assert vocabulary.frequent
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    anti = plan.index("LeftAnti")
+    assert plan.index("Inner") < anti and "broadcast" in plan[anti:]
+    held = {(r.block, r.pos): bytes(r.word) for r in blocks.select("block", F.posexplode("words").alias("pos", "word")).collect()}
+    assert all(held[r.block, r.pos] not in vocabulary.frequent for r in counts.collect())
