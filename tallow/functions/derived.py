@@ -89,6 +89,33 @@ def volume_profile(trades: DataFrame, bin_size: float, share: float = 0.7) -> Da
     return bins.withColumns({"is_poc": F.row_number().over(ranked) == 1, "in_value_area": before < share * total})
 
 
+def value_area(trades: DataFrame, bin_size: float, share: float = 0.7) -> DataFrame:
+    """The contiguous price range of each market that holds ``share`` of the quantity: poc, value_low, value_high (bins), volume, share.
+
+    It grows from the point of control (the lowest of several) by the larger of the two neighbouring bins, the lower one
+    where they tie, until it holds the share. Bins without a trade are skipped. A market's bins are one row, not its trades.
+    """
+    price_bin = (F.floor(F.col("price") / bin_size) * bin_size).cast("double").alias("price_bin")
+    bins = trades.groupBy("exchange", "symbol", price_bin).agg(F.sum("quantity").alias("volume"))
+    markets = bins.groupBy("exchange", "symbol").agg(F.array_sort(F.collect_list(F.struct("price_bin", "volume"))).alias("bins"), F.sum("volume").alias("total"))
+    markets = markets.select("exchange", "symbol", "total", F.col("bins.price_bin").alias("prices"), F.col("bins.volume").alias("volumes"))
+    most = F.array_max("volumes")
+    state = lambda low, high, held: F.struct(low.cast("long").alias("low"), high.cast("long").alias("high"), held.alias("held"))
+    beside = lambda place: F.coalesce(F.get("volumes", place.cast("int")), F.lit(-1.0))
+
+    def grow(s, _):
+        below, above = beside(s["low"] - 1), beside(s["high"] + 1)
+        wider = F.when(below >= above, state(s["low"] - 1, s["high"], s["held"] + below)).otherwise(state(s["low"], s["high"] + 1, s["held"] + above))
+        return F.when((s["held"] >= share * F.col("total")) | ((below < 0) & (above < 0)), s).otherwise(wider)
+
+    poc = F.array_position("volumes", most) - 1
+    grown = markets.withColumn("area", F.aggregate("volumes", state(poc, poc, most), grow))
+    at = lambda place: F.get("prices", place.cast("int"))
+    return grown.select(
+        "exchange", "symbol", at(poc).alias("poc"), at(F.col("area.low")).alias("value_low"), at(F.col("area.high")).alias("value_high"), F.col("area.held").alias("volume"), F.try_divide("area.held", "total").alias("share")
+    )
+
+
 def orderflow_delta(trades: DataFrame, timeframe: str = "1h") -> DataFrame:
     """Bought less sold quantity of each bar, and its running sum."""
     from tallow.operators.bars import bar_window

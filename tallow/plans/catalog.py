@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallow.functions import derived
+from tallow.functions import derived, structure
 from tallow.operators import bars, dedupe, gaps, quality, rules
 from tallow.schema import CANDLE_KEY, SERIES, TRADE_KEY
 from tallow.scratch import application_dir
@@ -632,23 +632,48 @@ def _realized(spark, sf_dir):
     return rounded(derived.realized_volatility(hourly(spark, sf_dir)), "realized_volatility", digits=6)
 
 
-@query(
-    "swing_points",
-    f"""WITH {HOURLY_SQL}, around AS (
+_SWINGS_SQL = f"""{HOURLY_SQL}, around AS (
   SELECT *, high > lag(high, 2) OVER w AND high > lag(high) OVER w AND high > lead(high) OVER w AND high > lead(high, 2) OVER w AS is_high,
     low < lag(low, 2) OVER w AND low < lag(low) OVER w AND low < lead(low) OVER w AND low < lead(low, 2) OVER w AS is_low
   FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY open_time)
 ), swings AS (
   SELECT exchange, symbol, timeframe, open_time, 'high' AS kind, high AS price FROM around WHERE is_high
   UNION ALL SELECT exchange, symbol, timeframe, open_time, 'low', low FROM around WHERE is_low
-), before AS (SELECT *, lag(price) OVER (PARTITION BY symbol, kind ORDER BY open_time) AS last_price FROM swings)
-SELECT exchange, symbol, timeframe, open_time, kind, price, CASE WHEN price > last_price THEN CASE kind WHEN 'high' THEN 'HH' ELSE 'HL' END
-  WHEN price < last_price THEN CASE kind WHEN 'high' THEN 'LH' ELSE 'LL' END WHEN last_price IS NOT NULL THEN 'EQ' END AS structure FROM before""",
-)
+), before AS (SELECT *, lag(price) OVER (PARTITION BY symbol, kind ORDER BY open_time) AS last_price FROM swings),
+swing_points AS (SELECT exchange, symbol, timeframe, open_time, kind, price, CASE WHEN price > last_price THEN CASE kind WHEN 'high' THEN 'HH' ELSE 'HL' END
+  WHEN price < last_price THEN CASE kind WHEN 'high' THEN 'LH' ELSE 'LL' END WHEN last_price IS NOT NULL THEN 'EQ' END AS structure FROM before)"""
+
+
+@query("swing_points", f"WITH {_SWINGS_SQL} SELECT * FROM swing_points")
 def _swings(spark, sf_dir):
     return derived.swing_points(hourly(spark, sf_dir))
 
 
+def _structure_sql() -> str:
+    """The state machine, swing by swing."""
+    after = " ".join(f"WHEN s.structure = '{t}' AND m.trend_after = '{a}' THEN '{b}'" for t, row in structure.TABLES.items() for a, b in zip(structure.STATES, row, strict=True))
+    return f"""WITH RECURSIVE {_SWINGS_SQL},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY open_time, kind) AS k FROM swing_points),
+machine AS (
+  SELECT symbol, CAST(0 AS BIGINT) AS k, 'none' AS trend_before, 'none' AS trend_after FROM (SELECT DISTINCT symbol FROM numbered)
+  UNION ALL SELECT s.symbol, s.k, m.trend_after, CASE {after} ELSE m.trend_after END FROM machine m JOIN numbered s ON s.symbol = m.symbol AND s.k = m.k + 1
+)
+SELECT n.exchange, n.symbol, n.timeframe, n.open_time, n.kind, n.price, n.structure, trend_before, trend_after FROM numbered n JOIN machine USING (symbol, k)"""
+
+
+@query("market_structure", _structure_sql())
+def _structure(spark, sf_dir):
+    return structure.market_structure(hourly(spark, sf_dir))
+
+
+_BROKEN_SQL = "CASE WHEN trend_before = 'down_weak' AND trend_after = 'up' THEN 'up' WHEN trend_before = 'up_weak' AND trend_after = 'down' THEN 'down' END"
+
+
+@query("structure_breaks", f"SELECT *, {_BROKEN_SQL} AS direction FROM ({_structure_sql()}) WHERE {_BROKEN_SQL} IS NOT NULL")
+def _breaks(spark, sf_dir):
+    return structure.structure_breaks(hourly(spark, sf_dir))
+
+
 @query(
     "volume_profile",
     f"""WITH {TRADES_SQL}, bins AS (SELECT exchange, symbol, CAST(floor(price / 10) * 10 AS DOUBLE) AS price_bin, sum(quantity) AS volume FROM trades GROUP BY ALL)
@@ -660,6 +685,24 @@ def _profile(spark, sf_dir):
     return derived.volume_profile(trades(spark, sf_dir), 10.0)
 
 
+@query(
+    "value_area",
+    f"""WITH RECURSIVE {TRADES_SQL}, bins AS (SELECT exchange, symbol, CAST(floor(price / 10) * 10 AS DOUBLE) AS price_bin, sum(quantity) AS volume FROM trades GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY price_bin) AS k, row_number() OVER (PARTITION BY symbol ORDER BY volume DESC, price_bin) AS r, sum(volume) OVER (PARTITION BY symbol) AS total FROM bins),
+grown AS (
+  SELECT exchange, symbol, price_bin AS poc, k AS low, k AS high, volume AS held, total FROM placed WHERE r = 1
+  UNION ALL SELECT g.exchange, g.symbol, g.poc, CASE WHEN coalesce(b.volume, -1) >= coalesce(a.volume, -1) THEN g.low - 1 ELSE g.low END,
+    CASE WHEN coalesce(b.volume, -1) >= coalesce(a.volume, -1) THEN g.high ELSE g.high + 1 END, g.held + greatest(coalesce(a.volume, -1), coalesce(b.volume, -1)), g.total
+  FROM grown g LEFT JOIN placed b ON b.symbol = g.symbol AND b.k = g.low - 1 LEFT JOIN placed a ON a.symbol = g.symbol AND a.k = g.high + 1
+  WHERE g.held < 0.7 * g.total AND (a.k IS NOT NULL OR b.k IS NOT NULL)
+), done AS (SELECT * FROM grown QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY high - low DESC) = 1)
+SELECT d.exchange, d.symbol, poc, l.price_bin AS value_low, h.price_bin AS value_high, held AS volume, held / d.total AS share
+FROM done d JOIN placed l ON l.symbol = d.symbol AND l.k = d.low JOIN placed h ON h.symbol = d.symbol AND h.k = d.high""",
+)
+def _value_area(spark, sf_dir):
+    return derived.value_area(trades(spark, sf_dir), 10.0)
+
+
 @query(
     "orderflow_delta",
     f"""WITH {TRADES_SQL}, deltas AS (SELECT exchange, symbol, date_trunc('hour', timestamp) AS open_time, sum(CASE WHEN trade_side = 'buy' THEN quantity ELSE -quantity END) AS delta FROM trades GROUP BY ALL)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallow.functions import derived
+from tallow.functions import derived, structure
 from tallow.operators import gaps, halo
 from tallow.plans import catalog
 from tallow.schema import SERIES
@@ -103,3 +103,35 @@ def on_grid(rows):
 def test_holes_need_no_grid(spark):
     shown = gaps.gap_ranges(catalog.hourly(spark, SF), "1h")._jdf.queryExecution().executedPlan().toString()
     assert "sequence" not in shown
+
+
+def test_structure_in_any_stretches(spark, monkeypatch):
+    df = wild(spark, 240, seed=9)
+    rows = {}
+    for stretch in (3, 40, 4096):
+        monkeypatch.setattr(halo, "STRETCH", stretch)
+        rows[stretch] = sorted(structure.market_structure(df).collect())
+    assert rows[3] == rows[40] == rows[4096] and len({r.trend_after for r in rows[3]}) == 5
+    # the same machine, swing by swing
+    for symbol in "AB":
+        state = "none"
+        for r in sorted((r for r in rows[3] if r.symbol == symbol), key=lambda r: (r.open_time, r.kind)):
+            assert r.trend_before == state
+            state = structure.TABLES[r.structure][structure.STATES.index(state)] if r.structure in structure.TABLES else state
+            assert r.trend_after == state
+    broken = structure.structure_breaks(df).collect()
+    assert {(r.trend_before, r.trend_after, r.direction) for r in broken} == {("down_weak", "up", "up"), ("up_weak", "down", "down")}
+    assert structure.market_structure(df.limit(0)).count() == 0
+
+
+def test_value_area(spark):
+    def area(volumes, share=0.7):
+        rows = [("e", "s", 10.0 * k + 1, float(v)) for k, v in enumerate(volumes) if v is not None]
+        return derived.value_area(spark.createDataFrame(rows, "exchange string, symbol string, price double, quantity double"), 10.0, share).first()
+
+    # 10 of 30, then the neighbours 6, 5 and 4; the far bin of 5 is left out
+    assert area([5, 0, 4, 10, 6, 5])[2:6] == (30.0, 30.0, 50.0, 21.0)
+    assert area([3, 9, 3, 9])[2:6] == (10.0, 0.0, 30.0, 24.0)  # the lowest point of control, ties to the lower side
+    assert area([1, None, 1], 0.9)[2:6] == (0.0, 0.0, 20.0, 2.0)  # a bin without a trade
+    assert area([7])[2:] == (0.0, 0.0, 0.0, 7.0, 1.0)
+    assert area([0, 0])[5] == 0.0
