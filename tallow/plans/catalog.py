@@ -16,7 +16,7 @@ from tallow.functions import derived, structure
 from tallow.operators import bars, dedupe, gaps, quality, rules
 from tallow.schema import CANDLE_KEY, SERIES, TRADE_KEY
 from tallow.scratch import application_dir
-from tallow.sources import adapters, backfill, decode, lake
+from tallow.sources import adapters, backfill, decode, lake, states
 from tallow.streaming import alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,6 +504,31 @@ def _trade_lake_roundtrip(spark, sf_dir):
     return lake.read_trades(spark, root).select(*TRADE_KEY, "price", "trade_side", "year", "month", "day")
 
 
+@query(
+    "lake_extent",
+    f"WITH {HOURLY_SQL} SELECT exchange, symbol, timeframe, min(open_time) AS first_open_time, max(open_time) AS last_open_time, count(*) AS candle_count FROM candles "
+    "WHERE (CAST(epoch(open_time) AS BIGINT) // 3600) % 5 = 0 OR (CAST(epoch(open_time) AS BIGINT) // 3600) % 7 <> 0 GROUP BY ALL",
+)
+def _lake_extent(spark, sf_dir):
+    """Series' extents out of the lake's states, after two upserts."""
+    df, h, root = hourly(spark, sf_dir), _hour_no(), _own_lake(spark)
+    for part in (df.filter(h % 7 != 0), df.filter(h % 5 == 0)):
+        lake.upsert_candles(_with_zone(part, "open_time", "close_time", "ingested_at"), root, states=[states.extent()])
+    found = states.read_state(spark, root, states.extent())
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_open_time", "last_open_time")})
+
+
+@query(
+    "lake_profile",
+    f"WITH {TRADES_SQL} SELECT exchange, symbol, CAST(floor(price / 10) * 10 AS DOUBLE) AS price_bin, sum(quantity) AS volume FROM trades GROUP BY ALL",
+)
+def _lake_profile(spark, sf_dir):
+    """Volume profiles out of the states of the days of trades."""
+    root = _own_lake(spark)
+    lake.upsert_trades(_with_zone(trades(spark, sf_dir), "timestamp", "ingested_at"), root, states=[states.profile(10.0)])
+    return states.read_state(spark, root, states.profile(10.0))
+
+
 @query(
     "partition_row_counts",
     f"WITH {HOURLY_SQL} SELECT exchange, symbol, timeframe, strftime(open_time, '%Y') AS year, strftime(open_time, '%m') AS month, count(*) AS row_count FROM candles GROUP BY ALL",

@@ -7,6 +7,7 @@ month=07 into a number, after which a write would make a second directory for th
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
@@ -19,6 +20,7 @@ from tallow.operators.dedupe import keep_last, merge_latest
 from tallow.operators.quality import CANDLE_RULES, TRADE_RULES, enforce
 from tallow.schema import CANDLE_KEY, CANDLE_PARTITIONS, CANDLES, TRADE_KEY, TRADE_PARTITIONS, TRADES
 from tallow.settings import config_value, load_config
+from tallow.sources.states import State, renew
 
 
 class LakeError(RuntimeError):
@@ -131,12 +133,12 @@ def touched_only(df: DataFrame, touched: DataFrame, partitions: tuple[str, ...])
     return df.filter(reduce(lambda a, b: a & b, near)).join(touched.select(*partitions), list(partitions), "left_semi")
 
 
-def upsert(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, allow_empty: bool = False) -> DataFrame:
+def upsert(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, allow_empty: bool = False, states: Sequence[State] = ()) -> DataFrame:
     """Merges rows into the lake and returns the partitions written, with their number of rows (a table kept in its ``_written``).
 
     The input is computed once, into a staging folder beside the lake, and what lies there is what gets checked and
     merged. Only partitions that it touches are read and replaced, after the merged rows
-    passed the gate as well; replaying an input changes nothing. Nothing is lost where the replacement fails: the
+    passed the gate as well, and so are those partitions' parts of ``states``; replaying an input changes nothing. Nothing is lost where the replacement fails: the
     merged rows stay in the staging folder, which the LakeError names.
     """
     spark = new.sparkSession
@@ -162,8 +164,9 @@ def upsert(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, allow_empty
         raise
     try:
         _replace(merged, root, dataset)
+        renew(merged, root, dataset.partitions, states)
     except Exception as e:
-        raise LakeError(f"partitions of {root} were not all replaced; the merged rows are kept in {staging}/merged") from e
+        raise LakeError(f"partitions of {root}, or their states, were not all replaced; the merged rows are kept in {staging}/merged") from e
     # below a folder that readers of the lake skip
     report = f"{root.rstrip('/')}/_written/{uuid.uuid4().hex}"
     merged.groupBy(*dataset.partitions).agg(F.count(F.lit(1)).alias("row_count")).write.parquet(report)
@@ -184,10 +187,15 @@ def _replace(merged: DataFrame, root: str, dataset: Dataset) -> None:
     )
 
 
-def upsert_candles(candles: DataFrame, root: str | None = None, allow_empty: bool = False) -> DataFrame:
-    return upsert(candles, root or configured_root(CANDLE_SET), CANDLE_SET, allow_empty)
+def upsert_candles(candles: DataFrame, root: str | None = None, allow_empty: bool = False, states: Sequence[State] = ()) -> DataFrame:
+    return upsert(candles, root or configured_root(CANDLE_SET), CANDLE_SET, allow_empty, states)
 
 
-def upsert_trades(trades: DataFrame, root: str | None = None, allow_empty: bool = False) -> DataFrame:
+def upsert_trades(trades: DataFrame, root: str | None = None, allow_empty: bool = False, states: Sequence[State] = ()) -> DataFrame:
     """As for candles; of trades with one identifier in the input, the later ingested counts."""
-    return upsert(keep_last(trades, key=TRADE_KEY), root or configured_root(TRADE_SET), TRADE_SET, allow_empty)
+    return upsert(keep_last(trades, key=TRADE_KEY), root or configured_root(TRADE_SET), TRADE_SET, allow_empty, states)
+
+
+def rebuild_states(spark: SparkSession, root: str, states: Sequence[State], dataset: Dataset = CANDLE_SET) -> None:
+    """Computes states of a whole lake, where they are new or an upsert failed between data and states."""
+    renew(read(spark, root, dataset), root, dataset.partitions, states)

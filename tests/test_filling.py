@@ -8,8 +8,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tallow.operators import gaps
-from tallow.sources import backfill, lake
-from tallow.streaming import alerts
+from tallow.sources import backfill, lake, states
+from tallow.streaming import alerts, gate
 from tests.test_lake_and_feed import HOUR, START, wire
 from tests.test_quality import candles, hour
 
@@ -102,3 +102,52 @@ def test_alerts_of_a_table(spark):
     at = lambda k: datetime(2026, 1, 1) + timedelta(hours=k)
     assert got == {("BTCUSDT", at(1), at(3)), ("BTCUSDT", at(4), at(6)), ("C", at(2), at(4))}
     assert alerts.silent_ranges(df.filter(F.lit(False)), "1h").count() == 0
+
+
+def test_states_follow_the_lake(spark, tmp_path):
+    """After an upsert of one partition the answer holds, and no other partition has been read."""
+    root, state = str(tmp_path / "lake"), states.extent()
+    lake.upsert_candles(candles(spark, *(hour(k) for k in (1, 2, 800, 801)), hour(5, symbol="1e5")), root, states=[state])
+    whole = lambda: sorted(map(tuple, gaps.series_extent(lake.read_candles(spark, root)).collect()))
+    answer = lambda: sorted(map(tuple, states.read_state(spark, root, state).collect()))
+    assert answer() == whole() and len(answer()) == 2
+    february = [os.path.join(d, f) for d, _, names in os.walk(root) for f in names if "month=02" in d and f.endswith(".parquet") and "_states" not in d]
+    kept = {f: open(f, "rb").read() for f in february}
+    for f in february:
+        with open(f, "wb") as broken:
+            broken.write(b"not to be read")
+    lake.upsert_candles(candles(spark, hour(0), hour(2, close=90100.0)), root, states=[state])
+    got = answer()
+    for f, data in kept.items():
+        with open(f, "wb") as whole_again:
+            whole_again.write(data)
+        os.remove(os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc"))
+    assert got == whole() and [r[5] for r in got if r[1] == "BTCUSDT"] == [5]
+    lake.upsert_candles(candles(spark, hour(900)), root)  # without its state
+    assert answer() != whole()
+    lake.rebuild_states(spark, root, [state])
+    assert answer() == whole()
+
+
+def test_gate_of_a_stream(spark, tmp_path):
+    """Good rows, bad rows and counts, and the last batch replayed after a lost commit."""
+    source, root, bad = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "bad")
+    source.mkdir()
+    seen = []
+
+    def run():
+        stream = spark.readStream.schema(candles(spark).schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+        gate.gated_stream(stream, root, bad, str(tmp_path / "checkpoint"), listener=lambda k, counts: seen.append((k, counts))).awaitTermination()
+        rows = sorted((r.symbol, r.open_time.hour, r.close) for r in lake.read_candles(spark, root).collect())
+        return rows, sorted((r.open_time.hour, tuple(r.broken)) for r in spark.read.parquet(bad).collect())
+
+    candles(spark, hour(0), hour(1, close=None), hour(2)).coalesce(1).write.mode("append").parquet(str(source))
+    run()
+    candles(spark, hour(2, close=90100.0), hour(2, close=90100.0), hour(3, high=1.0), hour(4, base_volume=-1.0)).coalesce(1).write.mode("append").parquet(str(source))
+    first = run()
+    assert first[0] == [("BTCUSDT", 0, 90500.0), ("BTCUSDT", 2, 90100.0)]
+    assert [h for h, _ in first[1]] == [1, 3, 4] and first[1][0][1] == ("missing_values",) and first[1][2][1] == ("negative_values",)
+    assert [(k, c["rows"], c["quarantined"], c["missing_values"]) for k, c in seen] == [(0, 3, 1, 1), (1, 4, 2, 0)]
+    for lost in ("1", ".1.crc"):
+        os.remove(tmp_path / "checkpoint" / "commits" / lost)
+    assert run() == first and [k for k, _ in seen] == [0, 1, 1]
