@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tallow.operators.dedupe import keep_last, merge_latest
 from tallow.operators.quality import CANDLE_RULES, TRADE_RULES, enforce
-from tallow.schema import CANDLE_KEY, CANDLE_PARTITIONS, CANDLES, TRADE_KEY, TRADE_PARTITIONS, TRADES
+from tallow.schema import CANDLE_KEY, CANDLE_PARTITIONS, CANDLES, TRADE_KEY, TRADE_PARTITIONS, TRADES, drift
 from tallow.settings import config_value, load_config
 from tallow.sources.states import State, renew
 
@@ -104,6 +104,15 @@ def read_trades(spark: SparkSession, root: str | None = None) -> DataFrame:
     return read(spark, root or configured_root(TRADE_SET), TRADE_SET)
 
 
+def schema_drift(spark: SparkSession, root: str, dataset: Dataset = CANDLE_SET, leaf: str | None = None) -> DataFrame:
+    """Rows (column, change, declared, found) of what a stored file's footer has otherwise than the declaration: added, lost, retyped.
+
+    It looks at a file of the lake, or of the folder ``leaf``; partition columns lie in paths and aren't compared.
+    """
+    found = spark.read.parquet(leaf or root).schema
+    return spark.createDataFrame(drift(dataset.schema, found, (*dataset.partitions, *_PARTS)), "column string, change string, declared string, found string")
+
+
 def read_nanosecond_leaf(spark: SparkSession, path: str) -> DataFrame:
     """Files whose times are nanoseconds, which Spark reads as integers only when told to: in a session of their own."""
     own = spark.newSession()

@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallow.operators import gaps
+from tallow.schema import CANDLES, DECLARED_CANDLES, SchemaError, load_fields
 from tallow.sources import backfill, lake, states
 from tallow.streaming import alerts, gate
 from tests.test_lake_and_feed import HOUR, START, wire
@@ -151,3 +153,20 @@ def test_gate_of_a_stream(spark, tmp_path):
     for lost in ("1", ".1.crc"):
         os.remove(tmp_path / "checkpoint" / "commits" / lost)
     assert run() == first and [k for k, _ in seen] == [0, 1, 1]
+
+
+def test_declared_schemas_and_drift(spark, tmp_path):
+    assert CANDLES["close"].metadata == {"unit": "quote_currency"} and not DECLARED_CANDLES["close"].nullable and CANDLES["close"].nullable
+    root = str(tmp_path / "lake")
+    lake.upsert_candles(candles(spark, hour(1)), root)
+    assert lake.schema_drift(spark, root).count() == 0
+    leaf = str(tmp_path / "leaf")
+    candles(spark).drop("close").withColumn("trade_count", F.lit("7")).withColumn("spread", F.lit(1.0)).write.parquet(leaf)
+    got = {tuple(r) for r in lake.schema_drift(spark, root, leaf=leaf).collect()}
+    assert got == {("close", "lost", "double", None), ("trade_count", "retyped", "bigint", "string"), ("spread", "added", None, "double")}
+    for text in ("a: 1", "fields: {a: {type: money}}", "fields: {a: {type: long, units: x}}", "fields: [a]", "a: ["):
+        (tmp_path / "d.yaml").write_text(text)
+        with pytest.raises(SchemaError):
+            load_fields(str(tmp_path / "d.yaml"))
+    (tmp_path / "d.yaml").write_text("fields: {a: {type: long, unit: count}, b: {type: date, nullable: false}}")
+    assert load_fields(str(tmp_path / "d.yaml")).simpleString() == "struct<a:bigint,b:date>"
