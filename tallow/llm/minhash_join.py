@@ -10,13 +10,15 @@
    has from which the others were made. Collisions of a pair are counted over all coordinates; pairs with `matches`
    or more are compared on their full sets and linked. Lists whose members the links don't yet join do so again, with
    a pivot outside of their largest component, PIVOTS times in all.
-5. What stays open: in each list, the members outside of its largest component meet the whole list, in blocks. Only
-   pairs that no link joins are compared, under the same count of collisions, so each pair of a list is either joined
-   already or compared. Members within the largest component, nearly all of a large group, don't meet one another.
+5. What stays open: in each list, the members outside of its largest component meet the whole list, in blocks. Members
+   within the largest component, nearly all of a large group, don't meet one another. Blocks first meet by signatures:
+   a pair that no link joins counts in its first common list alone, under the same count of collisions and a longer
+   sketch of SKETCH bytes. Only members that a pair is left for bring their full sets, so each pair of a list is either
+   joined already, ruled out, or compared once.
 6. Components follow by passing the smallest identifier along the links, with pointer jumping.
 
 `matches` lies 4.3 standard deviations below what a pair right at the threshold shows, so a few such pairs in 100,000
-are missed; pairs above it are missed still less often. All that is reported has been confirmed exactly.
+are missed; pairs above it are missed still less often. The sketch adds less than one in a hundred million. All that is reported has been confirmed exactly.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from pyspark.sql import functions as F
 from . import shared
 
 COORDINATES, SPREAD = 64, 4.3
+#: Bytes of the longer signature that pairs of open lists must agree in, and standard deviations allowed below the threshold.
+SKETCH, SKETCH_SPREAD = 512, 6.0
 #: Rounds of pivots.
 PIVOTS = 1
 #: In lists that pivots leave open: members outside of the largest component in a block, members of the whole list, and their shingles.
@@ -42,20 +46,23 @@ OUTSIDE, BLOCK, BLOCK_SHINGLES = 512, 512, 500_000
 TILE = 256
 #: Bits of the filter that keeps texts nobody asks for out of a shuffle; 4 MB when it is full.
 FILTER_BITS = 1 << 25
-#: Shingle hashes that meet all coordinates at once, which bounds memory.
-CHUNK = 8192
+#: Shingle hashes that meet all coordinates at once, which bounds memory, and pairs whose sketches do.
+CHUNK, PAIRS = 8192, 32768
 
 
-
-def least_matches(percent: int, coordinates: int = COORDINATES) -> int:
-    """Coordinates in which a pair right at the threshold agrees, less SPREAD standard deviations."""
+def least_matches(percent: int, coordinates: int = COORDINATES, spread: float = SPREAD) -> int:
+    """Coordinates in which a pair right at the threshold agrees, less ``spread`` standard deviations."""
     p = percent / 100
-    return max(1, int(coordinates * p - SPREAD * (coordinates * p * (1 - p)) ** 0.5))
+    return max(1, int(coordinates * p - spread * (coordinates * p * (1 - p)) ** 0.5))
+
 
+def _hashes(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and summands of n hash functions."""
+    rng = np.random.default_rng(seed)
+    return rng.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
-_rng = np.random.default_rng(20)
-_MULTIPLY = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+
+_SIGNATURE, _SKETCH = _hashes(20, COORDINATES), _hashes(21, SKETCH)
 
 
 class Shingler:
@@ -78,13 +85,24 @@ class Shingler:
         return np.unique(out ^ (out >> np.uint64(32)))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """For each coordinate the smallest of the shingles' values under its own hash."""
-    low = np.full(COORDINATES, np.iinfo(np.uint32).max, np.uint32)
-    for k in range(0, len(shingles), CHUNK):
-        x = shingles[k : k + CHUNK, None] * _MULTIPLY + _ADD
+def minima(shingles: np.ndarray, hashes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each hash function the smallest of the shingles' values."""
+    multiply, add = hashes
+    low = np.full(len(add), np.iinfo(np.uint32).max, np.uint32)
+    step = CHUNK * COORDINATES // len(add)
+    for k in range(0, len(shingles), step):
+        x = shingles[k : k + step, None] * multiply + add
         low = np.minimum(low, (x >> np.uint64(32)).astype(np.uint32).min(axis=0))
-    return low.view(np.int32)
+    return low
+
+
+def signature(shingles: np.ndarray) -> np.ndarray:
+    return minima(shingles, _SIGNATURE).view(np.int32)
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """A byte of each of SKETCH minima: sets agree in at least the share of bytes that their similarity makes likely."""
+    return minima(shingles, _SKETCH).astype(np.uint8).tobytes()
 
 
 def text_key(text_col: str) -> Column:
@@ -114,7 +132,7 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
 
 
 def postings(reps: DataFrame, matches: int) -> DataFrame:
-    """Rows (token, doc, length, weight, popular) of prefix coordinates that are shared.
+    """Rows (token, doc, n_shingles, length, weight, popular) of prefix coordinates that are shared.
 
     length and weight are the texts and the shingles of the token's list, popular the sum of the lengths of all the
     doc's lists.
@@ -122,11 +140,11 @@ def postings(reps: DataFrame, matches: int) -> DataFrame:
     token = F.transform("sig", lambda v, k: F.shiftleft(k.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
     posted = reps.select("doc", "n_shingles", F.explode(token).alias("token"))
     lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.sum("n_shingles").alias("weight")).filter("length > 1")
-    shared_tokens = posted.drop("n_shingles").join(lists, "token").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("length", "token", "weight"))).alias("tokens"), F.sum("length").alias("popular"))
+    shared_tokens = posted.join(lists, "token").groupBy("doc").agg(F.first("n_shingles").alias("n_shingles"), F.array_sort(F.collect_list(F.struct("length", "token", "weight"))).alias("tokens"), F.sum("length").alias("popular"))
     kept = shared_tokens.filter(F.size("tokens") >= matches)
     # coordinates that nobody shares come first in the prefix and need no posting
-    prefix = kept.select("doc", "popular", F.explode(F.slice("tokens", 1, F.size("tokens") - (matches - 1))).alias("t"))
-    return shared.written(prefix.select(F.col("t.token").alias("token"), "doc", F.col("t.length").alias("length"), F.col("t.weight").alias("weight"), "popular"), "postings")
+    prefix = kept.select("doc", "n_shingles", "popular", F.explode(F.slice("tokens", 1, F.size("tokens") - (matches - 1))).alias("t"))
+    return shared.written(prefix.select(F.col("t.token").alias("token"), "doc", "n_shingles", F.col("t.length").alias("length"), F.col("t.weight").alias("weight"), "popular"), "postings")
 
 
 def pivot_pairs(lists: DataFrame) -> DataFrame:
@@ -144,14 +162,15 @@ def pivot_pairs(lists: DataFrame) -> DataFrame:
 def unjoined(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of lists that still have members of several components, with roots anew.
 
-    outside tells whether a row is outside of the largest component of its list, n_outside how many are. A list of
-    two is done after one pivot.
+    outside tells whether a row is outside of the largest component of its list, n_outside how many are, and
+    outside_weight how many shingles these have. A list of two is done after one pivot.
     """
-    placed = lists.filter("length > 2").select("token", "doc", "length", "weight", "popular").join(roots.withColumnRenamed("node", "doc"), "doc", "left")
+    placed = lists.filter("length > 2").select("token", "doc", "n_shingles", "length", "weight", "popular").join(roots.withColumnRenamed("node", "doc"), "doc", "left")
     placed = placed.withColumn("root", F.coalesce("root", "doc"))
-    parts = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-    several = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    several = shared.written(several.select("token", F.col("top.root").alias("main"), (F.col("n") - F.col("top.n")).alias("n_outside")), "several")
+    parts = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    several = parts.groupBy("token").agg(F.max(F.struct("n", "root", "w")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    outside = [(F.col(c) - F.col(f"top.{c}")).alias(name) for c, name in (("n", "n_outside"), ("w", "outside_weight"))]
+    several = shared.written(several.select("token", F.col("top.root").alias("main"), *outside), "several")
     return shared.written(placed.join(several, "token").withColumn("outside", F.col("root") != F.col("main")).drop("main"), "open-lists")
 
 
@@ -163,10 +182,10 @@ def colliding(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
     return shared.written(both.filter(equal >= matches).select("a", "b"), "pairs")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows (doc, shingles) for the wanted (doc, id, digest): sets are made again from the texts, not kept for all.
+def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str, sketched: bool = False) -> DataFrame:
+    """Rows (doc, shingles, sketch) for the wanted (doc, id, digest): sets are made again from the texts, not kept for all.
 
-    Texts are found by identifier and taken where their set has the digest.
+    Texts are found by identifier and taken where their set has the digest. The sketch is null where nobody asks for it.
     """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,16 +193,18 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, te
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                sets = [shingler(t.as_py()).tobytes() for t in part.column(2)]
-                same = [hashlib.md5(s).digest() == d.as_py() for s, d in zip(sets, part.column(1), strict=True)]
-                found = pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["doc", "shingles"])
+                sets = [shingler(t.as_py()) for t in part.column(2)]
+                same = [hashlib.md5(s.tobytes()).digest() == d.as_py() for s, d in zip(sets, part.column(1), strict=True)]
+                sketches = [sketch(s) if sketched else None for s in sets]
+                columns = [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(sketches, pa.binary())]
+                found = pa.RecordBatch.from_arrays(columns, ["doc", "shingles", "sketch"])
                 yield found.filter(pa.array(same, pa.bool_()))
 
     texts = docs.select(F.col(id_col).cast("long").alias("text_id"), shared.text_of(text_col).alias("text"))
     texts = _likely(texts, wanted)
     rows = texts.join(wanted, F.col("text_id").eqNullSafe(F.col("id"))).select("doc", "digest", "text")
     # repeated rows give a set again
-    return shared.written(shared.map_arrow(rows, made, "doc long, shingles binary").dropDuplicates(["doc"]), "shingle-sets")
+    return shared.written(shared.map_arrow(rows, made, "doc long, shingles binary, sketch binary").dropDuplicates(["doc"]), "shingle-sets")
 
 
 def _likely(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -250,34 +271,94 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return [(find(x), x) for x in root if find(x) != x]
 
 
-def open_links(lists: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
-    """Links (a, b) within open lists: a spanning forest of what is confirmed between each two blocks of a list."""
-    chunks = F.ceil(F.col("n_outside") / OUTSIDE).cast("int")
+class Block:
+    """The rows of one list that meet: those that ask, and those that are asked."""
+
+    def __init__(self, rows: pd.DataFrame, matches: int):
+        self.doc, self.root, self.outside, self.open = (rows[c].to_numpy() for c in ("doc", "root", "outside", "open"))
+        self.sig = np.stack(rows["sig"].to_list())
+        self.coordinate, self.matches = int(rows["token"].iloc[0]) >> 32, matches
+        asks = rows["asks"].to_numpy()
+        self.asking, self.asked = np.flatnonzero(asks), np.flatnonzero(~asks)
+
+    def tiles(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows that ask, rows asked, and a matrix of the pairs that this list has to compare."""
+        for lo in range(0, len(self.asked) if len(self.asking) else 0, TILE):
+            x, y = self.asking, self.asked[lo : lo + TILE]
+            wanted = self.wanted(x, y)
+            x, y, wanted = x[wanted.any(axis=1)], y[wanted.any(axis=0)], wanted[wanted.any(axis=1)][:, wanted.any(axis=0)]
+            if len(x):
+                yield x, y, wanted
+
+    def wanted(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Pairs that no link joins and that collide often enough; each only in its first common list, and there once.
+
+        Two texts in a list share its coordinate's value, so their common lists follow from their signatures and the
+        coordinates of which each has an open list.
+        """
+        # where both ask, the smaller does
+        wanted = (self.root[x][:, None] != self.root[y]) & ~(self.outside[y] & (self.doc[x][:, None] > self.doc[y]))
+        times = np.zeros(wanted.shape, np.int16)
+        for k in range(COORDINATES):
+            equal = self.sig[x, k][:, None] == self.sig[y, k]
+            times += equal
+            if k < self.coordinate:
+                wanted &= ~(equal & (self.open[x] >> k & 1).astype(bool)[:, None] & (self.open[y] >> k & 1).astype(bool))
+        return wanted & (times >= self.matches)
+
+
+def meetings(lists: DataFrame) -> DataFrame:
+    """Rows (token, i, j, doc, root, outside, asks, open): in every block (i, j) of a list, the members that ask and those asked.
+
+    Both sides are bounded by texts and by shingles. open has a bit for each coordinate of which the text has an open list.
+    """
+    chunks = F.ceil(F.greatest(F.col("n_outside") / OUTSIDE, F.col("outside_weight") / BLOCK_SHINGLES)).cast("int")
     blocks = F.ceil(F.greatest(F.col("length") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
     number = lambda n: F.pmod(F.xxhash64("doc"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = lists.filter("outside").select("token", "doc", "root", number(chunks).alias("i"), every(blocks).alias("j"), F.lit(True).alias("asks"))
-    right = lists.select("token", "doc", "root", every(chunks).alias("i"), number(blocks).alias("j"), F.lit(False).alias("asks"))
+    coordinates = lists.groupBy("doc").agg(F.bit_or(F.expr("shiftleft(1L, int(shiftright(token, 32)))")).alias("open"))
+    rows = lists.join(coordinates, "doc")
+    left = rows.filter("outside").select("token", number(chunks).alias("i"), every(blocks).alias("j"), "doc", "root", "outside", F.lit(True).alias("asks"), "open")
+    right = rows.select("token", every(chunks).alias("i"), number(blocks).alias("j"), "doc", "root", "outside", F.lit(False).alias("asks"), "open")
+    return left.unionByName(right)
+
+
+def left_over(met: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """The rows of meetings for which signatures and sketches leave a pair."""
+    least = least_matches(percent, SKETCH, SKETCH_SPREAD)
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), SKETCH)
+        stays = np.zeros(len(rows), bool)
+        for x, y, wanted in Block(rows, matches).tiles():
+            p, q = (v[at] for v, at in zip((x, y), np.nonzero(wanted), strict=True))
+            for lo in range(0, len(p), PAIRS):
+                a, b = p[lo : lo + PAIRS], q[lo : lo + PAIRS]
+                alike = (sketches[a] == sketches[b]).sum(axis=1) >= least
+                stays[a[alike]] = stays[b[alike]] = True
+        return rows.loc[stays, columns]
+
+    columns = met.columns
+    shared.ship(met.sparkSession)
+    whole = met.join(sets.select("doc", "sketch"), "doc").join(reps.select("doc", "sig"), "doc")
+    return shared.written(whole.groupBy("token", "i", "j").applyInPandas(meet, met.schema), "meetings")
+
+
+def open_links(lists: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Links (a, b) within open lists: a spanning forest of what is confirmed between each two blocks of a list."""
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        docs, root, asks = (rows[c].to_numpy() for c in ("doc", "root", "asks"))
+        block = Block(rows, matches)
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
-        sigs = np.stack(rows["sig"].to_list())
         edges = []
-        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
-        for hi in range(0, len(right) if len(left) else 0, TILE):
-            x, y = left, right[hi : hi + TILE]
-            # pairs that no link joins and that collide often enough
-            asked = (root[x][:, None] != root[y]) & (sum((sigs[x, k][:, None] == sigs[y, k]).astype(np.int16) for k in range(COORDINATES)) >= matches)
-            x, y, asked = x[asked.any(axis=1)], y[asked.any(axis=0)], asked[asked.any(axis=1)][:, asked.any(axis=0)]
-            if len(x):
-                p, q = np.nonzero(linked([sets[k] for k in x], [sets[k] for k in y], percent) & asked)
-                edges += _forest(docs[x[p]], docs[y[q]])
+        for x, y, wanted in block.tiles():
+            p, q = np.nonzero(linked([sets[k] for k in x], [sets[k] for k in y], percent) & wanted)
+            edges += _forest(block.doc[x[p]], block.doc[y[q]])
         found = _forest(*np.array(edges, np.int64).reshape(-1, 2).T)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    shared.ship(sets.sparkSession)
-    whole = left.unionByName(right).join(sets, "doc").join(reps.select("doc", "sig"), "doc")
+    rest = left_over(meetings(lists), reps, sets, percent, matches)
+    whole = rest.join(sets.select("doc", "shingles"), "doc").join(reps.select("doc", "sig"), "doc")
     return whole.groupBy("token", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
@@ -332,8 +413,8 @@ def near_duplicates(
     lists = postings(reps, matches).withColumns({"root": F.col("doc"), "outside": F.lit(True)})
     named = reps.select("doc", "id", "digest")
 
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        return shingle_sets(docs, shared.written(wanted.distinct().join(named, "doc"), "wanted"), width, id_col, text_col)
+    def sets_of(wanted: DataFrame, sketched: bool = False) -> DataFrame:
+        return shingle_sets(docs, shared.written(wanted.distinct().join(named, "doc"), "wanted"), width, id_col, text_col, sketched)
 
     roots: DataFrame | None = None
     for _ in range(PIVOTS):
@@ -341,7 +422,7 @@ def near_duplicates(
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc")))
         roots = components(shared.written(confirmed_pairs(pairs, sets, percent), "confirmed"), roots)
         lists = unjoined(lists, roots)
-    more = open_links(lists, reps, sets_of(lists.select("doc")), percent, matches)
+    more = open_links(lists, reps, sets_of(lists.select("doc"), True), percent, matches)
     roots = components(shared.written(more, "confirmed"), roots)
     # down again: components get their best row, then the classes, then the rows of those that aren't alone
     placed = classes.join(roots, F.col("best.row") == F.col("node"), "left").select("digest", "best", "copies", F.coalesce("root", "best.row").alias("root"))

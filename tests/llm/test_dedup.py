@@ -143,6 +143,51 @@ def test_near_long_lists_in_blocks(spark, monkeypatch):
     check_near(spark, rows)
 
 
+def test_near_template_meets_a_pair_once(spark):
+    """Texts of one template that aren't alike enough: many open lists with the same members."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(400):
+        words = list(base)
+        for at in rng.sample(range(300), 9):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    df = docs(spark, rows)
+    sigs = minhash_join.signatures(df, 3, "doc_id", "text")
+    reps = sigs.select(F.col("row").alias("doc"), F.col("doc_id").alias("id"), "digest", "n_shingles", "sig")
+    matches = minhash_join.least_matches(85)
+    nothing = spark.createDataFrame([], "node long, root long")
+    lists = minhash_join.unjoined(minhash_join.postings(reps, matches), nothing)
+    met = minhash_join.meetings(lists)
+    sets = minhash_join.shingle_sets(df, reps.select("doc", "id", "digest"), 3, "doc_id", "text", True)
+    assert lists.groupBy("token").count().filter("count > 100").count() > 10
+
+    def pairs_of(group):
+        import pandas as pd
+
+        block = minhash_join.Block(group, 1)
+        found = [(block.doc[x[p]], block.doc[y[q]]) for x, y, wanted in block.tiles() for p, q in zip(*wanted.nonzero(), strict=True)]
+        return pd.DataFrame([sorted(map(int, pair)) for pair in found], columns=["a", "b"], dtype="int64")
+
+    compared = met.join(reps.select("doc", "sig"), "doc").groupBy("token", "i", "j").applyInPandas(pairs_of, "a long, b long").cache()
+    together = lists.select("token", "doc").alias("l").join(lists.select("token", "doc").alias("r"), F.expr("l.token = r.token AND l.doc < r.doc")).select("l.doc", "r.doc").distinct().count()
+    assert compared.count() == compared.distinct().count() == together  # each pair of a list, once
+    assert minhash_join.left_over(met, reps, sets, 85, matches).count() < 10 * len(rows)
+    check_near(spark, rows)
+
+
+def test_asking_side_is_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(minhash_join, "BLOCK_SHINGLES", 1000)
+    lists = spark.createDataFrame(
+        [(5 << 32, k, 600, 600 * 40, 600 * 40, k, k > 0, 40, 39, 600 * 39) for k in range(40)],
+        "token long, doc long, n_shingles long, weight long, popular long, root long, outside boolean, length long, n_outside long, outside_weight long",
+    )
+    sides = minhash_join.meetings(lists).groupBy("i", "j", "asks").agg(F.sum(F.lit(600)).alias("shingles"))
+    assert sides.agg(F.max("shingles")).first()[0] <= 6 * 1000  # by hash, so about as many
+    assert minhash_join.meetings(lists).select("open").distinct().collect()[0][0] == 1 << 5
+
+
 def test_linked_tiles():
     import numpy as np
 
