@@ -46,8 +46,8 @@ OUTSIDE, BLOCK, BLOCK_SHINGLES = 512, 512, 500_000
 TILE = 256
 #: Bits of the filter that keeps texts nobody asks for out of a shuffle; 4 MB when it is full.
 FILTER_BITS = 1 << 25
-#: Shingle hashes that meet all coordinates at once, which bounds memory, and pairs whose sketches do.
-CHUNK, PAIRS = 8192, 32768
+#: Shingle hashes that meet all coordinates at once, pairs whose signatures and whose sketches do; all bound memory.
+CHUNK, CELLS, PAIRS = 8192, 16384, 32768
 
 
 def least_matches(percent: int, coordinates: int = COORDINATES, spread: float = SPREAD) -> int:
@@ -275,7 +275,8 @@ class Block:
     """The rows of one list that meet: those that ask, and those that are asked."""
 
     def __init__(self, rows: pd.DataFrame, matches: int):
-        self.doc, self.root, self.outside, self.open = (rows[c].to_numpy() for c in ("doc", "root", "outside", "open"))
+        self.doc, self.root, self.outside = (rows[c].to_numpy() for c in ("doc", "root", "outside"))
+        self.bits = (rows["open"].to_numpy()[:, None] >> np.arange(COORDINATES) & 1).astype(bool)
         self.sig = np.stack(rows["sig"].to_list())
         self.coordinate, self.matches = int(rows["token"].iloc[0]) >> 32, matches
         asks = rows["asks"].to_numpy()
@@ -298,13 +299,15 @@ class Block:
         """
         # where both ask, the smaller does
         wanted = (self.root[x][:, None] != self.root[y]) & ~(self.outside[y] & (self.doc[x][:, None] > self.doc[y]))
-        times = np.zeros(wanted.shape, np.int16)
-        for k in range(COORDINATES):
-            equal = self.sig[x, k][:, None] == self.sig[y, k]
-            times += equal
-            if k < self.coordinate:
-                wanted &= ~(equal & (self.open[x] >> k & 1).astype(bool)[:, None] & (self.open[y] >> k & 1).astype(bool))
-        return wanted & (times >= self.matches)
+        c = self.coordinate
+        step = max(1, CELLS // max(1, len(y)))
+        for lo in range(0, len(x), step):
+            at = x[lo : lo + step]
+            equal = self.sig[at][:, None] == self.sig[y]
+            wanted[lo : lo + step] &= equal.sum(axis=2) >= self.matches
+            before = equal[:, :, :c] & self.bits[at][:, None, :c] & self.bits[y][:, :c]
+            wanted[lo : lo + step] &= ~before.any(axis=2)
+        return wanted
 
 
 def meetings(lists: DataFrame) -> DataFrame:
