@@ -504,6 +504,21 @@ def _trade_lake_roundtrip(spark, sf_dir):
     return lake.read_trades(spark, root).select(*TRADE_KEY, "price", "trade_side", "year", "month", "day")
 
 
+@query(
+    "lake_appends",
+    f"WITH {HOURLY_SQL} SELECT exchange, symbol, timeframe, open_time, close + CASE WHEN ascii(right(symbol, 1)) % 2 = 0 THEN 1 ELSE 0 END AS close, "
+    "strftime(open_time, '%Y') AS year, strftime(open_time, '%m') AS month FROM candles",
+)
+def _lake_appends(spark, sf_dir):
+    """Two appends through the data source, then some symbols replaced."""
+    df, h, root = _with_zone(hourly(spark, sf_dir), "open_time", "close_time", "ingested_at"), _hour_no(), _own_lake(spark)
+    for part in (df.filter(h % 2 == 0), df.filter(h % 2 == 1)):
+        lake.append(part, root)
+    some = df.filter("ascii(right(symbol, 1)) % 2 = 0").withColumns({"close": F.col("close") + 1, "high": F.greatest("high", F.col("close") + 1)})
+    lake.append(some, root, replace=True)
+    return lake.read_candles(spark, root).select(*SERIES, F.col("open_time").cast("timestamp_ntz").alias("open_time"), "close", "year", "month")
+
+
 @query(
     "lake_extent",
     f"WITH {HOURLY_SQL} SELECT exchange, symbol, timeframe, min(open_time) AS first_open_time, max(open_time) AS last_open_time, count(*) AS candle_count FROM candles "

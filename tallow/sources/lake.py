@@ -20,6 +20,8 @@ from tallow.operators.dedupe import keep_last, merge_latest
 from tallow.operators.quality import CANDLE_RULES, TRADE_RULES, enforce
 from tallow.schema import CANDLE_KEY, CANDLE_PARTITIONS, CANDLES, TRADE_KEY, TRADE_PARTITIONS, TRADES, drift
 from tallow.settings import config_value, load_config
+from tallow.sources import files
+from tallow.sources.files import NO_VALUE, UNSAFE
 from tallow.sources.states import State, renew
 
 
@@ -60,15 +62,11 @@ def with_partitions(df: DataFrame, dataset: Dataset = CANDLE_SET) -> DataFrame:
     return df.withColumns({p: F.date_format(dataset.time, _PARTS[p]) for p in dataset.partitions if p in _PARTS})
 
 
-#: Signs that Spark's writer puts as % and two hexadecimal digits into the names of partition folders.
-_UNSAFE = r"[\x01-\x1f\x22\x23\x25\x27\x2a\x2f\x3a\x3d\x3f\x5c\x7b\x5b\x5d\x5e\x7f]"
-
-
 def escaped(value: Column) -> Column:
     """A partition value as the writer names its folder."""
-    sign = lambda c: F.when(c.rlike(_UNSAFE), F.concat(F.lit("%"), F.lpad(F.hex(c), 2, "0"))).otherwise(c)
-    shown = F.when(value.rlike(_UNSAFE), F.array_join(F.transform(F.split(value, ""), sign), "")).otherwise(value)
-    return F.coalesce(F.nullif(shown, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    sign = lambda c: F.when(c.rlike(UNSAFE), F.concat(F.lit("%"), F.lpad(F.hex(c), 2, "0"))).otherwise(c)
+    shown = F.when(value.rlike(UNSAFE), F.array_join(F.transform(F.split(value, ""), sign), "")).otherwise(value)
+    return F.coalesce(F.nullif(shown, F.lit("")), F.lit(NO_VALUE))
 
 
 def partition_path(df: DataFrame, dataset: Dataset = CANDLE_SET) -> DataFrame:
@@ -196,6 +194,23 @@ def _replace(merged: DataFrame, root: str, dataset: Dataset) -> None:
     )
 
 
+def append(new: DataFrame, root: str, dataset: Dataset = CANDLE_SET, replace: bool = False) -> DataFrame:
+    """Adds rows that passed the gate, without looking at what the lake holds, and returns the partitions written as an upsert does.
+
+    With ``replace`` the touched partitions hold the new rows alone. A failing write leaves no file. What lies there
+    isn't merged and states aren't renewed: for rows that may be there already, use an upsert.
+    """
+    spark = new.sparkSession
+    enforce(new, declaration=dataset.rules)
+    run = uuid.uuid4().hex
+    rows = with_partitions(new.select(dataset.schema.fieldNames()), dataset).hint("rebalance", *dataset.partitions)
+    files.register(spark)
+    target = rows.sortWithinPartitions(*dataset.partitions, dataset.time).write.format("lake_files")
+    target.option("partitions", ",".join(dataset.partitions)).option("run", run).mode("overwrite" if replace else "append").save(root)
+    counts = _stored_schema(T.StructType([]), dataset.partitions).add("row_count", "long")
+    return spark.read.schema(counts).parquet(f"{root.rstrip('/')}/_written/{run}").orderBy(*dataset.partitions)
+
+
 def upsert_candles(candles: DataFrame, root: str | None = None, allow_empty: bool = False, states: Sequence[State] = ()) -> DataFrame:
     return upsert(candles, root or configured_root(CANDLE_SET), CANDLE_SET, allow_empty, states)
 
