@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
 import unicodedata
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -219,28 +220,95 @@ def test_spans_in_the_query(spark):
         assert all(a != b for a, b in itertools.pairwise(r.span_langs))
 
 
-def brute_language(text, model):
-    """Language and score by plain loops over every labelling's best continuation."""
-    langs, shares, candidate = model
-    words = shared.words_of(text)
-    block = language_id.Block([" ".join(w.decode() for w in words)])
-    scores = language_id.word_scores(block, shares, candidate)
-    best = [(0.0, [])] * len(langs)
-    for code in block.codes:
-        best = [max(((v - language_id.SWITCH * (k != j) + scores[code, j], path + [j]) for k, (v, path) in enumerate(best)), key=lambda x: x[0]) for j in range(len(langs))]
-    path = max(best, key=lambda x: x[0])[1]
-    votes = [0] * len(langs)
-    for word, k in zip(words, path, strict=True):
-        votes[k] += sum(unicodedata.category(c)[0] == "L" for c in word.decode().lower())
-    return langs[votes.index(max(votes))], max(votes) / sum(votes)
-
-
-def test_language_against_brute_force(spark, model):
-    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars BETWEEN 20 AND 600").limit(25).collect()]
-    texts += [a[:150] + " " + b[-150:] for a, b in itertools.pairwise(texts)]
+class PlainLanguages:
+    """Counts, scores and labels by plain loops over letters, words and languages; of the module only its stated constants."""
+
+    def __init__(self, rows):
+        self.known = {}
+        grams, scripts = defaultdict(Counter), defaultdict(Counter)
+        for text, lang in rows:
+            for word, times in Counter(self.words(text)).items():
+                letters, counters, script = self.parts(word)
+                for g in counters:
+                    grams[lang][g] += times
+                if letters:
+                    scripts[lang][script] += times
+        self.langs = sorted({lang for _, lang in rows})
+        self.grams, self.totals = grams, {x: sum(grams[x].values()) + language_id.PRIOR * 2**language_id.GRAM_BITS for x in self.langs}
+        self.allowed = {}
+        for name in language_id.SCRIPT_NAMES:
+            fits = [x for x in self.langs if scripts[x][name] > 0 and scripts[x][name] >= language_id.SCRIPT_SHARE * sum(scripts[x].values())]
+            self.allowed[name] = fits or self.langs
+
+    @staticmethod
+    def words(text):
+        return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+    def parts(self, word):
+        """How many letters a word has, the counters of its trigrams, and the script of most letters (the first by name of several)."""
+        if word not in self.known:
+            letters = [ord(c) for c in word.lower() if unicodedata.category(c)[0] == "L"]
+            counters = []
+            for a, b, c in zip([10, *letters], letters, [*letters[1:], 10], strict=False):
+                mixed = ((a * 0x9E3779B1 + b) * 0x85EBCA77 + c) * 0xC2B2AE3D % 2**64
+                counters.append((mixed ^ mixed >> 29) % 2**language_id.GRAM_BITS)
+            names = Counter(next(name for first, name in reversed(language_id.SCRIPT_RANGES) if first <= b) for b in letters)
+            self.known[word] = len(letters), counters, min(names, key=lambda n: (-names[n], n), default="")
+        return self.known[word]
+
+    def score(self, word, lang):
+        letters, counters, script = self.parts(word)
+        if not letters:
+            return 0.0
+        mean = sum(math.log((self.grams[lang][g] + language_id.PRIOR) / self.totals[lang]) for g in counters) / letters
+        return language_id.WEIGHT * mean - 50.0 * (lang not in self.allowed[script])
+
+    def label(self, text):
+        """The text's language, that language's share of its letters, and the worth of the best labelling with its labels."""
+        words = self.words(text)
+        best = dict.fromkeys(self.langs, 0.0)
+        steps = []
+        for w in words:
+            came = {x: max(self.langs, key=lambda y: best[y] - language_id.SWITCH * (x != y)) for x in self.langs}  # noqa: B023
+            best = {x: best[came[x]] - language_id.SWITCH * (x != came[x]) + self.score(w, x) for x in self.langs}
+            steps.append(came)
+        path = [max(self.langs, key=best.get)] if words else []
+        for came in reversed(steps[1:]):
+            path.append(came[path[-1]])
+        path.reverse()
+        votes = Counter()
+        for w, x in zip(words, path, strict=True):
+            votes[x] += self.parts(w)[0]
+        total = votes.total()
+        if not total:
+            return "und", 0.0, path
+        lang = min(votes, key=lambda x: (-votes[x], x))
+        return lang, votes[lang] / total, path
+
+
+def test_language_query_against_brute_force(spark):
+    """Training, scores, scripts and labels of the whole query are computed again from the texts alone."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    plain = PlainLanguages([(r.text, r.lang) for r in rows if r.lang is not None and not held(r.doc_id)])
+    got = {r.doc_id: r for r in QUERIES["op8_language_id"](spark, SF).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        lang, share, path = plain.label(r.text)
+        g = got[r.doc_id]
+        assert (g.held_out, g.lang_pred) == (held(r.doc_id), lang) and abs(g.score - share) < 1e-9
+        starts = [k for k, x in enumerate(path) if lang != "und" and (k == 0 or x != path[k - 1])]
+        assert (g.span_starts, g.span_langs) == (starts, [path[k] for k in starts])
+
+
+def test_mixed_texts_against_brute_force(spark, model):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang").collect()
+    plain = PlainLanguages([(r.text, r.lang) for r in rows if r.lang is not None])
+    texts = [r.text for r in rows if r.text and 20 <= len(r.text) <= 900][:30]
+    texts = [a[:150] + " " + b[-150:] for a, b in itertools.pairwise(texts)] + ["漢字 and русский text", "Ⅷ ½ a", "ΟΔΟΣ street"]
     pred, score, _, _ = language_id.label_texts(texts, model)
     for text, p, s in zip(texts, pred, score, strict=True):
-        lang, share = brute_language(text, model)
+        lang, share, _ = plain.label(text)
         assert p == lang and abs(s - share) < 1e-9
 
 
