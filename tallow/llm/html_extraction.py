@@ -325,7 +325,8 @@ def minimum_cut(cost: list[float], edges: list[tuple[int, int, float]]) -> list[
     Shortest augmenting paths, found level by level from all nodes that still have something to send.
     """
     n = len(cost)
-    if not edges or min(cost) >= 0 or max(cost) <= 0:
+    # a node without a cost goes with those that it is tied to, so only these cases need no search
+    if not edges or min(cost) > 0 or max(cost) <= 0:
         return [c > 0 for c in cost]
     send, take = [max(c, 0.0) for c in cost], [max(-c, 0.0) for c in cost]
     to: list[int] = []

@@ -6,6 +6,7 @@ import random
 import time
 import unicodedata
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -115,6 +116,102 @@ def test_cut_is_minimal():
         assert abs(price(html_extraction.minimum_cut(cost, edges)) - best) < 1e-6
 
 
+def tree_steps(a, b):
+    """Steps between two elements through the tree, by the chains of those that they stand in."""
+    chains = []
+    for e in (a, b):
+        chain = []
+        while e is not None:
+            chain.append(id(e))
+            e = e.parent
+        chains.append(chain[::-1])
+    shared_part = sum(1 for _ in itertools.takewhile(lambda pair: pair[0] == pair[1], zip(*chains, strict=False)))
+    return len(chains[0]) + len(chains[1]) - 2 * shared_part
+
+
+def cheapest_labels(page):
+    """Texts that every cheapest labelling of a small page keeps, by trying all labellings."""
+    blocks, elements = html_extraction.parse(page)
+    cost = html_extraction.costs(blocks, elements)
+    links = [(k - 1, k, html_extraction.NEXT) for k in range(1, len(blocks))]
+    for k, b in enumerate(blocks):
+        same = [j for j in range(k) if blocks[j].element.parent is b.element.parent]
+        links += [(same[-1], k, html_extraction.SIBLING)] if same else []
+    links = [(a, b, w / (1 + tree_steps(blocks[a].element, blocks[b].element))) for a, b, w in links]
+
+    def price(side):
+        away = sum(c for c, kept in zip(cost, side, strict=True) if c > 0 and not kept) - sum(c for c, kept in zip(cost, side, strict=True) if c < 0 and kept)
+        return away + sum(w for a, b, w in links if side[a] != side[b])
+
+    labellings = list(itertools.product((False, True), repeat=len(blocks)))
+    least = min(map(price, labellings))
+    best = [s for s in labellings if price(s) < least + 1e-9]
+    return [[b.text for b, kept in zip(blocks, side, strict=True) if kept] for side in best]
+
+
+def test_extraction_against_all_labellings(spark):
+    """Pages put together at random from the hand-labelled ones' parts: the operator keeps what the cheapest labelling keeps."""
+    rng = random.Random(11)
+    parts = ["<h1>Ferries</h1>", f"<p>{PARA}</p>", "<p>Hm</p>", "<p><a href=1>See the timetable here</a></p>", "<ul><li>eggs<li>milk</ul>", f"<div class=ad>Buy now, {PARA}</div>", "<blockquote><p>No</p></blockquote>", "<p>Rain <a href=2>in the west</a></p>"]
+    wraps = ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "<div class=content>{}</div>", "<div class=comments>{}</div>", "<nav>{}</nav>", "<section><div>{}</div></section>"]
+    pages = []
+    while len(pages) < 120:
+        page = "".join(rng.choice(wraps).format("".join(rng.choices(parts, k=rng.randrange(1, 5)))) for _ in range(rng.randrange(1, 4)))
+        if 2 <= len(html_extraction.parse(page)[0]) <= 11:
+            pages.append(page)
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.lit("u"))
+    texts = {r.page_id: r.text for r in html_extraction.extract_text(df).collect()}
+    assert len(texts) == len(pages)
+    for k, page in enumerate(pages):
+        assert texts[k] in [" ".join(kept) for kept in cheapest_labels(page)], page
+
+
+class PlainPage(HTMLParser):
+    """Blocks of text outside of the elements that the given pages use for boilerplate, by the standard library's parser."""
+
+    VOID, AWAY = {"br", "meta", "img", "input", "link", "hr"}, {"nav", "footer", "header", "aside", "script", "style", "title", "form"}
+    INLINE = {"a", "b", "i", "em", "strong", "span", "u", "code"}
+
+    def __init__(self):
+        super().__init__()
+        self.blocks, self.text, self.away = [], "", []
+
+    def end_block(self):
+        self.blocks += [" ".join(self.text.split())] if self.text.strip() else []
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += " " * (not self.away)
+        elif tag not in self.VOID | self.INLINE:
+            self.end_block()
+        if tag not in self.VOID and (self.away or tag in self.AWAY or dict(attrs).get("class") == "ad"):
+            self.away.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag not in self.VOID | self.INLINE:
+            self.end_block()
+        if tag in self.away:
+            while self.away.pop() != tag:
+                pass
+
+    def handle_data(self, data):
+        self.text += data if not self.away else ""
+
+
+def test_query_against_another_parser(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    got = {r.page_id: r for r in registry.QUERIES["op1_html_extraction"](spark, SF).collect()}
+    assert len(got) == len(pages)
+    for page in pages:
+        plain = PlainPage()
+        plain.feed(page.html or "")
+        plain.close()
+        plain.end_block()
+        r = got[page.page_id]
+        assert (r.url, r.text, r.n_chars) == (page.url, " ".join(plain.blocks), len(" ".join(plain.blocks)))
+
+
 def test_extract_operator(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "", "x"), (3, "w", "<article>" + "<p>a b.</p>" * 3000, "x")], "page_id long, url string, html string, text string")
     got = html_extraction.extract_text(df).collect()
