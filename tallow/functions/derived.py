@@ -15,10 +15,6 @@ from tallow.schema import SERIES
 SMOOTHED = 512
 
 
-def _by_time():
-    return Window.partitionBy(*SERIES).orderBy("open_time")
-
-
 def _log_returns(candles: DataFrame, back: int) -> DataFrame:
     """Simple and log returns by stretches, with what windows of ``back`` more rows need."""
     rows = halo.with_halo(candles.select(*SERIES, "open_time", "close"), 1 + back)
@@ -122,8 +118,10 @@ def orderflow_delta(trades: DataFrame, timeframe: str = "1h") -> DataFrame:
 
     signed = F.when(F.col("trade_side") == "buy", F.col("quantity")).otherwise(-F.col("quantity"))
     bars = trades.groupBy("exchange", "symbol", bar_window("timestamp", timeframe).alias("bar")).agg(F.sum(signed).alias("delta"))
-    running = Window.partitionBy("exchange", "symbol").orderBy("open_time").rowsBetween(Window.unboundedPreceding, 0)
-    return bars.select("exchange", "symbol", F.col("bar.start").alias("open_time"), "delta").withColumn("cumulative_delta", F.sum("delta").over(running))
+    market = ("exchange", "symbol")
+    rows = halo.carried(bars.select(*market, F.col("bar.start").alias("open_time"), "delta"), F.col("delta"), "before", market)
+    running = halo.within(market).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("cumulative_delta", F.col("before") + F.sum("delta").over(running)).drop("before", "_stretch")
 
 
 def candle_delta(candles: DataFrame) -> DataFrame:
@@ -141,8 +139,7 @@ def wilder_atr(candles: DataFrame, length: int = 14) -> DataFrame:
     ranges = price_range_atr(candles, length).select(*SERIES, "open_time", "true_range")
     if length == 1:
         return ranges.withColumnRenamed("true_range", "atr")
-    place = F.row_number().over(_by_time()) - 1
-    rows = ranges.withColumn("place", place).withColumns({"stretch": F.expr(f"place div {SMOOTHED}"), "k": F.col("place") % SMOOTHED})
+    rows = halo.numbered(ranges, "place").withColumns({"stretch": F.expr(f"place div {SMOOTHED}"), "k": F.col("place") % SMOOTHED})
     share = F.when(F.col("place") == 0, F.col("true_range")).otherwise(F.col("true_range") / length)
     inside = Window.partitionBy(*SERIES, "stretch").orderBy("open_time").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("own", F.pow(F.lit(keep), F.col("k")) * F.sum(share * F.pow(F.lit(keep), -F.col("k"))).over(inside))
@@ -152,5 +149,5 @@ def wilder_atr(candles: DataFrame, length: int = 14) -> DataFrame:
     back = math.ceil(math.log(1e-18) / math.log(left))
     before = F.collect_list("end").over(Window.partitionBy(*SERIES).orderBy("stretch").rowsBetween(-back, -1))
     carried = ends.select(*SERIES, "stretch", F.aggregate(before, F.lit(0.0), lambda done, end: done * left + end).alias("carried"))
-    out = rows.join(carried, [*SERIES, "stretch"])
+    out = halo.joined(rows, carried, (*SERIES, "stretch"))
     return out.select(*SERIES, "open_time", (F.col("own") + F.pow(F.lit(keep), F.col("k") + 1) * F.col("carried")).alias("atr"))

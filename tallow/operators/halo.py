@@ -70,3 +70,29 @@ def within(key: Sequence[str] = SERIES, time: str = "open_time") -> WindowSpec:
 
 def without_copies(df: DataFrame) -> DataFrame:
     return df.filter("NOT _copy").drop(*OWN)
+
+
+def carried(df: DataFrame, value: Column, name: str, key: Sequence[str] = SERIES, time: str = "open_time") -> DataFrame:
+    """df with ``_stretch``, and as ``name`` the sum of ``value`` over all earlier stretches of a row's series.
+
+    What runs on from row to row then starts anew in every stretch. Only a row for each stretch meets in a series' window.
+    """
+    rows = df.withColumn("_stretch", stretch_of(df, time))
+    totals = rows.groupBy(*key, "_stretch").agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy(*key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = totals.withColumn(name, F.coalesce(F.sum("_total").over(earlier), F.lit(0))).drop("_total")
+    return joined(rows, sums, (*key, "_stretch"))
+
+
+def numbered(df: DataFrame, name: str, key: Sequence[str] = SERIES, time: str = "open_time") -> DataFrame:
+    """df with each row's number in its series from 0, by the rows of earlier stretches and its place in its own."""
+    rows = carried(df, F.lit(1), "_before", key, time)
+    place = F.col("_before") + F.row_number().over(within(key, time)) - 1
+    return rows.withColumn(name, place).drop("_before", "_stretch")
+
+
+def joined(rows: DataFrame, facts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows with the facts of their key, where null is a key as any other."""
+    named = facts.select(*(F.col(c).alias(f"_key_{c}") for c in key), *(c for c in facts.columns if c not in key))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in key))
+    return rows.join(named, same).drop(*(f"_key_{c}" for c in key))

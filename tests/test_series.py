@@ -56,6 +56,33 @@ def test_stretches_change_nothing(spark, monkeypatch, stretch):
     assert highs[0].structure is None
 
 
+def test_running_values_start_anew_in_stretches(spark, monkeypatch):
+    df = wild(spark)
+    lost = df.withColumn("exchange", F.when(F.col("symbol") == "A", F.col("exchange")))  # a null key is one, too
+    plain = Window.partitionBy(*SERIES).orderBy("open_time")
+    smooth = {(r.symbol, r.open_time): r.atr for r in derived.wilder_atr(df, 5).collect()}
+    for stretch in (1, 5, 4096):
+        monkeypatch.setattr(halo, "STRETCH", stretch)
+        for rows in (df, lost):
+            want = rows.withColumns({"place": F.row_number().over(plain) - 1})
+            got = halo.numbered(rows, "place").collect()
+            assert sorted((r.symbol, r.open_time, r.place) for r in got) == sorted((r.symbol, r.open_time, r.place) for r in want.collect())
+            again = {(r.symbol, r.open_time): r.atr for r in derived.wilder_atr(rows, 5).collect()}
+            assert again.keys() == smooth.keys() and all(math.isclose(again[k], smooth[k], rel_tol=1e-9) for k in smooth)
+        trades = df.select("exchange", "symbol", F.col("open_time").alias("timestamp"), F.col("close").alias("price"), (F.col("close") / 7).alias("quantity"))
+        trades = trades.withColumn("trade_side", F.when(F.col("price") > 90500, "buy").otherwise("sell"))
+        flow = sorted(derived.orderflow_delta(trades).collect(), key=lambda r: (r.symbol, r.open_time))
+        running: dict[str, float] = {}
+        for r in flow:
+            running[r.symbol] = running.get(r.symbol, 0.0) + r.delta
+            assert math.isclose(r.cumulative_delta, running[r.symbol], rel_tol=1e-9, abs_tol=1e-6)
+        assert len(flow) == trades.count()
+    # a window without a stretch among its keys goes over stretches, not over rows
+    plan = derived.wilder_atr(df, 5)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("stretch" in line.rsplit("], [", 2)[-2] or "stretch" in line.rsplit("], [", 2)[-1] for line in windows)
+
+
 def test_no_window_over_a_whole_series(spark):
     from tests.plans import window_keys
 
