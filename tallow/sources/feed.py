@@ -21,6 +21,7 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,7 @@ from pyspark.sql.datasource import (
 )
 
 from tallow.schema import CANDLES, OFFSETS, TRADES, millis_of
-from tallow.settings import config_value, load_config
+from tallow.settings import ConfigError, config_value, load_config
 from tallow.shipping import ship
 from tallow.sources.decode import WIRE
 
@@ -390,8 +391,26 @@ def register(spark: SparkSession) -> None:
         spark.dataSource.register(source)
 
 
-def configured(dataset: str, config: dict[str, Any] | None = None) -> dict[str, str]:
-    """The options of a feed, candles or trades, that the configuration gives."""
+def sources(config: dict[str, Any] | None = None, dataset: str | None = None) -> dict[str, dict[str, Any]]:
+    """The declared sources by name, or those that have the dataset."""
+    declared = config_value(load_config() if config is None else config, "sources") or {}
+    if not isinstance(declared, dict) or not all(isinstance(x, dict) and isinstance(x.get("datasets") or {}, dict) for x in declared.values()):
+        raise ConfigError("sources must map names to mappings, and datasets of a source to paths")
+    return {name: x for name, x in declared.items() if dataset is None or dataset in (x.get("datasets") or {})}
+
+
+def _declared(source: str, dataset: str, config: dict[str, Any]) -> dict[str, Any]:
+    """The options that a declared source gives; the symbol only where it has one, as a scan reads one."""
+    found = sources(config, dataset).get(source)
+    if found is None:
+        raise ConfigError(f"no source {source!r} with {dataset}; those declared are {', '.join(sorted(sources(config, dataset))) or 'none'}")
+    symbols = found.get("symbols") or []
+    given = {k: found.get(k) for k in ("base_url", "limit")} | {"endpoint": found["datasets"][dataset], "exchange": found.get("exchange", source)}
+    return {k: v for k, v in given.items() if v is not None} | {"symbol": symbols[0] if len(symbols) == 1 else None}
+
+
+def configured(dataset: str, config: dict[str, Any] | None = None, source: str | None = None) -> dict[str, str]:
+    """The options of a feed, candles or trades, that the configuration gives; those of a declared source go first."""
     config = load_config() if config is None else config
     keys = {
         "base_url": "feed.base_url",
@@ -404,14 +423,24 @@ def configured(dataset: str, config: dict[str, Any] | None = None) -> dict[str,
         "symbol": "price.default_symbol",
     }
     found = {option: config_value(config, path) for option, path in keys.items()}
+    found |= _declared(source, dataset, config) if source else {}
     return {option: str(value) for option, value in found.items() if value is not None}
 
 
-def candles(spark: SparkSession, config: dict[str, Any] | None = None, **options) -> DataFrame:
-    """Candles of the configured feed; options go before the configuration."""
-    return spark.read.format("candle_feed").options(**configured("candles", config) | options).load()
+def candles(spark: SparkSession, config: dict[str, Any] | None = None, source: str | None = None, **options) -> DataFrame:
+    """Candles of the configured feed, or of a declared source; options go before the configuration."""
+    return spark.read.format("candle_feed").options(**configured("candles", config, source) | options).load()
+
+
+def trades(spark: SparkSession, config: dict[str, Any] | None = None, source: str | None = None, **options) -> DataFrame:
+    """Trades of the configured feed, or of a declared source; options go before the configuration."""
+    return spark.read.format("trade_feed").options(**configured("trades", config, source) | options).load()
 
 
-def trades(spark: SparkSession, config: dict[str, Any] | None = None, **options) -> DataFrame:
-    """Trades of the configured feed; options go before the configuration."""
-    return spark.read.format("trade_feed").options(**configured("trades", config) | options).load()
+def of_all_sources(spark: SparkSession, dataset: str, config: dict[str, Any] | None = None, **options) -> DataFrame:
+    """Candles or trades of every symbol of every declared source that has them, as one frame."""
+    scan = {"candles": candles, "trades": trades}[dataset]
+    scans = [scan(spark, config, name, **options | {"symbol": symbol}) for name, x in sources(config, dataset).items() for symbol in x.get("symbols") or []]
+    if not scans:
+        raise ConfigError(f"no declared source has symbols for {dataset}")
+    return reduce(DataFrame.unionByName, scans)

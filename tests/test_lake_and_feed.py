@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallow.operators import gaps
 from tallow.schema import TIMEFRAMES
+from tallow.settings import ConfigError
 from tallow.sources import decode, feed, lake
 from tallow.sources.feed import FeedClient, SourceError
 from tests.test_quality import candles, hour
@@ -339,3 +340,38 @@ def test_partition_paths_are_the_writers(spark, tmp_path):
     lake.with_partitions(df).write.partitionBy(*lake.CANDLE_SET.partitions).parquet(f"{tmp_path}/price/ohlcv")
     made = {os.path.relpath(d, tmp_path) for d, names, _ in os.walk(tmp_path) if not names}
     assert made == {r.path for r in lake.partition_path(df).collect()}
+
+
+def serve_by_host(url, params, timeout):
+    """Two hosts; each serves two hourly candles, whose close tells host and symbol."""
+    close = {"http://a/k": 1.25, "http://b/c": 2.25}[url] + 0.5 * (params["symbol"] == "EF")
+    return [wire(ms, close) for ms in (START, START + HOUR) if params["startTime"] <= ms <= params["endTime"]]
+
+
+def test_declared_sources(spark):
+    config = {
+        "feed": {"base_url": "http://b", "candles": "/c", "limit": 10},
+        "price": {"default_symbol": "ZZ", "default_exchange": "other"},
+        "sources": {
+            "spot": {"base_url": "http://a", "datasets": {"candles": "/k"}, "symbols": ["AB"], "limit": 5},
+            "futures": {"exchange": "fut", "datasets": {"candles": "/c", "trades": "/t"}, "symbols": ["CD", "EF"]},
+            "rates": {"market": "rates"},
+        },
+    }
+    assert set(feed.sources(config)) == {"spot", "futures", "rates"} and set(feed.sources(config, "trades")) == {"futures"}
+    assert feed.configured("candles", config, "spot") == {"base_url": "http://a", "endpoint": "/k", "limit": "5", "exchange": "spot", "symbol": "AB"}
+    # of several symbols none is meant, nor the default one
+    assert feed.configured("trades", config, "futures") == {"base_url": "http://b", "endpoint": "/t", "limit": "10", "exchange": "fut"}
+    for source, dataset in (("spot", "trades"), ("rates", "candles"), ("none", "candles")):
+        with pytest.raises(ConfigError, match="futures"):
+            feed.configured(dataset, config, source)
+    for wrong in ({"sources": ["spot"]}, {"sources": {"spot": "x"}}, {"sources": {"spot": {"datasets": ["candles"]}}}):
+        with pytest.raises(ConfigError, match="mappings"):
+            feed.sources(wrong)
+    feed.register(spark)
+    asked = {"interval": "1h", "start_ms": START, "end_ms": START + HOUR, "transport": "tests.test_lake_and_feed:serve_by_host"}
+    got = feed.of_all_sources(spark, "candles", config, **asked).collect()
+    assert sorted((r.exchange, r.symbol, r.close) for r in got) == [(e, s, c) for e, s, c in (("fut", "CD", 2.25), ("fut", "EF", 2.75), ("spot", "AB", 1.25)) for _ in range(2)]
+    with pytest.raises(ConfigError, match="no declared source"):
+        feed.of_all_sources(spark, "candles", {"sources": {}}, **asked)
+    assert feed.sources()["demo_spot"]["symbols"] == ["BTCUSDT"]  # of config/config.yaml
